@@ -235,7 +235,9 @@ def _alerts(spark, sf_dir) -> DataFrame:
 
 
 def _resolved_alerts(spark, sf_dir) -> DataFrame:
-    alerts = _alerts(spark, sf_dir)
+    path = new_folder(spark, ALERT_TABLE.name)
+    write_by_date(_alerts(spark, sf_dir), path, ALERT_TABLE)
+    alerts = spark.read.parquet(path)
     return desk.resolve(alerts, standin.resolutions(alerts))
 
 
@@ -261,7 +263,7 @@ def alerts_list_all(spark, sf_dir):
 
 @query
 def alerts_by_transaction(spark, sf_dir):
-    return desk.alert_by_transaction(_alerts(spark, sf_dir), "100")
+    return desk.alert_by_transaction(_alerts(spark, sf_dir), "65")
 
 
 @query
@@ -319,14 +321,12 @@ def ingest_route(spark, sf_dir):
         "value",
         F.when(F.col("number") < 3, cut).when(F.col("number") == 5, garbled).otherwise(text),
     )
-    decoded = decode.decode_payload(broken.select("event_id", "value"))
-    valid = decode.valid_rows(decoded).select(
-        "event_id", F.lit("valid").alias("route"), F.lit("").alias("reasons")
-    )
-    rejected = decode.rejected_rows(decoded).select(
-        "event_id", F.lit("rejected").alias("route"), F.array_join("reasons", ",").alias("reasons")
+    routed = decode.with_route(decode.decode_payload(broken.select("event_id", "value")))
+    return routed.select(
+        "event_id",
+        F.when(F.col("is_valid"), "valid").otherwise("rejected").alias("route"),
+        F.array_join("reasons", ",").alias("reasons"),
     )
-    return valid.unionAll(rejected)
 
 
 # ---- streams ------------------------------------------------------------

@@ -272,7 +272,7 @@ ORACLES: dict[str, str] = {
             ORDER BY transaction_timestamp DESC, transaction_id LIMIT 10"""
     ),
     "alerts_by_transaction": _alerts(
-        f"SELECT {ALERT_LIST} FROM alerts WHERE transaction_id = '100'"
+        f"SELECT {ALERT_LIST} FROM alerts WHERE transaction_id = '65'"
     ),
     "alerts_summary_24h": _alerts(
         """SELECT count(*) AS total_alerts,
