@@ -21,6 +21,7 @@ from cardvigil.sources import decode
 from cardvigil.sources.raw import read_json, read_raw, text_payloads
 from cardvigil.sources.tables import (
     conform_features,
+    conform_raw,
     load_clustered,
     with_partition_date,
     within_retention,
@@ -160,6 +161,13 @@ def features_table_load(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def raw_table_load(spark, sf_dir):
+    path = new_folder(spark, RAW_TABLE.name)
+    load_clustered(conform_raw(standin.transactions(spark, sf_dir), AS_OF_TIME), path, RAW_TABLE)
+    return spark.read.parquet(path)
+
+
 # ---- analytics ----------------------------------------------------------
 
 
@@ -228,6 +236,15 @@ def score_transactions(spark, sf_dir):
     return scored.select("transaction_id", "fraud_score", "alert_severity", "fraud_flags")
 
 
+@query
+def score_latest_day(spark, sf_dir):
+    """The newest partition of the feature table, scored."""
+    newest = desk.latest_features(_written_features(spark, sf_dir))
+    return desk.score(newest, CONFIG).select(
+        "transaction_id", "_feature_date", "fraud_score", "alert_severity"
+    )
+
+
 def _alerts(spark, sf_dir) -> DataFrame:
     """Alerts straight from the feature computation, whose rows still carry the merchant."""
     rows = engineer(standin.transactions(spark, sf_dir), CONFIG)

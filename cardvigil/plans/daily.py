@@ -11,9 +11,9 @@ from cardvigil.config import RiskConfig
 from cardvigil.operators import quality
 from cardvigil.operators.alerts import build_alerts, latest_features
 from cardvigil.operators.features import LOOKBACK_DAYS, features, features_for_day
-from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE
-from cardvigil.session import pin_utc
-from cardvigil.sources.raw import read_json, read_raw_day
+from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_TABLE
+from cardvigil.session import new_folder, pin_utc
+from cardvigil.sources.raw import read_json, read_raw, read_raw_day
 from cardvigil.sources.tables import conform_features, load_clustered, write_by_date
 
 
@@ -22,8 +22,12 @@ def run_features_on_json(
 ) -> DataFrame:
     """Features of all transactions in JSON files, validated and written by date."""
     pin_utc(spark)
-    write_by_date(features(read_json(spark, input_path), cfg), output_path, FEATURE_TABLE)
-    # Validated from the written files: the windows are computed once.
+    # JSON is parsed once into Parquet, of which the feature plan then reads
+    # the columns it needs. Likewise the written features are validated, so
+    # that the windows are computed once.
+    staged = new_folder(spark, RAW_TABLE.name)
+    write_by_date(read_json(spark, input_path), staged, RAW_TABLE)
+    write_by_date(features(read_raw(spark, staged), cfg), output_path, FEATURE_TABLE)
     written = spark.read.parquet(output_path)
     quality.assert_features(written)
     return written
@@ -77,7 +81,7 @@ def score_day(
 ) -> DataFrame:
     """Alerts of one loaded feature day, written to the alert table."""
     pin_utc(spark)
-    day = latest_features(spark.read.parquet(features_path), F.lit(run_date))
+    day = latest_features(spark.read.parquet(features_path), run_date)
     raw = read_raw_day(spark, raw_path, run_date)
     alerts = build_alerts(day, F.lit(created_at).cast("timestamp"), cfg, raw)
     load_clustered(alerts, alerts_path, ALERT_TABLE)

@@ -181,6 +181,10 @@ ORACLES: dict[str, str] = {
         f"""SELECT {FEATURE_LIST}, day AS _feature_date,
             TIMESTAMP '2024-01-31 00:00:00' AS _loaded_at FROM feat"""
     ),
+    "raw_table_load": _txn(
+        f"""SELECT {RAW_LIST}, TIMESTAMP '2024-01-31 00:00:00' AS _loaded_at,
+            CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS date FROM txn"""
+    ),
     "q_daily_fraud_summary": _txn(
         f"""SELECT CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS txn_date,
              count(*) AS total_transactions,
@@ -262,6 +266,10 @@ ORACLES: dict[str, str] = {
     "score_transactions": _alerts(
         "SELECT transaction_id, fraud_score, alert_severity, fraud_flags FROM graded"
     ),
+    "score_latest_day": _alerts(
+        """SELECT transaction_id, day AS _feature_date, fraud_score, alert_severity
+           FROM graded WHERE day = (SELECT max(day) FROM graded)"""
+    ),
     "alerts_build": ALL_ALERTS,
     "alerts_list": _alerts(
         f"""SELECT {ALERT_LIST} FROM alerts WHERE alert_severity = 'MEDIUM'

@@ -99,13 +99,17 @@ WIRE_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class TableContract:
-    """Where a table's day comes from, how its files are ordered, what may not be NULL."""
+    """Where a table's day comes from, how its files are ordered, what may not be NULL.
+
+    Columns in ``find_by`` get Parquet bloom filters, for lookups the order does not serve.
+    """
 
     name: str
     date_column: str
     time_column: str
     cluster_by: tuple[str, ...]
     not_null: tuple[str, ...]
+    find_by: tuple[str, ...] = ()
 
 
 RAW_TABLE = TableContract(
@@ -128,4 +132,5 @@ ALERT_TABLE = TableContract(
     time_column="transaction_timestamp",
     cluster_by=("alert_severity", "card_id"),
     not_null=("alert_id", "transaction_id", "card_id"),
+    find_by=("transaction_id",),
 )

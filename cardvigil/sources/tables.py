@@ -7,7 +7,13 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardvigil.schema import FEATURE_COLUMNS, FEATURE_TABLE, RAW_TABLE, TableContract
+from cardvigil.schema import (
+    FEATURE_COLUMNS,
+    FEATURE_TABLE,
+    RAW_SCHEMA,
+    RAW_TABLE,
+    TableContract,
+)
 
 
 def with_partition_date(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -39,12 +45,15 @@ def load_clustered(df: DataFrame, path: str, contract: TableContract) -> None:
 
 
 def _write(df: DataFrame, path: str, contract: TableContract) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(contract.date_column)
-        .parquet(path)
-    )
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    for column in contract.find_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.partitionBy(contract.date_column).parquet(path)
+
+
+def conform_raw(raw: DataFrame, loaded_at: datetime) -> DataFrame:
+    """Raw rows as the raw table declares them, stamped with the load time."""
+    return raw.select(*RAW_SCHEMA.names, F.lit(loaded_at).cast("timestamp").alias("_loaded_at"))
 
 
 def conform_features(features: DataFrame, loaded_at: datetime) -> DataFrame:
