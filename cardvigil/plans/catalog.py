@@ -23,6 +23,7 @@ from cardvigil.sources.tables import (
     conform_features,
     conform_raw,
     load_clustered,
+    read_alerts,
     with_partition_date,
     within_retention,
     write_by_date,
@@ -254,7 +255,7 @@ def _alerts(spark, sf_dir) -> DataFrame:
 def _resolved_alerts(spark, sf_dir) -> DataFrame:
     path = new_folder(spark, ALERT_TABLE.name)
     write_by_date(_alerts(spark, sf_dir), path, ALERT_TABLE)
-    alerts = spark.read.parquet(path)
+    alerts = read_alerts(spark, path)
     return desk.resolve(alerts, standin.resolutions(alerts))
 
 
@@ -265,7 +266,7 @@ def alerts_build(spark, sf_dir):
     rows, raw = _written_features(spark, sf_dir), standin.transactions(spark, sf_dir)
     built = desk.build_alerts(rows, F.col("transaction_timestamp"), CONFIG, raw)
     load_clustered(built, path, ALERT_TABLE)
-    return spark.read.parquet(path)
+    return read_alerts(spark, path)
 
 
 @query
@@ -395,4 +396,4 @@ def stream_score_alerts(spark, sf_dir):
         scoring.start_scoring(
             incoming, landing, found, checkpoint, F.col("transaction_timestamp"), CONFIG, ONCE
         ).awaitTermination()
-    return spark.read.parquet(found).drop(scoring.BATCH)
+    return read_alerts(spark, found).drop(scoring.BATCH)

@@ -14,7 +14,12 @@ from cardvigil.operators.features import LOOKBACK_DAYS, features, features_for_d
 from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_TABLE
 from cardvigil.session import new_folder, pin_utc
 from cardvigil.sources.raw import read_json, read_raw, read_raw_day
-from cardvigil.sources.tables import conform_features, load_clustered, write_by_date
+from cardvigil.sources.tables import (
+    conform_features,
+    load_clustered,
+    read_alerts,
+    write_by_date,
+)
 
 
 def run_features_on_json(
@@ -85,7 +90,7 @@ def score_day(
     raw = read_raw_day(spark, raw_path, run_date)
     alerts = build_alerts(day, F.lit(created_at).cast("timestamp"), cfg, raw)
     load_clustered(alerts, alerts_path, ALERT_TABLE)
-    return _day(spark.read.parquet(alerts_path), run_date, ALERT_TABLE.date_column)
+    return _day(read_alerts(spark, alerts_path), run_date, ALERT_TABLE.date_column)
 
 
 def _day(df: DataFrame, run_date: date, date_column: str = FEATURE_TABLE.date_column) -> DataFrame:

@@ -60,22 +60,25 @@ FLAG_COLUMNS = [
     "is_amount_anomaly",
 ]
 
-ALERT_COLUMNS = [
-    "alert_id",
-    "transaction_id",
-    "card_id",
-    "amount",
-    "merchant_name",
-    "merchant_country",
-    "transaction_timestamp",
-    "fraud_score",
-    "fraud_flags",
-    "alert_severity",
-    "is_resolved",
-    "resolved_by",
-    "resolved_at",
-    "_created_at",
-]
+ALERT_SCHEMA = T.StructType(
+    [
+        T.StructField("alert_id", T.StringType()),
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("card_id", T.StringType()),
+        T.StructField("amount", AMOUNT),
+        T.StructField("merchant_name", T.StringType()),
+        T.StructField("merchant_country", T.StringType()),
+        T.StructField("transaction_timestamp", T.TimestampType()),
+        T.StructField("fraud_score", T.DoubleType()),
+        T.StructField("fraud_flags", T.ArrayType(T.StringType())),
+        T.StructField("alert_severity", T.StringType()),
+        T.StructField("is_resolved", T.BooleanType()),
+        T.StructField("resolved_by", T.StringType()),
+        T.StructField("resolved_at", T.TimestampType()),
+        T.StructField("_created_at", T.TimestampType()),
+    ]
+)
+ALERT_COLUMNS = ALERT_SCHEMA.names
 
 RESOLUTION_SCHEMA = T.StructType(
     [

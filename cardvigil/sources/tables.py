@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardvigil.schema import (
+    ALERT_SCHEMA,
+    ALERT_TABLE,
     FEATURE_COLUMNS,
     FEATURE_TABLE,
     RAW_SCHEMA,
@@ -64,6 +67,12 @@ def conform_features(features: DataFrame, loaded_at: datetime) -> DataFrame:
     )
 
 
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alert table. Its schema is given, as a table without alerts has no files."""
+    day = T.StructField(ALERT_TABLE.date_column, T.DateType())
+    return spark.read.schema(T.StructType([*ALERT_SCHEMA.fields, day])).parquet(path)
+
+
 def within_retention(
     df: DataFrame, as_of: date, days: int, contract: TableContract = RAW_TABLE
 ) -> DataFrame:

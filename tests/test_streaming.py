@@ -1,0 +1,156 @@
+"""Streams: redelivery, dead letters, late data, velocity, scoring across restarts."""
+
+from __future__ import annotations
+
+import json
+import os
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardvigil.operators.alerts import build_alerts
+from cardvigil.operators.features import engineer
+from cardvigil.plans import standin
+from cardvigil.schema import ALERT_COLUMNS, RAW_SCHEMA
+from cardvigil.sources import decode
+from cardvigil.sources.raw import read_raw, text_payloads
+from cardvigil.streaming import ingest, scoring, velocity
+
+ONCE = {"availableNow": True}
+
+
+class Inbox:
+    """A folder of payload files; each call to ``add`` is one more file."""
+
+    def __init__(self, path):
+        self.path = path
+        self.files = 0
+        os.mkdir(path)
+
+    def add(self, *records):
+        lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
+        with open(f"{self.path}/{self.files:03}.json", "w") as f:
+            f.write("\n".join(lines))
+        self.files += 1
+
+
+def txn(i, time, card="C", amount=1.0, **more):
+    return {"transaction_id": i, "card_id": card, "amount": amount, "transaction_timestamp": time, **more}
+
+
+@pytest.fixture
+def inbox(folder):
+    return Inbox(folder("inbox"))
+
+
+def run_landing(spark, inbox, folder):
+    unique = ingest.without_redelivered(ingest.valid_transactions(text_payloads(spark, inbox.path)))
+    ingest.land(unique, folder("raw"), folder("checkpoint"), ONCE).awaitTermination()
+    return sorted(r[0] for r in read_raw(spark, folder("raw")).select("transaction_id").collect())
+
+
+def test_redelivered_events_land_once(spark, inbox, folder):
+    one = txn("a", "2025-03-01T10:00:00")
+    inbox.add(*[one] * 40, txn("b", "2025-03-01T10:01:00"))
+    inbox.add(*[one] * 40)
+    assert run_landing(spark, inbox, folder) == ["a", "b"]
+    inbox.add(one, txn("c", "2025-03-01T10:02:00"))  # redelivered after a restart
+    assert run_landing(spark, inbox, folder) == ["a", "b", "c"]
+
+
+def test_rows_behind_the_watermark_are_dropped(spark, inbox, folder):
+    inbox.add(txn("a", "2025-03-01T10:00:00"))
+    run_landing(spark, inbox, folder)
+    inbox.add(txn("late", "2025-03-01T09:00:00"), txn("close", "2025-03-01T09:55:00"))
+    assert run_landing(spark, inbox, folder) == ["a", "close"]
+
+
+def test_landing_is_partitioned_by_date(spark, inbox, folder):
+    inbox.add(txn("a", "2025-03-01T23:59:59"), txn("b", "2025-03-02T00:00:00"))
+    run_landing(spark, inbox, folder)
+    days = {r["date"] for r in read_raw(spark, folder("raw")).select("date").collect()}
+    assert days == {date(2025, 3, 1), date(2025, 3, 2)}
+
+
+def test_dead_letters(spark, inbox, folder):
+    inbox.add(
+        txn("a", "2025-03-01T10:00:00"),
+        txn("b", "not a time"),
+        txn("c", "2025-03-01T10:00:00", amount=-5),
+        "{cut off",
+    )
+    payloads = text_payloads(spark, inbox.path)
+    ingest.land_rejected(payloads, folder("dead"), folder("checkpoint-dead"), ONCE).awaitTermination()
+    letters = spark.read.parquet(folder("dead")).select("transaction_id", "_corrupt_record", "reasons").collect()
+    got = {(r[0] or r[1], *r[2]) for r in letters}
+    assert got == {("b", "missing_timestamp"), ("c", "negative_amount"), ("{cut off", "unreadable_payload")}
+    assert run_landing(spark, inbox, folder) == ["a"]
+
+
+def test_velocity_in_complete_mode_equals_batch(spark, sf_dir, folder):
+    raw = standin.transactions(spark, sf_dir)
+    decode.encode_payload(raw).write.text(folder("inbox"))
+    stream = velocity.velocity_windows(ingest.valid_transactions(text_payloads(spark, folder("inbox"))))
+
+    def keep(df, batch_id):
+        df.write.mode("overwrite").parquet(folder("windows"))
+
+    (
+        stream.writeStream.outputMode("complete")
+        .foreachBatch(keep)
+        .option("checkpointLocation", folder("checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    want = (
+        raw.groupBy(F.window("transaction_timestamp", "10 minutes", "5 minutes").start.alias("window_start"), "card_id")
+        .count()
+    )
+    got = spark.read.parquet(folder("windows")).select("window_start", "card_id", "txn_count_10min")
+    assert want.exceptAll(got).count() == 0 and got.count() == want.count()
+
+
+def score_inbox(spark, inbox_path, folder):
+    incoming = ingest.without_redelivered(ingest.valid_transactions(text_payloads(spark, inbox_path)))
+    scoring.start_scoring(
+        incoming,
+        folder("landing"),
+        folder("alerts"),
+        folder("checkpoint"),
+        F.col("transaction_timestamp"),
+        standin.CONFIG,
+        ONCE,
+    ).awaitTermination()
+
+
+def test_scoring_in_parts_equals_batch(spark, sf_dir, folder):
+    raw = standin.transactions(spark, sf_dir)
+    cut = F.lit("2024-01-16").cast("timestamp")
+    for part in (F.col("transaction_timestamp") < cut, F.col("transaction_timestamp") >= cut):
+        decode.encode_payload(raw.filter(part)).write.mode("append").text(folder("inbox"))
+        score_inbox(spark, folder("inbox"), folder)
+    want = build_alerts(engineer(raw, standin.CONFIG), F.col("transaction_timestamp"), standin.CONFIG)
+    got = spark.read.parquet(folder("alerts")).select(*ALERT_COLUMNS)
+    assert want.count() > 10
+    assert want.exceptAll(got).count() == 0 and got.count() == want.count()
+
+
+def test_a_repeated_batch_changes_nothing(spark, sf_dir, folder):
+    raw = standin.transactions(spark, sf_dir).select(*RAW_SCHEMA.names)
+    cut = F.lit("2024-01-20").cast("timestamp")
+    first = raw.filter(F.col("transaction_timestamp") < cut)
+    second = raw.filter(F.col("transaction_timestamp") >= cut)
+    run = scoring.score_batch(
+        spark, folder("landing"), folder("alerts"), F.col("transaction_timestamp"), standin.CONFIG
+    )
+    run(first, 0)
+    run(second, 1)
+    once = sorted(r[0] for r in spark.read.parquet(folder("alerts")).select("alert_id").collect())
+    run(second, 1)
+    run(raw.limit(0), 2)
+    assert once == sorted(r[0] for r in spark.read.parquet(folder("alerts")).select("alert_id").collect())
+    assert spark.read.parquet(folder("landing")).count() == raw.count()
+    want = build_alerts(engineer(raw, standin.CONFIG), F.col("transaction_timestamp"), standin.CONFIG)
+    assert once == sorted(r[0] for r in want.select("alert_id").collect())
