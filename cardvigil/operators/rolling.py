@@ -23,7 +23,7 @@ joined back on card and second, a key Spark can spread and AQE can split.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardvigil.config import RiskConfig
@@ -63,68 +63,62 @@ def epoch_second(ts: Column) -> Column:
 def _with_parts(df: DataFrame) -> DataFrame:
     """Each transaction as a total of one row."""
     amount = F.col("amount")
-    return df.withColumns(
-        {
-            "_second": epoch_second(F.col("transaction_timestamp")),
-            "_ids": F.col("transaction_id").isNotNull().cast("bigint"),
-            "_amounts": amount.isNotNull().cast("bigint"),
-            "_cents": F.coalesce(cents(amount), F.lit(0).cast("bigint")),
-            "_squares": F.coalesce(squared_cents(amount), F.lit(0).cast("decimal(38,0)")),
-            "_top": cents(amount),
-        }
+    parts = {
+        "_second": epoch_second(F.col("transaction_timestamp")),
+        "_top": cents(amount),
+        "_squares": F.coalesce(squared_cents(amount), F.lit(0).cast("decimal(38,0)")),
+    }
+    return df.withColumns(parts).selectExpr(
+        "*",
+        "CAST(transaction_id IS NOT NULL AS BIGINT) AS _ids",
+        "CAST(_top IS NOT NULL AS BIGINT) AS _amounts",
+        "coalesce(_top, 0L) AS _cents",
     )
 
 
-def _trailing_totals(keys: list[str]) -> dict[str, Column]:
-    forward = Window.partitionBy(*keys).orderBy("_second")
-    columns = {}
-    for total, spans in TOTALS.items():
-        part = f"_{total}"
-        until_now = F.sum(part).over(forward.rangeBetween(Window.unboundedPreceding, 0))
-        for span in spans:
-            before = F.sum(part).over(
-                forward.rangeBetween(Window.unboundedPreceding, -SPANS[span] - 1)
-            )
-            # Rows without a time are a group of their own with nothing before it.
-            outside = F.when(F.col("_second").isNotNull(), before)
-            columns[f"{total}_{span}"] = F.coalesce(until_now - outside, until_now)
-    return columns
+def _trailing_totals(keys: str) -> list[str]:
+    over = f"OVER (PARTITION BY {keys} ORDER BY _second RANGE BETWEEN UNBOUNDED PRECEDING AND"
+    return [
+        # Rows without a time are a group of their own with nothing before it.
+        f"sum(_{total}) {over} CURRENT ROW)"
+        f" - if(_second IS NULL, 0, coalesce(sum(_{total}) {over} {SPANS[span] + 1} PRECEDING), 0))"
+        f" AS {total}_{span}"
+        for total, spans in TOTALS.items()
+        for span in spans
+    ]
 
 
-def _with_trailing_max(df: DataFrame, keys: list[str]) -> DataFrame:
+def _roll(df: DataFrame, keys: str) -> DataFrame:
     span = SPANS[MAX_SPAN]
-    block = F.floor(F.col("_second") / (span + 1))
-    forward = Window.partitionBy(*keys).orderBy("_second")
-    backward = Window.partitionBy(*keys).orderBy(F.col("_second").desc())
-
-    # Running maxima of (block, cents): the current block outranks all passed ones.
-    block_start_to_now = F.max(F.struct(block.alias("block"), F.col("_top").alias("top"))).over(
-        forward.rangeBetween(Window.unboundedPreceding, 0)
-    )
-    now_to_block_end = F.max(F.struct((-block).alias("minus_block"), F.col("_top").alias("top"))).over(
-        backward.rangeBetween(Window.unboundedPreceding, 0)
-    )
-    # Read backwards, the last row met within the span is its first in time.
-    span_start = F.last("_block_tail").over(backward.rangeBetween(Window.unboundedPreceding, span))
-
-    previous = F.when(
-        F.col("_span_start.minus_block") == -(block - 1), F.col("_span_start.top")
-    )
+    block = f"floor(_second / {span + 1})"
+    forward = f"OVER (PARTITION BY {keys} ORDER BY _second RANGE BETWEEN UNBOUNDED PRECEDING AND"
+    backward = f"OVER (PARTITION BY {keys} ORDER BY _second DESC RANGE BETWEEN UNBOUNDED PRECEDING AND"
     return (
-        df.withColumn("_block_tail", now_to_block_end)
-        .withColumn("_span_start", span_start)
-        .withColumn("_block_head", block_start_to_now)
-        .withColumn(f"top_{MAX_SPAN}", F.greatest(F.col("_block_head.top"), previous))
+        # Running maxima of (block, cents): the current block outranks all passed ones.
+        df.selectExpr(
+            "*",
+            f"max(struct(-{block} AS minus_block, _top AS top)) {backward} CURRENT ROW) AS _block_tail",
+        )
+        # Read backwards, the last row met within the span is its first in time.
+        .selectExpr("*", f"last(_block_tail) {backward} {span} FOLLOWING) AS _span_start")
+        .selectExpr(
+            "*",
+            f"max(struct({block} AS block, _top AS top)) {forward} CURRENT ROW) AS _block_head",
+            *_trailing_totals(keys),
+        )
+        .withColumn(
+            f"top_{MAX_SPAN}",
+            F.expr(
+                "greatest(_block_head.top, "
+                f"if(_span_start.minus_block = 1 - {block}, _span_start.top, NULL))"
+            ),
+        )
         .drop("_block_tail", "_span_start", "_block_head")
     )
 
 
-def _roll(df: DataFrame, keys: list[str]) -> DataFrame:
-    return _with_trailing_max(df, keys).withColumns(_trailing_totals(keys))
-
-
 def _roll_light(df: DataFrame) -> DataFrame:
-    return _roll(_with_parts(df), ["card_id"]).drop("_second", *PARTS)
+    return _roll(_with_parts(df), "card_id").drop("_second", *PARTS)
 
 
 def _roll_heavy(df: DataFrame) -> DataFrame:
@@ -141,7 +135,7 @@ def _roll_heavy(df: DataFrame) -> DataFrame:
     slices = F.when(own.isNull(), F.array(own)).otherwise(F.array(own, own + 1))
     sliced = seconds.select("*", F.posexplode(slices).alias("_copy", "_slice"))
     rolled = (
-        _roll(sliced, ["card_id", "_slice"])
+        _roll(sliced, "card_id, _slice")
         .filter(F.col("_copy") == 0)
         .select(F.col("card_id").alias("_card"), F.col("_second").alias("_at"), *TRAILING)
     )

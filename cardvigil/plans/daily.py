@@ -19,6 +19,7 @@ from cardvigil.sources.tables import (
     load_clustered,
     read_alerts,
     write_by_date,
+    write_day,
 )
 
 
@@ -48,7 +49,7 @@ def run_features(
     """One day's features from the raw table, written as that day's partition."""
     pin_utc(spark)
     raw = read_raw_day(spark, raw_path, run_date, LOOKBACK_DAYS)
-    write_by_date(features_for_day(raw, run_date, cfg), output_path, FEATURE_TABLE)
+    write_day(features_for_day(raw, run_date, cfg), output_path, FEATURE_TABLE)
     return _day(spark.read.parquet(output_path), run_date)
 
 

@@ -33,6 +33,11 @@ def write_by_date(df: DataFrame, path: str, contract: TableContract) -> None:
     _write(dated.hint("rebalance", F.col(contract.date_column)), path, contract)
 
 
+def write_day(df: DataFrame, path: str, contract: TableContract) -> None:
+    """Job output of one day. Its tasks all write to the same folder, so nothing is moved first."""
+    _write(with_partition_date(df, contract), path, contract)
+
+
 def load_clustered(df: DataFrame, path: str, contract: TableContract) -> None:
     """Table load: partitioned by day and ordered by the contract's cluster columns.
 

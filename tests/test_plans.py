@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from cardvigil import RiskConfig
 from cardvigil.operators import quality
 from cardvigil.operators.alerts import build_alerts, latest_features, list_alerts
 from cardvigil.operators.features import engineer, features
@@ -101,3 +103,36 @@ def test_alert_list_is_a_top_list(raw):
 
 def test_point_lookup_is_pushed_to_the_files(stored):
     assert "EqualTo(transaction_id,5)" in plan_of(stored.filter(F.col("transaction_id") == "5"))
+
+
+def test_a_hot_second_is_split_by_adaptive_execution(spark, folder):
+    """Half of a heavy card's rows lack a time and share one join key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    rows = spark.range(0, 120_000, 1, 8).selectExpr(
+        "CAST(id AS STRING) AS transaction_id",
+        "'hot' AS card_id",
+        "'C' AS customer_id",
+        "CAST(id % 100 AS DECIMAL(18, 2)) AS amount",
+        "'IN' AS merchant_country",
+        "if(id % 2 = 0, NULL, timestamp_seconds(1700000000 + id)) AS transaction_timestamp",
+        "'POS' AS transaction_type",
+        "0 AS is_fraud",
+    )
+    rows.write.parquet(folder("hot"))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        out = engineer(spark.read.parquet(folder("hot")), replace(RiskConfig(), heavy_rows=1000))
+        found = out.filter("txn_count_24h = 60000 AND transaction_timestamp IS NULL")
+        assert len(found.select("transaction_id").collect()) == 60_000
+        out.collect()
+        plan = plan_of(out)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "SortMergeJoin(skew=true)" in plan
