@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from cardvigil.operators import alerts as desk
 from cardvigil.operators import quality
 from cardvigil.operators.features import engineer, features, features_for_day, with_home_country
-from cardvigil.plans import analytics, standin
+from cardvigil.plans import analytics, daily, standin
 from cardvigil.plans.standin import AS_OF, AS_OF_TIME, CONFIG, FIRST_DAY, LAST_DAY
 from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
 from cardvigil.session import new_folder, pin_utc
@@ -294,6 +294,36 @@ def alerts_resolve(spark, sf_dir):
     return _resolved_alerts(spark, sf_dir)
 
 
+# ---- the daily chain ----------------------------------------------------
+
+# A day of the smallest tables has 40 transactions, often none of them fraud.
+DAILY_CONFIG = replace(CONFIG, min_fraud_rate=0.0)
+
+
+def _refreshed(spark, sf_dir) -> tuple[str, str, DataFrame]:
+    """A stored raw table, the feature table after the last day's run, and that day of it."""
+    raw, output, loaded = (
+        new_folder(spark, name) for name in (RAW_TABLE.name, "features", FEATURE_TABLE.name)
+    )
+    write_by_date(standin.transactions(spark, sf_dir), raw, RAW_TABLE)
+    day = daily.refresh_day(spark, raw, output, loaded, LAST_DAY, AS_OF_TIME, DAILY_CONFIG)
+    return raw, loaded, day
+
+
+@query
+def daily_refresh(spark, sf_dir):
+    """Presence, features with lookback, validation, reconciliation, rate check, load."""
+    return _refreshed(spark, sf_dir)[2]
+
+
+@query
+def daily_scoring(spark, sf_dir):
+    """Alerts of the day just loaded."""
+    raw, loaded, _ = _refreshed(spark, sf_dir)
+    found = new_folder(spark, ALERT_TABLE.name)
+    return daily.score_day(spark, raw, loaded, found, LAST_DAY, AS_OF_TIME, CONFIG)
+
+
 # ---- ingest -------------------------------------------------------------
 
 

@@ -292,6 +292,15 @@ ORACLES: dict[str, str] = {
              AND transaction_timestamp <= TIMESTAMP '2024-01-31'"""
     ),
     "alerts_resolve": _alerts(f"SELECT {ALERT_LIST} FROM resolved"),
+    "daily_refresh": _feat(
+        f"""SELECT {FEATURE_LIST}, day AS _feature_date,
+            TIMESTAMP '2024-01-31 00:00:00' AS _loaded_at FROM feat WHERE day = '2024-01-30'"""
+    ),
+    "daily_scoring": _alerts(
+        f"""SELECT {ALERT_LIST}, day AS _alert_date FROM (
+              SELECT * REPLACE (TIMESTAMP '2024-01-31 00:00:00' AS _created_at) FROM alerts)
+            WHERE day = '2024-01-30'"""
+    ),
     "ingest_json_decode": _txn(f"SELECT {RAW_LIST} FROM txn"),
     "ingest_json_files": _txn(f"SELECT {RAW_LIST} FROM txn"),
     "ingest_route": _txn(
