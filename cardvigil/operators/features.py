@@ -16,12 +16,18 @@ from cardvigil.schema import FEATURE_COLUMNS
 LOOKBACK_DAYS = SPANS["30d"] // 86400
 
 
-def engineer(df: DataFrame, cfg: RiskConfig = RiskConfig(), home: Column | None = None) -> DataFrame:
-    """All input columns plus every feature, and ``stddev_amount_30d`` besides.
+def engineer(
+    df: DataFrame,
+    cfg: RiskConfig = RiskConfig(),
+    home: Column | None = None,
+    history: DataFrame | None = None,
+) -> DataFrame:
+    """All columns of ``df`` plus every feature, and ``stddev_amount_30d`` besides.
 
-    Selecting fewer columns prunes the windows behind the others.
+    Selecting fewer columns prunes the windows behind the others. Earlier rows
+    that count but are not wanted themselves go in ``history``.
     """
-    rolled = with_trailing(df, cfg)
+    rolled = with_trailing(df, cfg, history)
     counts_and_amounts = {
         "txn_count_1h": F.col("ids_1h"),
         "txn_count_24h": F.col("ids_24h"),
@@ -53,16 +59,10 @@ def features(df: DataFrame, cfg: RiskConfig = RiskConfig(), home: Column | None
     return engineer(df, cfg, home).select(*FEATURE_COLUMNS)
 
 
-def with_card_history(new: DataFrame, history: DataFrame) -> DataFrame:
-    """``new`` rows plus those ``history`` rows whose card occurs among them.
-
-    ``_is_new`` tells them apart. For few cards among many, as in a micro-batch.
-    """
-    cards = new.select(F.col("card_id").alias("_card")).distinct()
-    wanted = history.join(cards, F.col("card_id").eqNullSafe(F.col("_card")), "left_semi")
-    return new.withColumn("_is_new", F.lit(True)).unionByName(
-        wanted.withColumn("_is_new", F.lit(False))
-    )
+def history_of_cards(history: DataFrame, rows: DataFrame) -> DataFrame:
+    """Those ``history`` rows whose card occurs in ``rows``, e.g. in a micro-batch."""
+    cards = rows.select(F.col("card_id").alias("_card")).distinct()
+    return history.join(cards, F.col("card_id").eqNullSafe(F.col("_card")), "left_semi")
 
 
 def features_for_day(
@@ -73,14 +73,15 @@ def features_for_day(
 ) -> DataFrame:
     """Features of one day's rows, with frames that reach back over the full 30 days.
 
-    The first filter is on the partition column, so 31 days are read, not the
-    table. Most cards are used within a day, hence no attempt to leave out the
-    others: it would cost a shuffle of all 31 days.
+    Both filters are on the partition column, so 31 days are read, not the
+    table, and of 30 of them four columns only. Most cards are used within a
+    day; leaving out the others would cost a shuffle of all 31 days.
     """
     day = F.col(date_column)
-    first = run_date - timedelta(days=LOOKBACK_DAYS)
-    rows = raw.filter(day.between(F.lit(first), F.lit(run_date)))
-    return engineer(rows, cfg).filter(day == F.lit(run_date)).select(*FEATURE_COLUMNS)
+    first, last = run_date - timedelta(days=LOOKBACK_DAYS), run_date - timedelta(days=1)
+    today = raw.filter(day == F.lit(run_date))
+    earlier = raw.filter(day.between(F.lit(first), F.lit(last)))
+    return engineer(today, cfg, history=earlier).select(*FEATURE_COLUMNS)
 
 
 def with_home_country(df: DataFrame, customers: DataFrame) -> DataFrame:

@@ -51,6 +51,7 @@ MAX_SPAN = "24h"
 SLICE_SECONDS = SPANS["30d"]
 
 PARTS = ["_ids", "_amounts", "_cents", "_squares", "_top"]
+IS_NEW = "_is_new"
 TRAILING = [f"{total}_{span}" for total, spans in TOTALS.items() for span in spans] + [
     f"top_{MAX_SPAN}"
 ]
@@ -60,8 +61,8 @@ def epoch_second(ts: Column) -> Column:
     return F.unix_timestamp(ts)
 
 
-def _with_parts(df: DataFrame) -> DataFrame:
-    """Each transaction as a total of one row."""
+def with_parts(df: DataFrame) -> DataFrame:
+    """Each transaction as a total of one row, in ``_second`` and the ``PARTS``."""
     amount = F.col("amount")
     parts = {
         "_second": epoch_second(F.col("transaction_timestamp")),
@@ -117,19 +118,15 @@ def _roll(df: DataFrame, keys: str) -> DataFrame:
     )
 
 
-def _roll_light(df: DataFrame) -> DataFrame:
-    return _roll(_with_parts(df), "card_id").drop("_second", *PARTS)
+def _roll_light(rows: DataFrame) -> DataFrame:
+    return _roll(rows, "card_id").filter(IS_NEW)
 
 
-def _roll_heavy(df: DataFrame) -> DataFrame:
-    seconds = (
-        _with_parts(df)
-        .groupBy("card_id", "_second")
-        .agg(
-            *[F.sum(part).cast("bigint").alias(part) for part in ("_ids", "_amounts", "_cents")],
-            F.sum("_squares").alias("_squares"),
-            F.max("_top").alias("_top"),
-        )
+def _roll_heavy(rows: DataFrame) -> DataFrame:
+    seconds = rows.groupBy("card_id", "_second").agg(
+        *[F.sum(part).alias(part) for part in ("_ids", "_amounts", "_cents")],
+        F.sum("_squares").cast("decimal(38,0)").alias("_squares"),
+        F.max("_top").alias("_top"),
     )
     own = F.floor(F.col("_second") / SLICE_SECONDS)
     slices = F.when(own.isNull(), F.array(own)).otherwise(F.array(own, own + 1))
@@ -139,12 +136,22 @@ def _roll_heavy(df: DataFrame) -> DataFrame:
         .filter(F.col("_copy") == 0)
         .select(F.col("card_id").alias("_card"), F.col("_second").alias("_at"), *TRAILING)
     )
-    rows = df.withColumn("_second", epoch_second(F.col("transaction_timestamp")))
     same = F.col("card_id").eqNullSafe(F.col("_card")) & F.col("_second").eqNullSafe(F.col("_at"))
-    return rows.join(rolled, same, "inner").drop("_second", "_card", "_at")
-
-
-def with_trailing(df: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """``df`` with the ``TRAILING`` columns, one output row per input row."""
-    light, heavy = split_heavy(df, "card_id", cfg)
-    return _roll_light(light).unionByName(_roll_heavy(heavy))
+    return rows.filter(IS_NEW).join(rolled, same, "inner").drop("_card", "_at")
+
+
+def with_trailing(
+    df: DataFrame, cfg: RiskConfig, history: DataFrame | None = None
+) -> DataFrame:
+    """``df`` with the ``TRAILING`` columns, one output row per row of ``df``.
+
+    ``history`` holds earlier rows that count towards the totals and get none
+    themselves. Only what the totals need of them is read and shuffled.
+    """
+    rows = with_parts(df).withColumn(IS_NEW, F.lit(True))
+    if history is not None:
+        past = with_parts(history).select("card_id", "_second", *PARTS, F.lit(False).alias(IS_NEW))
+        rows = rows.unionByName(past, allowMissingColumns=True)
+    light, heavy = split_heavy(rows, "card_id", cfg)
+    rolled = _roll_light(light).unionByName(_roll_heavy(heavy))
+    return rolled.drop("_second", IS_NEW, *PARTS)

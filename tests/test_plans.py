@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from cardvigil import RiskConfig
 from cardvigil.operators import quality
 from cardvigil.operators.alerts import build_alerts, latest_features, list_alerts
-from cardvigil.operators.features import engineer, features
-from cardvigil.operators.rolling import _roll_light
+from cardvigil.operators.features import engineer, features, features_for_day
+from cardvigil.operators.rolling import IS_NEW, _roll_light, with_parts
 from cardvigil.plans import analytics, standin
-from cardvigil.schema import FEATURE_TABLE
+from cardvigil.schema import FEATURE_TABLE, RAW_TABLE
+from cardvigil.sources.raw import read_raw
 from cardvigil.sources.tables import write_by_date
 from tests.plans import plan_of
 
@@ -33,22 +34,26 @@ def raw(spark, sf_dir, folder):
     return spark.read.parquet(path)
 
 
+def light(raw):
+    return _roll_light(with_parts(raw).withColumn(IS_NEW, F.lit(True)))
+
+
 def test_all_windows_of_a_card_share_one_shuffle(raw):
-    plan = plan_of(_roll_light(raw))
+    plan = plan_of(light(raw))
     assert plan.count("Exchange hashpartitioning(card_id") == 1
     assert len(re.findall(r"Exchange ", plan)) == 1
     assert len(re.findall(r"\+- Sort ", plan)) == 2
 
 
 def test_unused_windows_are_pruned(raw):
-    plan = plan_of(_roll_light(raw).select("transaction_id", "ids_1h"))
+    plan = plan_of(light(raw).select("transaction_id", "ids_1h"))
     assert "max(" not in plan and "_squares" not in plan
     assert "ReadSchema: struct<transaction_id:string,card_id:string,transaction_timestamp:timestamp>" in plan
     assert len(re.findall(r"\+- Sort ", plan)) == 1
 
 
 def test_card_filter_reaches_the_scan(raw):
-    plan = plan_of(_roll_light(raw).filter(F.col("card_id") == "7"))
+    plan = plan_of(light(raw).filter(F.col("card_id") == "7"))
     assert "EqualTo(card_id,7)" in plan
 
 
@@ -136,3 +141,16 @@ def test_a_hot_second_is_split_by_adaptive_execution(spark, folder):
         for name in settings:
             spark.conf.unset(name)
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_history_is_read_narrow_and_by_partition(spark, sf_dir, folder):
+    write_by_date(standin.transactions(spark, sf_dir), folder("by-date"), RAW_TABLE)
+    raw = read_raw(spark, folder("by-date"))
+    out = features_for_day(raw, standin.LAST_DAY, standin.CONFIG)
+    out.collect()
+    scans = re.findall(r"PartitionFilters: \[([^\n]*?)\], PushedFilters[^\n]*ReadSchema: (struct<[^\n]*>)", plan_of(out))
+    assert scans and all("(date#" in filters for filters, _ in scans)
+    past = [schema for filters, schema in scans if ">=" in filters]
+    assert past
+    for schema in past:
+        assert "customer_id" not in schema and "merchant_country" not in schema and "is_fraud" not in schema
