@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardvigil.config import RiskConfig
 from cardvigil.functions import risk
 from cardvigil.functions.exact import mean_money, money, sample_stddev_money
-from cardvigil.operators.rolling import SPANS, TRAILING, with_trailing
+from cardvigil.operators.rolling import SPANS, TRAILING, with_parts, with_trailing
 from cardvigil.schema import FEATURE_COLUMNS
 
 LOOKBACK_DAYS = SPANS["30d"] // 86400
@@ -21,13 +21,15 @@ def engineer(
     cfg: RiskConfig = RiskConfig(),
     home: Column | None = None,
     history: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """All columns of ``df`` plus every feature, and ``stddev_amount_30d`` besides.
 
     Selecting fewer columns prunes the windows behind the others. Earlier rows
-    that count but are not wanted themselves go in ``history``.
+    that count but are not wanted themselves go in ``history``, as totals.
+    ``at_most`` is a known bound on the rows of both.
     """
-    rolled = with_trailing(df, cfg, history)
+    rolled = with_trailing(df, cfg, history, at_most)
     counts_and_amounts = {
         "txn_count_1h": F.col("ids_1h"),
         "txn_count_24h": F.col("ids_24h"),
@@ -59,12 +61,6 @@ def features(df: DataFrame, cfg: RiskConfig = RiskConfig(), home: Column | None
     return engineer(df, cfg, home).select(*FEATURE_COLUMNS)
 
 
-def history_of_cards(history: DataFrame, rows: DataFrame) -> DataFrame:
-    """Those ``history`` rows whose card occurs in ``rows``, e.g. in a micro-batch."""
-    cards = rows.select(F.col("card_id").alias("_card")).distinct()
-    return history.join(cards, F.col("card_id").eqNullSafe(F.col("_card")), "left_semi")
-
-
 def features_for_day(
     raw: DataFrame,
     run_date: date,
@@ -81,7 +77,7 @@ def features_for_day(
     first, last = run_date - timedelta(days=LOOKBACK_DAYS), run_date - timedelta(days=1)
     today = raw.filter(day == F.lit(run_date))
     earlier = raw.filter(day.between(F.lit(first), F.lit(last)))
-    return engineer(today, cfg, history=earlier).select(*FEATURE_COLUMNS)
+    return engineer(today, cfg, history=with_parts(earlier)).select(*FEATURE_COLUMNS)
 
 
 def with_home_country(df: DataFrame, customers: DataFrame) -> DataFrame:

@@ -141,17 +141,25 @@ def _roll_heavy(rows: DataFrame) -> DataFrame:
 
 
 def with_trailing(
-    df: DataFrame, cfg: RiskConfig, history: DataFrame | None = None
+    df: DataFrame,
+    cfg: RiskConfig,
+    history: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """``df`` with the ``TRAILING`` columns, one output row per row of ``df``.
 
-    ``history`` holds earlier rows that count towards the totals and get none
-    themselves. Only what the totals need of them is read and shuffled.
+    ``history`` has card, second and ``PARTS`` of earlier rows, or of several
+    added up per second. They count towards the totals and get none themselves.
+    ``at_most`` bounds the rows of both, where known: if not even all of them
+    would make a heavy card, none is looked for.
     """
     rows = with_parts(df).withColumn(IS_NEW, F.lit(True))
     if history is not None:
-        past = with_parts(history).select("card_id", "_second", *PARTS, F.lit(False).alias(IS_NEW))
+        past = history.select("card_id", "_second", *PARTS, F.lit(False).alias(IS_NEW))
         rows = rows.unionByName(past, allowMissingColumns=True)
-    light, heavy = split_heavy(rows, "card_id", cfg)
-    rolled = _roll_light(light).unionByName(_roll_heavy(heavy))
+    if at_most is not None and at_most <= cfg.heavy_rows:
+        rolled = _roll_light(rows)
+    else:
+        light, heavy = split_heavy(rows, "card_id", cfg)
+        rolled = _roll_light(light).unionByName(_roll_heavy(heavy))
     return rolled.drop("_second", IS_NEW, *PARTS)

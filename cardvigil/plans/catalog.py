@@ -411,8 +411,8 @@ def stream_velocity_10min(spark, sf_dir):
 @query
 def stream_score_alerts(spark, sf_dir):
     """All events arriving in three parts; each run of the stream scores what is new."""
-    inbox, landing, found, checkpoint = (
-        new_folder(spark, name) for name in ("inbox", "landing", "alerts", "checkpoint")
+    inbox, staging, found, checkpoint = (
+        new_folder(spark, name) for name in ("inbox", "staging", "alerts", "checkpoint")
     )
     raw = standin.transactions(spark, sf_dir)
     time = F.col("transaction_timestamp")
@@ -424,6 +424,6 @@ def stream_score_alerts(spark, sf_dir):
             ingest.valid_transactions(text_payloads(spark, inbox))
         )
         scoring.start_scoring(
-            incoming, landing, found, checkpoint, F.col("transaction_timestamp"), CONFIG, ONCE
+            incoming, staging, found, checkpoint, F.col("transaction_timestamp"), CONFIG, ONCE
         ).awaitTermination()
     return read_alerts(spark, found).drop(scoring.BATCH)

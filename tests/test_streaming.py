@@ -5,17 +5,20 @@ from __future__ import annotations
 import json
 import os
 from datetime import date
+from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from cardvigil.operators.alerts import build_alerts
 from cardvigil.operators.features import engineer
+from cardvigil.operators.rolling import with_parts
 from cardvigil.plans import standin
 from cardvigil.schema import ALERT_COLUMNS, RAW_SCHEMA
 from cardvigil.sources import decode
 from cardvigil.sources.raw import read_raw, text_payloads
-from cardvigil.streaming import ingest, scoring, velocity
+from cardvigil.streaming import ingest, memory, scoring, velocity
 
 ONCE = {"availableNow": True}
 
@@ -116,7 +119,7 @@ def score_inbox(spark, inbox_path, folder):
     incoming = ingest.without_redelivered(ingest.valid_transactions(text_payloads(spark, inbox_path)))
     scoring.start_scoring(
         incoming,
-        folder("landing"),
+        folder("staging"),
         folder("alerts"),
         folder("checkpoint"),
         F.col("transaction_timestamp"),
@@ -137,20 +140,117 @@ def test_scoring_in_parts_equals_batch(spark, sf_dir, folder):
     assert want.exceptAll(got).count() == 0 and got.count() == want.count()
 
 
+def as_batch(raw, history):
+    """What the memory hands to a micro-batch: payloads with totals, and history without payload."""
+    rows = decode.encode_payload(with_parts(raw).withColumn("card", F.col("card_id")), "payload")
+    rows = rows.withColumnRenamed("card", "card_id").select(*memory.COLUMNS)
+    past = with_parts(history).withColumn("payload", F.lit(None).cast("string"))
+    return rows.unionByName(past.select(*memory.COLUMNS))
+
+
 def test_a_repeated_batch_changes_nothing(spark, sf_dir, folder):
     raw = standin.transactions(spark, sf_dir).select(*RAW_SCHEMA.names)
     cut = F.lit("2024-01-20").cast("timestamp")
     first = raw.filter(F.col("transaction_timestamp") < cut)
     second = raw.filter(F.col("transaction_timestamp") >= cut)
     run = scoring.score_batch(
-        spark, folder("landing"), folder("alerts"), F.col("transaction_timestamp"), standin.CONFIG
+        spark, folder("staging"), folder("alerts"), F.col("transaction_timestamp"), standin.CONFIG
     )
-    run(first, 0)
-    run(second, 1)
-    once = sorted(r[0] for r in spark.read.parquet(folder("alerts")).select("alert_id").collect())
-    run(second, 1)
-    run(raw.limit(0), 2)
-    assert once == sorted(r[0] for r in spark.read.parquet(folder("alerts")).select("alert_id").collect())
-    assert spark.read.parquet(folder("landing")).count() == raw.count()
+
+    def found():
+        return sorted(r[0] for r in spark.read.parquet(folder("alerts")).select("alert_id").collect())
+
+    run(as_batch(first, raw.limit(0)), 0)
+    run(as_batch(second, first), 1)
+    once = found()
+    run(as_batch(second, first), 1)
+    run(as_batch(raw.limit(0), first), 2)
+    assert once == found()
     want = build_alerts(engineer(raw, standin.CONFIG), F.col("transaction_timestamp"), standin.CONFIG)
     assert once == sorted(r[0] for r in want.select("alert_id").collect())
+
+
+class State:
+    """The parts of a group state that `remember` uses."""
+
+    hasTimedOut = False
+    exists = False
+    timeout = None
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+    def setTimeoutTimestamp(self, ms):
+        self.timeout = ms
+
+    def remove(self):
+        self.exists = False
+
+
+def chunk(*rows):
+    """Rows of (second, cents or None)."""
+    return pd.DataFrame(
+        [
+            ("C", "{}", sec, 1, int(c is not None), c or 0, Decimal((c or 0) ** 2), c)
+            for sec, c in rows
+        ],
+        columns=memory.COLUMNS,
+    )
+
+
+def history(frames):
+    past = pd.concat([f for f in frames if f["payload"].isna().all()])
+    return [tuple(r) for r in past[["_second", "_ids", "_amounts", "_cents", "_squares", "_top"]].values]
+
+
+def test_memory_adds_up_per_second_and_keeps_30_days():
+    state, start = State(), 1_700_000_000
+    out = list(memory.remember(("C",), iter([chunk((start, 500), (start, None)), chunk((start, 300))]), state))
+    assert [len(f) for f in out] == [2, 1], "new rows pass through; there is no history yet"
+    assert state.timeout == (start + memory.HORIZON) * 1000
+
+    later = start + memory.HORIZON
+    out = list(memory.remember(("C",), iter([chunk((later, None))]), state))
+    assert history(out) == [(start, 3, 2, 800, Decimal(340000), 500)]
+    out = list(memory.remember(("C",), iter([chunk((later + 1, 7))]), state))
+    assert sorted(r[0] for r in history(out)) == [start, later]
+    assert history(out)[-1][-1] is None or history(out)[0][-1] is None
+    out = list(memory.remember(("C",), iter([chunk((later + 2, 7))]), state))
+    assert sorted(r[0] for r in history(out)) == [later, later + 1], "the first second has expired"
+
+    state.hasTimedOut = True
+    assert list(memory.remember(("C",), iter([]), state)) == [] and not state.exists
+
+
+def test_memory_is_exact_beyond_64_bits():
+    state, big = State(), 9 * 10**17
+    list(memory.remember(("C",), iter([chunk((1000, big), (1000, big))]), state))
+    ((_, _, _, total, squares, top),) = history(list(memory.remember(("C",), iter([chunk((1001, 1))]), state)))
+    assert (total, squares, top) == (2 * big, Decimal(2 * big * big), big)
+
+
+def test_memory_of_a_busy_card_is_bounded_by_time():
+    state = State()
+    rows = chunk(*[(1000 + n % 60, n % 50) for n in range(20_000)])
+    list(memory.remember(("C",), iter([rows, rows, rows]), state))
+    out = list(memory.remember(("C",), iter([chunk((2000, 1))]), state))
+    assert len(history(out)) == 60
+    assert sum(r[1] for r in history(out)) == 60_000
+
+
+def test_rows_of_one_second_split_over_batches(spark, inbox, folder):
+    """The second batch sees the first one's rows of the same second; a late row sees its past."""
+    inbox.add(txn("a", "2024-01-05T10:00:00", amount=200.0, merchant_country="X"))
+    score_inbox(spark, inbox.path, folder)
+    inbox.add(
+        txn("b", "2024-01-05T10:00:00", amount=1.0, merchant_country="X"),
+        txn("late", "2024-01-05T09:55:00", amount=200.0, merchant_country="X"),
+    )
+    score_inbox(spark, inbox.path, folder)
+    got = {r["transaction_id"]: r["fraud_flags"] for r in spark.read.parquet(folder("alerts")).collect()}
+    # a: foreign, high. b: foreign, and with a and late the third within ten minutes.
+    assert got == {
+        "a": ["is_foreign_merchant", "is_high_amount"],
+        "b": ["is_foreign_merchant", "is_velocity_spike"],
+        "late": ["is_foreign_merchant", "is_high_amount"],
+    }
