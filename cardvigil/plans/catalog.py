@@ -16,7 +16,7 @@ from cardvigil.operators.features import engineer, features, features_for_day, w
 from cardvigil.plans import analytics, daily, standin
 from cardvigil.plans.standin import AS_OF, AS_OF_TIME, CONFIG, FIRST_DAY, LAST_DAY
 from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
-from cardvigil.session import new_folder, pin_utc
+from cardvigil.session import new_folder, pin_utc, state_partition_per_core
 from cardvigil.sources import decode
 from cardvigil.sources.raw import read_json, read_raw, text_payloads
 from cardvigil.sources.tables import (
@@ -395,7 +395,8 @@ def stream_ingest_dedup(spark, sf_dir):
     once = decode.encode_payload(_transaction_stream(spark, sf_dir))
     again = decode.encode_payload(_transaction_stream(spark, sf_dir))
     unique = ingest.without_redelivered(ingest.valid_transactions(once.unionByName(again)))
-    ingest.land(unique, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+    with state_partition_per_core(spark):
+        ingest.land(unique, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
     return read_raw(spark, path)
 
 
@@ -404,7 +405,8 @@ def stream_velocity_10min(spark, sf_dir):
     """Windows closed by the watermark at the end of the replay."""
     path = new_folder(spark, "velocity")
     windows = velocity.velocity_windows(_transaction_stream(spark, sf_dir))
-    ingest.to_files(windows, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+    with state_partition_per_core(spark):
+        ingest.to_files(windows, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
     return spark.read.schema(windows.schema).parquet(path)
 
 
@@ -423,7 +425,8 @@ def stream_score_alerts(spark, sf_dir):
         incoming = ingest.without_redelivered(
             ingest.valid_transactions(text_payloads(spark, inbox))
         )
-        scoring.start_scoring(
-            incoming, staging, found, checkpoint, F.col("transaction_timestamp"), CONFIG, ONCE
-        ).awaitTermination()
+        with state_partition_per_core(spark):
+            scoring.start_scoring(
+                incoming, staging, found, checkpoint, time, CONFIG, ONCE
+            ).awaitTermination()
     return read_alerts(spark, found).drop(scoring.BATCH)

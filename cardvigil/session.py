@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +16,22 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def state_partition_per_core(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in as many partitions as there are cores.
+
+    A stream keeps the number it starts with for good, and unlike a batch it is
+    not coalesced: each partition is a state store to commit in every micro-batch.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
