@@ -252,10 +252,14 @@ def _alerts(spark, sf_dir) -> DataFrame:
     return desk.build_alerts(rows, F.col("transaction_timestamp"), CONFIG)
 
 
-def _resolved_alerts(spark, sf_dir) -> DataFrame:
+def _stored_alerts(spark, sf_dir) -> DataFrame:
     path = new_folder(spark, ALERT_TABLE.name)
     write_by_date(_alerts(spark, sf_dir), path, ALERT_TABLE)
-    alerts = read_alerts(spark, path)
+    return read_alerts(spark, path)
+
+
+def _resolved_alerts(spark, sf_dir) -> DataFrame:
+    alerts = _stored_alerts(spark, sf_dir)
     return desk.resolve(alerts, standin.resolutions(alerts))
 
 
@@ -271,7 +275,9 @@ def alerts_build(spark, sf_dir):
 
 @query
 def alerts_list(spark, sf_dir):
-    return desk.list_alerts(_alerts(spark, sf_dir), "medium", 50)
+    """From the stored table, of which only the newest days are read."""
+    alerts = _stored_alerts(spark, sf_dir)
+    return desk.list_alerts(alerts, "medium", 50, ALERT_TABLE.date_column)
 
 
 @query
@@ -281,12 +287,13 @@ def alerts_list_all(spark, sf_dir):
 
 @query
 def alerts_by_transaction(spark, sf_dir):
-    return desk.alert_by_transaction(_alerts(spark, sf_dir), "65")
+    return desk.alert_by_transaction(_stored_alerts(spark, sf_dir), "65")
 
 
 @query
 def alerts_summary_24h(spark, sf_dir):
-    return desk.summarise(_alerts(spark, sf_dir), AS_OF_TIME)
+    alerts = _stored_alerts(spark, sf_dir)
+    return desk.summarise(alerts, AS_OF_TIME, ALERT_TABLE.date_column)
 
 
 @query

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from cardvigil import RiskConfig
 from cardvigil.operators import quality
-from cardvigil.operators.alerts import build_alerts, latest_features, list_alerts
+from cardvigil.operators.alerts import build_alerts, latest_features, list_alerts, summarise
 from cardvigil.operators.features import engineer, features, features_for_day
 from cardvigil.operators.rolling import IS_NEW, _roll_light, with_parts
 from cardvigil.plans import analytics, standin
-from cardvigil.schema import FEATURE_TABLE, RAW_TABLE
+from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_TABLE
 from cardvigil.sources.raw import read_raw
-from cardvigil.sources.tables import write_by_date
+from cardvigil.sources.tables import read_alerts, write_by_date
 from tests.plans import plan_of
 
 
@@ -154,3 +154,30 @@ def test_history_is_read_narrow_and_by_partition(spark, sf_dir, folder):
     assert past
     for schema in past:
         assert "customer_id" not in schema and "merchant_country" not in schema and "is_fraud" not in schema
+
+
+@pytest.fixture
+def stored_alerts(spark, sf_dir, folder):
+    built = build_alerts(
+        engineer(standin.transactions(spark, sf_dir), standin.CONFIG),
+        F.col("transaction_timestamp"),
+        standin.CONFIG,
+    )
+    write_by_date(built, folder("alerts"), ALERT_TABLE)
+    return read_alerts(spark, folder("alerts"))
+
+
+@pytest.mark.parametrize("severity", [None, "LOW", "HIGH", "URGENT"])
+@pytest.mark.parametrize("limit", [1, 10, 100])
+def test_list_reads_only_the_days_it_needs(stored_alerts, severity, limit):
+    plain = list_alerts(stored_alerts, severity, limit)
+    pruned = list_alerts(stored_alerts, severity, limit, ALERT_TABLE.date_column)
+    assert pruned.collect() == plain.collect()
+    assert re.search(r"PartitionFilters: \[[^]]*_alert_date[^]]*Subquery", plan_of(pruned))
+
+
+def test_summary_reads_two_days(stored_alerts):
+    plain = summarise(stored_alerts, standin.AS_OF_TIME)
+    pruned = summarise(stored_alerts, standin.AS_OF_TIME, ALERT_TABLE.date_column)
+    assert pruned.collect() == plain.collect()
+    assert "PartitionFilters: [isnotnull(_alert_date" in plan_of(pruned)
