@@ -142,8 +142,7 @@ def test_scoring_in_parts_equals_batch(spark, sf_dir, folder):
 
 def as_batch(raw, history):
     """What the memory hands to a micro-batch: payloads with totals, and history without payload."""
-    rows = decode.encode_payload(with_parts(raw).withColumn("card", F.col("card_id")), "payload")
-    rows = rows.withColumnRenamed("card", "card_id").select(*memory.COLUMNS)
+    rows = with_parts(raw).withColumn("payload", decode.as_payload()).select(*memory.COLUMNS)
     past = with_parts(history).withColumn("payload", F.lit(None).cast("string"))
     return rows.unionByName(past.select(*memory.COLUMNS))
 
