@@ -63,7 +63,9 @@ def high_risk_cards(
 
 def fraud_by_country(raw: DataFrame) -> DataFrame:
     """Per merchant country: volume, fraud count, rate, average amount."""
-    mean_cents = rounded_ratio(F.sum(cents(F.col("amount"))), F.count("amount"), 0)
+    # A country's cents may outgrow 64 bits.
+    total_cents = F.sum(cents(F.col("amount")).cast("decimal(19,0)"))
+    mean_cents = rounded_ratio(total_cents, F.count("amount"), 0)
     return (
         raw.groupBy("merchant_country")
         .agg(
