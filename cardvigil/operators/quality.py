@@ -37,16 +37,29 @@ def feature_report(features: DataFrame) -> DataFrame:
     )
 
 
+def _assert_none(report: DataFrame, *defects: str) -> None:
+    row = report.first()
+    found = {name: row[name] for name in defects if row[name]}
+    if found:
+        raise QualityError(f"validation failed: {found}")
+
+
+def assert_transactions(df: DataFrame) -> None:
+    """Raises ``QualityError`` on a NULL transaction id or a negative amount.
+
+    Features keep both columns, so this can be asked before they are computed.
+    """
+    report = df.agg(
+        F.count_if(F.col("transaction_id").isNull()).alias("null_transaction_ids"),
+        F.count_if(F.col("amount") < 0).alias("negative_amounts"),
+    )
+    _assert_none(report, "null_transaction_ids", "negative_amounts")
+
+
 def assert_features(features: DataFrame) -> None:
-    """Raises ``QualityError`` on a NULL transaction id or a negative amount."""
-    report = feature_report(features).first()
-    defects = {
-        name: report[name]
-        for name in ("null_transaction_ids", "negative_amounts", "inconsistent_counts")
-        if report[name]
-    }
-    if defects:
-        raise QualityError(f"feature validation failed: {defects}")
+    """The same for computed features, and for counts that contradict each other."""
+    defects = ("null_transaction_ids", "negative_amounts", "inconsistent_counts")
+    _assert_none(feature_report(features), *defects)
 
 
 def reconcile_rows(raw: DataFrame, features: DataFrame) -> DataFrame:

@@ -220,7 +220,7 @@ def dq_raw_presence(spark, sf_dir):
 
 @query
 def dq_not_null_contract(spark, sf_dir):
-    return quality.not_null_violations(_damaged(spark, sf_dir), RAW_TABLE)
+    return quality.not_null_violations(_damaged(standin.transactions(spark, sf_dir)), RAW_TABLE)
 
 
 @query
@@ -347,13 +347,11 @@ def ingest_json_files(spark, sf_dir):
     return read_json(spark, path, one_array_per_file=False).select(*RAW_SCHEMA.names)
 
 
-def _damaged(spark, sf_dir) -> DataFrame:
+def _damaged(raw: DataFrame) -> DataFrame:
     """All transactions, each broken in the way its merchant's number says, or not at all."""
-    number = F.substring("merchant_name", 2, 10).cast("int")
     return (
-        standin.transactions(spark, sf_dir)
-        .withColumn("event_id", F.col("transaction_id").cast("bigint"))
-        .withColumn("number", number)
+        raw.withColumn("event_id", F.col("transaction_id").cast("bigint"))
+        .withColumn("number", F.substring("merchant_name", 2, 10).cast("int"))
         .withColumns(
             {
                 "transaction_id": F.when(F.col("number") != 3, F.col("transaction_id")),
@@ -366,18 +364,19 @@ def _damaged(spark, sf_dir) -> DataFrame:
     )
 
 
-@query
-def ingest_route(spark, sf_dir):
-    payloads = decode.encode_payload(_damaged(spark, sf_dir))
+def _damaged_payloads(raw: DataFrame) -> DataFrame:
+    """The same as JSON, of which some is cut off or has a garbled time."""
     text = F.col("value")
     cut = F.substring(text, F.lit(1), F.length(text) - 5)
     garbled = F.regexp_replace(text, '"transaction_timestamp":"', '"transaction_timestamp":"on ')
-    broken = payloads.withColumn(
-        "value",
-        F.when(F.col("number") < 3, cut).when(F.col("number") == 5, garbled).otherwise(text),
-    )
-    routed = decode.with_route(decode.decode_payload(broken.select("event_id", "value")))
-    return routed.select(
+    value = F.when(F.col("number") < 3, cut).when(F.col("number") == 5, garbled).otherwise(text)
+    return decode.encode_payload(_damaged(raw)).select("event_id", value.alias("value"))
+
+
+@query
+def ingest_route(spark, sf_dir):
+    payloads = _damaged_payloads(standin.transactions(spark, sf_dir))
+    return decode.with_route(decode.decode_payload(payloads)).select(
         "event_id",
         F.when(F.col("is_valid"), "valid").otherwise("rejected").alias("route"),
         F.array_join("reasons", ",").alias("reasons"),
@@ -407,6 +406,15 @@ def stream_ingest_dedup(spark, sf_dir):
     return read_raw(spark, path)
 
 
+@query
+def stream_dead_letters(spark, sf_dir):
+    """Rejected events by reason."""
+    path = new_folder(spark, "rejected")
+    payloads = _damaged_payloads(_transaction_stream(spark, sf_dir))
+    ingest.land_rejected(payloads, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+    return spark.read.parquet(path).groupBy("reasons").agg(F.count("*").alias("letters"))
+
+
 @query
 def stream_velocity_10min(spark, sf_dir):
     """Windows closed by the watermark at the end of the replay."""

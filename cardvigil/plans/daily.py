@@ -11,9 +11,9 @@ from cardvigil.config import RiskConfig
 from cardvigil.operators import quality
 from cardvigil.operators.alerts import build_alerts, latest_features
 from cardvigil.operators.features import LOOKBACK_DAYS, features, features_for_day
-from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_TABLE
+from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
 from cardvigil.session import new_folder, pin_utc
-from cardvigil.sources.raw import read_json, read_raw, read_raw_day
+from cardvigil.sources.raw import read_json, read_raw_day
 from cardvigil.sources.tables import (
     conform_features,
     load_clustered,
@@ -29,11 +29,13 @@ def run_features_on_json(
     """Features of all transactions in JSON files, validated and written by date."""
     pin_utc(spark)
     # JSON is parsed once into Parquet, of which the feature plan then reads
-    # the columns it needs. Likewise the written features are validated, so
-    # that the windows are computed once.
+    # the columns it needs. What can fail does so before anything is written;
+    # the features are checked as written, so that windows are computed once.
     staged = new_folder(spark, RAW_TABLE.name)
-    write_by_date(read_json(spark, input_path), staged, RAW_TABLE)
-    write_by_date(features(read_raw(spark, staged), cfg), output_path, FEATURE_TABLE)
+    read_json(spark, input_path).select(*RAW_SCHEMA.names).write.parquet(staged)
+    raw = spark.read.schema(RAW_SCHEMA).parquet(staged)
+    quality.assert_transactions(raw)
+    write_by_date(features(raw, cfg), output_path, FEATURE_TABLE)
     written = spark.read.parquet(output_path)
     quality.assert_features(written)
     return written

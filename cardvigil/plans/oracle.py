@@ -316,6 +316,14 @@ ORACLES: dict[str, str] = {
     "stream_ingest_dedup": _txn(
         f"""SELECT {RAW_LIST}, CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS date FROM txn"""
     ),
+    "stream_dead_letters": _txn(
+        """SELECT CASE WHEN k < 3 THEN 'unreadable_payload'
+                       WHEN k = 3 THEN 'missing_card_id,missing_transaction_id'
+                       WHEN k = 4 THEN 'missing_card_id'
+                       WHEN k = 5 THEN 'missing_timestamp'
+                       ELSE 'negative_amount' END AS reasons, count(*) AS letters
+           FROM txn WHERE k <= 6 GROUP BY 1"""
+    ),
     "stream_velocity_10min": _txn(
         """SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, card_id,
              count(transaction_id) AS txn_count_10min,

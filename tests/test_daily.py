@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import sys
 from datetime import date, datetime
 
@@ -75,6 +76,14 @@ def test_command_line_on_json(spark, folder, monkeypatch):
     assert all(r["is_high_amount"] == r["is_foreign_merchant"] == r["is_night_txn"] == 1 for r in got)
 
 
+def test_invalid_json_writes_nothing(spark, folder):
+    with open(folder("bad.json"), "w") as f:
+        json.dump([{"card_id": "C1", "amount": 5, "transaction_timestamp": "2025-03-01T02:00:00"}], f)
+    with pytest.raises(QualityError, match="null_transaction_ids"):
+        daily.run_features_on_json(spark, folder("bad.json"), folder("out"))
+    assert not os.path.exists(folder("out"))
+
+
 def test_command_line_on_a_day(spark, raw_path, folder, monkeypatch):
     args = ["cardvigil", "--input", raw_path, "--output", folder("out"), "--run-date", "2024-01-30"]
     monkeypatch.setattr(sys, "argv", args)
