@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardvigil.config import RiskConfig
 from cardvigil.functions import risk
 from cardvigil.functions.exact import mean_money, money, sample_stddev_money
-from cardvigil.operators.rolling import SPANS, TRAILING, with_parts, with_trailing
+from cardvigil.operators.rolling import SPANS, TRAILING, per_second, with_parts, with_trailing
 from cardvigil.schema import FEATURE_COLUMNS
 
 LOOKBACK_DAYS = SPANS["30d"] // 86400
@@ -26,8 +26,8 @@ def engineer(
     """All columns of ``df`` plus every feature, and ``stddev_amount_30d`` besides.
 
     Selecting fewer columns prunes the windows behind the others. Earlier rows
-    that count but are not wanted themselves go in ``history``, as totals.
-    ``at_most`` is a known bound on the rows of both.
+    that count but are not wanted themselves go in ``history``, added up per second.
+    ``at_most`` is a known bound on the rows of ``df``.
     """
     rolled = with_trailing(df, cfg, history, at_most)
     counts_and_amounts = {
@@ -70,14 +70,34 @@ def features_for_day(
     """Features of one day's rows, with frames that reach back over the full 30 days.
 
     Both filters are on the partition column, so 31 days are read, not the
-    table, and of 30 of them four columns only. Most cards are used within a
-    day; leaving out the others would cost a shuffle of all 31 days.
+    table, and of 30 of them four columns only.
     """
     day = F.col(date_column)
     first, last = run_date - timedelta(days=LOOKBACK_DAYS), run_date - timedelta(days=1)
     today = raw.filter(day == F.lit(run_date))
     earlier = raw.filter(day.between(F.lit(first), F.lit(last)))
-    return engineer(today, cfg, history=with_parts(earlier)).select(*FEATURE_COLUMNS)
+    past = per_second(_in_whole_days(with_parts(earlier), run_date))
+    return engineer(today, cfg, history=past).select(*FEATURE_COLUMNS)
+
+
+def _in_whole_days(history: DataFrame, run_date: date) -> DataFrame:
+    """Moves seconds of the past to where no frame of ``run_date`` can tell the difference.
+
+    A frame of n days starts within the day n days back. A stretch of days
+    between two such days lies inside the longer frame and outside the shorter
+    one, whatever the second, so all of it may be added up per card. That
+    leaves 3 of 30 days in seconds. It takes days as UTC has them.
+    """
+    if history.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
+        return history
+    today = (run_date - date(1970, 1, 1)).days
+    starts = sorted(span // 86400 for span in SPANS.values() if span % 86400 == 0)
+    second = F.col("_second")
+    moved = second
+    for shorter, longer in zip(starts, starts[1:]):
+        begin, end = (today - longer + 1) * 86400, (today - shorter) * 86400
+        moved = F.when((second >= begin) & (second < end), F.lit(begin)).otherwise(moved)
+    return history.withColumn("_second", moved.cast("bigint"))
 
 
 def with_home_country(df: DataFrame, customers: DataFrame) -> DataFrame:

@@ -31,8 +31,10 @@ def heavy_buckets(df: DataFrame, key: str, cfg: RiskConfig) -> DataFrame:
     )
 
 
-def split_heavy(df: DataFrame, key: str, cfg: RiskConfig) -> tuple[DataFrame, DataFrame]:
-    """``df`` in two parts by card: (light, heavy)."""
-    heavy = F.broadcast(heavy_buckets(df, key, cfg))
+def split_heavy(
+    df: DataFrame, key: str, cfg: RiskConfig, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two parts by card: (light, heavy), by the counts in ``counted`` if given."""
+    heavy = F.broadcast(heavy_buckets(df if counted is None else counted, key, cfg))
     on = bucket_of(key, cfg) == F.col("heavy_bucket")
     return df.join(heavy, on, "left_anti"), df.join(heavy, on, "left_semi")

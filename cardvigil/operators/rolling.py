@@ -77,6 +77,15 @@ def with_parts(df: DataFrame) -> DataFrame:
     )
 
 
+def per_second(rows: DataFrame) -> DataFrame:
+    """Totals of one or more rows added up per card and second."""
+    return rows.groupBy("card_id", "_second").agg(
+        *[F.sum(part).alias(part) for part in ("_ids", "_amounts", "_cents")],
+        F.sum("_squares").cast("decimal(38,0)").alias("_squares"),
+        F.max("_top").alias("_top"),
+    )
+
+
 def _trailing_totals(keys: str) -> list[str]:
     over = f"OVER (PARTITION BY {keys} ORDER BY _second RANGE BETWEEN UNBOUNDED PRECEDING AND"
     return [
@@ -123,14 +132,9 @@ def _roll_light(rows: DataFrame) -> DataFrame:
 
 
 def _roll_heavy(rows: DataFrame) -> DataFrame:
-    seconds = rows.groupBy("card_id", "_second").agg(
-        *[F.sum(part).alias(part) for part in ("_ids", "_amounts", "_cents")],
-        F.sum("_squares").cast("decimal(38,0)").alias("_squares"),
-        F.max("_top").alias("_top"),
-    )
     own = F.floor(F.col("_second") / SLICE_SECONDS)
     slices = F.when(own.isNull(), F.array(own)).otherwise(F.array(own, own + 1))
-    sliced = seconds.select("*", F.posexplode(slices).alias("_copy", "_slice"))
+    sliced = per_second(rows).select("*", F.posexplode(slices).alias("_copy", "_slice"))
     rolled = (
         _roll(sliced, "card_id, _slice")
         .filter(F.col("_copy") == 0)
@@ -148,10 +152,10 @@ def with_trailing(
 ) -> DataFrame:
     """``df`` with the ``TRAILING`` columns, one output row per row of ``df``.
 
-    ``history`` has card, second and ``PARTS`` of earlier rows, or of several
-    added up per second. They count towards the totals and get none themselves.
-    ``at_most`` bounds the rows of both, where known: if not even all of them
-    would make a heavy card, none is looked for.
+    ``history`` has earlier rows ``per_second``, a number bounded by time for any
+    card. They count towards the totals and get none themselves. ``at_most``
+    bounds the rows of ``df``, where known: if not even all of them would make
+    a heavy card, none is looked for.
     """
     rows = with_parts(df).withColumn(IS_NEW, F.lit(True))
     if history is not None:
@@ -160,6 +164,6 @@ def with_trailing(
     if at_most is not None and at_most <= cfg.heavy_rows:
         rolled = _roll_light(rows)
     else:
-        light, heavy = split_heavy(rows, "card_id", cfg)
+        light, heavy = split_heavy(rows, "card_id", cfg, counted=df)
         rolled = _roll_light(light).unionByName(_roll_heavy(heavy))
     return rolled.drop("_second", IS_NEW, *PARTS)

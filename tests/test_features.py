@@ -230,6 +230,12 @@ def test_one_day_equals_full_history(spark, cfg):
     ]
     rows.append(("edge", "c0", first + 9 * 86400, 77.0))
     rows.append(("midnight", "c0", first + 39 * 86400, 77.0))
+    last_second = first + 40 * 86400 - 1  # of the day, and of the days its frames start in
+    for days in (0, 1, 2, 6, 7, 8, 29, 30):
+        for shift in (-1, 0, 1):
+            if days or shift <= 0:
+                rows.append((f"e{days}{shift}", "c1", last_second - days * 86400 + shift, 1.0 + days))
+                rows.append((f"m{days}{shift}", "c2", first + (39 - days) * 86400 + shift * (days > 0), 2.0 + days))
     raw = frame(spark, rows).withColumn("date", F.to_date("transaction_timestamp"))
     day = date(2025, 2, 9)
     want = features(raw, cfg).filter(F.to_date("transaction_timestamp") == F.lit(day))
@@ -238,6 +244,27 @@ def test_one_day_equals_full_history(spark, cfg):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_one_day_in_another_time_zone(spark):
+    """Days of another zone do not start with UTC's; results must not notice."""
+    from datetime import date
+
+    rng = random.Random(5)
+    first = 1_735_689_600
+    rows = [
+        (f"t{n}", f"c{n % 3}", first + rng.randrange(45 * 86400), round(rng.uniform(1, 99), 2))
+        for n in range(400)
+    ]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        raw = frame(spark, rows).withColumn("date", F.to_date("transaction_timestamp"))
+        day = date(2025, 2, 9)
+        want = features(raw).filter(F.to_date("transaction_timestamp") == F.lit(day)).collect()
+        got = features_for_day(raw, day).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(got) > 3 and sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def test_home_country_of_the_customer(spark):
     customers = spark.createDataFrame([("CUST001", "US")], "customer_id string, home_country string")
     rows = with_home_country(golden_input(spark), customers)

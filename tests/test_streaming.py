@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cardvigil.operators.alerts import build_alerts
 from cardvigil.operators.features import engineer
-from cardvigil.operators.rolling import with_parts
+from cardvigil.operators.rolling import per_second, with_parts
 from cardvigil.plans import standin
 from cardvigil.schema import ALERT_COLUMNS, RAW_SCHEMA
 from cardvigil.sources import decode
@@ -143,7 +143,7 @@ def test_scoring_in_parts_equals_batch(spark, sf_dir, folder):
 def as_batch(raw, history):
     """What the memory hands to a micro-batch: payloads with totals, and history without payload."""
     rows = with_parts(raw).withColumn("payload", decode.as_payload()).select(*memory.COLUMNS)
-    past = with_parts(history).withColumn("payload", F.lit(None).cast("string"))
+    past = per_second(with_parts(history)).withColumn("payload", F.lit(None).cast("string"))
     return rows.unionByName(past.select(*memory.COLUMNS))
 
 
