@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 from decimal import Decimal
 
 from cardvigil.operators.rolling import SPANS
@@ -84,7 +84,3 @@ def brute_force(rows):
             "zscore_amount": zscore,
         }
     return [out[k] for k in range(len(rows))]
-
-
-def days_later(moment, days):
-    return moment + timedelta(days=days)
