@@ -62,7 +62,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed
 """
 
+CONTROL = r"\[INST\]|\[/INST\]|<s>|</s>|<<SYS>>|<</ROLE>>|<</SYS>>"
+
+CHAT_FORMATTING = rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized AS (
+  SELECT *,
+    length(text) + len(regexp_extract_all(text, '\\|{CONTROL}')) AS spelled,
+    length(role) + len(regexp_extract_all(role, '\\|{CONTROL}')) AS named
+  FROM given
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(CASE role WHEN 'user' THEN 15 + spelled WHEN 'assistant' THEN 6 + spelled ELSE 28 + named + spelled END))::BIGINT
+    AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+DECONTAMINATION = rf"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+item_window AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item_id, size, array_to_string(w[p:p + size - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM item WHERE len(w) > 0)
+),
+doc_window AS (
+  SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS win
+  FROM (
+    SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
+    FROM doc, (SELECT DISTINCT size FROM item_window) WHERE len(w) >= size
+  )
+),
+hit AS (SELECT DISTINCT doc_id, d.size, p, item_id FROM doc_window d JOIN item_window i ON d.size = i.size AND d.win = i.win),
+word AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(p, p + size)) AS place FROM hit) GROUP BY doc_id
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
+    "op3_chat_formatting": CHAT_FORMATTING,
     "op5_quality_rules": QUALITY_RULES,
+    "op6_decontamination": DECONTAMINATION,
 }

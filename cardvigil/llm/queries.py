@@ -5,22 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardvigil.llm import line_dedup, quality_rules
+from cardvigil.llm import bpe, chat, decontaminate, line_dedup, near_dedup, quality_rules
 from cardvigil.llm.tables import hex_sha256, table
 
+#: A conversation made of the template's own control strings.
+CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.drop_shared_lines(_documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", hex_sha256(kept.text).alias("kept_sha256"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame(CONTROL_CONVERSATION, given.schema)
+    return chat.read_back(chat.format_conversations(given.unionByName(own)))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(_documents(spark, sf_dir)))
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = quality_rules.cascade(_documents(spark, sf_dir))
     return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contamination(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return judged.select("doc_id", *decontaminate.RESULTS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op6_decontamination": op6_decontamination,
 }
