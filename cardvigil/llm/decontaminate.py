@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardvigil.llm.suffixes import suffix_array
 from cardvigil.llm.words import LETTERS_LOWER, pieces, texts, words
 
 WINDOW = 13
@@ -51,42 +52,6 @@ def _spread(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, first
 
 
-def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
-    """All positions, sorted by the next ``depth`` tokens at least, by doubling.
-
-    A round sorts only positions that are still tied, by the ranks of their group and
-    of the position half the depth further on.
-    """
-    n = len(tokens)
-    order = np.argsort(tokens)
-    ordered = tokens[order]
-    head = np.ones(n, dtype=bool)
-    head[1:] = ordered[1:] != ordered[:-1]
-    slots = np.arange(n)
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.maximum.accumulate(np.where(head, slots, 0))
-    step = 1
-    while step < depth:
-        alone = head.copy()
-        alone[:-1] &= head[1:]
-        tied = np.flatnonzero(~alone)
-        if not len(tied):
-            break
-        at = order[tied]
-        ahead = at + step
-        key = rank[at] * (n + 1)
-        key[ahead < n] += rank[ahead[ahead < n]] + 1
-        by = np.argsort(key)
-        at, key = at[by], key[by]
-        order[tied] = at
-        first = np.ones(len(tied), dtype=bool)
-        first[1:] = key[1:] != key[:-1]
-        head[tied] = first
-        rank[at] = np.maximum.accumulate(np.where(first, tied, 0))
-        step *= 2
-    return order
-
-
 @dataclass(frozen=True)
 class Queries:
     """Benchmark words with ends between texts; of each suffix its start, its depth to search and its item."""
@@ -259,3 +224,10 @@ def contamination(
         F.col("_bench_spans").alias("spans"),
     )
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents that aren't contaminated, unchanged."""
+    own = {c: f"_doc_{c}" for c in docs.columns if c in (*RESULTS, "spans")}
+    judged = contamination(docs.withColumnsRenamed(own), items, window).where(~F.col("contaminated"))
+    return judged.select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardvigil.llm import bpe, chat, decontaminate, line_dedup, near_dedup, quality_rules
+from cardvigil.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    line_dedup,
+    near_dedup,
+    pages,
+    ppm,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+)
 from cardvigil.llm.tables import hex_sha256, table
 
 #: A conversation made of the template's own control strings.
@@ -53,6 +64,25 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *decontaminate.RESULTS)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return ppm.identify(docs, ppm.train(docs))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_passages(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", hex_sha256(kept.kept_text).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -60,4 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op7_html_extraction": op7_html_extraction,
+    "op8_language_id": op8_language_id,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
