@@ -5,13 +5,14 @@ similarity reaches the threshold. Exact copies (equal word sequences) are one cl
 only its smallest document is compared further. A class's signature holds the minima of
 many universal hash functions; bands of it are bucket keys.
 
-In a bucket not all pairs are tried. First every member is compared with the smallest,
-and links are joined to components. While a bucket still holds several components,
-members outside its largest one are compared with all members of other components, a
-few such members a round; a member that has met all others leaves the bucket. So what
-is never compared is already connected, and a bucket of near copies costs one
-comparison for each. A comparison is first by signature, then, where the estimate is
-not far below the threshold, exact on the full sets of both texts.
+In a bucket not all pairs are tried. First every member is compared with one, chosen by
+hash, so that a member meets others in other buckets; links are joined to components.
+Where a bucket still holds several components, the members outside its largest one are
+compared with all members of other components, block by block, by the overlap of their
+sets; only pairs that may be linked leave a block. So what is never compared is already
+connected, and a bucket of near copies costs one comparison for each. A comparison is
+first by signature, then, where the estimate is not far below the threshold, exact on
+the full sets of both texts.
 
 Defined results: words are `[^\\x20\\x09-\\x0D]+` after A-Z are lower-cased. Fewer words
 than a shingle are one shingle; without words a document is empty and linked to nothing.
@@ -28,7 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardvigil.llm.components import components
@@ -41,8 +42,8 @@ PERCENT = 75
 BANDS, ROWS = 48, 4
 #: Share of equal minima below which sets are not compared: 6 standard deviations under 0.75.
 LEAST_EQUAL = 0.55
-#: Members of a bucket that are compared with all others in one round.
-PIVOTS = 16
+#: Members of a bucket that meet in one block, on either side, and shingles counted at once.
+BLOCK, COLUMNS = 512, 4096
 #: Bytes of text whose minima are taken at once.
 PIECE = 1 << 20
 
@@ -152,77 +153,145 @@ def _confirmed(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    signatures = classes.select("node", "signature")
-    side = lambda frame, node, value, name: frame.select(F.col("node").alias(node), F.col(value).alias(name))
+def _with_key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose text has the word sequence of their class: ids may repeat with other texts."""
+    for batch in pieces(batches, "text"):
+        _, keys = shingles(batch.column("text"))
+        same = [x == y for x, y in zip(keys, batch.column("key").to_pylist(), strict=True)]
+        yield batch.select(["node", "text"]).filter(pa.array(same, pa.bool_()))
+
+
+def _side(frame: DataFrame, node: str, value: str, name: str) -> DataFrame:
+    return frame.select(F.col("node").alias(node), F.col(value).alias(name))
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, spelled: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold; ``spelled`` has the texts of their nodes."""
     near = (
-        pairs.join(side(signatures, "a", "signature", "sa"), "a")
-        .join(side(signatures, "b", "signature", "sb"), "b")
+        pairs.join(_side(classes, "a", "signature", "sa"), "a")
+        .join(_side(classes, "b", "signature", "sb"), "b")
         .mapInArrow(_alike, "a long, b long")
     )
-    near = staged(near, "near-pairs")
-    nodes = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    keys = classes.join(nodes, "node", "left_semi").select("node", "key")
-    spelled = docs.join(keys, docs.doc_id == keys.node).select("node", "key", "text")
-    # Ids may repeat with other texts; a class's text is one with its key.
-    one = staged(spelled.mapInArrow(_with_key, "node long, text string").dropDuplicates(["node"]), "near-texts")
-    full = near.join(side(one, "a", "text", "ta"), "a").join(side(one, "b", "text", "tb"), "b")
-    return full.mapInArrow(_confirmed(percent), "a long, b long")
+    full = near.join(_side(spelled, "a", "text", "ta"), "a").join(_side(spelled, "b", "text", "tb"), "b")
+    return staged(full.mapInArrow(_confirmed(percent), "a long, b long"), "confirmed")
 
 
-def _with_key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _short_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted upper halves of the shingles' hashes: enough to find pairs that may be linked."""
     for batch in pieces(batches, "text"):
-        _, keys = shingles(batch.column("text"))
-        same = [x == y for x, y in zip(keys, batch.column("key").to_pylist(), strict=True)]
-        yield batch.select(["node", "text"]).filter(pa.array(same, pa.bool_()))
+        sets, _ = shingles(batch.column("text"))
+        halves = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(halves, pa.binary())], ["node", "shingles"])
 
 
-def _strays(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with their component, and of buckets that hold several some members outside the largest."""
+def _blocks(members: DataFrame, labels: DataFrame, spelled: DataFrame) -> DataFrame:
+    """Rows (bucket, i, j, stray, node, component, shingles): blocks of strays beside blocks of members.
+
+    Strays are the members outside their bucket's largest component. A bucket's strays
+    and members are cut in blocks; each block of strays meets each block of members.
+    """
     labelled = members.join(labels, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
     )
-    sizes = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = (
-        sizes.groupBy("bucket")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
+        parts.groupBy("bucket")
+        .agg(
+            F.max_by("component", F.struct("n", "component")).alias("largest"),
+            F.sum("n").alias("members"),
+            F.max("n").alias("most"),
+            F.count("*").alias("parts"),
+        )
         .where("parts > 1")
+        .select("bucket", "largest", *(F.ceil(n / BLOCK).cast("int").alias(name) for n, name in ((F.col("members") - F.col("most"), "is"), (F.col("members"), "js"))))
     )
-    open_ = labelled.join(mixed.select("bucket", "largest"), "bucket")
-    order = Window.partitionBy("bucket").orderBy("node")
-    strays = (
-        open_.where(F.col("component") != F.col("largest"))
-        .withColumn("nth", F.row_number().over(order))
-        .where(F.col("nth") <= PIVOTS)
-        .select("bucket", F.col("node").alias("stray"), F.col("component").alias("its"))
-    )
-    return open_.select("bucket", "node", "component"), strays
+    dealt = labelled.join(mixed, "bucket").withColumn("at", F.xxhash64("node"))
+    number = lambda n: F.pmod(F.col("at"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    strays = dealt.where("component != largest").select("bucket", number("is").alias("i"), every("js").alias("j"), F.lit(True).alias("stray"), "node", "component")
+    others = dealt.select("bucket", every("is").alias("i"), number("js").alias("j"), F.lit(False).alias("stray"), "node", "component")
+    both = staged(strays.unionByName(others), "blocks")
+    asked = spelled.join(both.select("node").distinct(), "node", "left_semi")
+    return both.join(asked.mapInArrow(_short_sets, "node long, shingles binary"), "node")
+
+
+def _crossing(percent: int):
+    """Pairs of a stray and a member of another component that may be linked: the best for each stray and component."""
+
+    def run(group: pa.Table) -> pa.Table:
+        component = group.column("component").to_numpy()
+        node = group.column("node").to_numpy()
+        stray = group.column("stray").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(s, dtype=np.uint32) for s in group.column("shingles").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), size)
+        # Only shingles of several rows can be common ones.
+        named = np.cumsum(count > 1) - 1
+        common = count[number] > 1
+        owner, number = owner[common], named[number[common]]
+        by = np.argsort(number, kind="stable")
+        owner, number = owner[by], number[by]
+        left, right = np.flatnonzero(stray), np.flatnonzero(~stray)
+        row = np.empty(len(sets), dtype=np.int64)
+        row[left], row[right] = np.arange(len(left)), np.arange(len(right))
+        both = np.zeros((len(left), len(right)), dtype=np.float32)
+        for low in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+            part = slice(*np.searchsorted(number, [low, low + COLUMNS]))
+            own, column = owner[part], number[part] - low
+            a, b = np.zeros((len(left), COLUMNS), dtype=np.float32), np.zeros((len(right), COLUMNS), dtype=np.float32)
+            a[row[own[stray[own]]], column[stray[own]]] = 1
+            b[row[own[~stray[own]]], column[~stray[own]]] = 1
+            both += a @ b.T
+        # Halves of hashes may meet where the hashes differ: two more count, and sets are compared in full later.
+        total = size[left][:, None] + size[right][None, :] - both
+        near = (100 * (both + 2) >= percent * (total - 2)) & (component[left][:, None] != component[right][None, :])
+        x, y = np.nonzero(near)
+        order = np.lexsort((-both[x, y] / total[x, y], component[right][y], x))
+        x, y = x[order], y[order]
+        new = np.ones(len(x), dtype=bool)
+        new[1:] = (x[1:] != x[:-1]) | (component[right][y[1:]] != component[right][y[:-1]])
+        # If the best pair is linked whatever the hashes were, the others say nothing new.
+        sure = (100 * (both - 2) >= percent * (total + 2))[x, y]
+        best = np.maximum.accumulate(np.where(new, np.arange(len(x)), 0))
+        told = new | ~sure[best]
+        x, y, new = x[told], y[told], new[told]
+        pair = node[left][x], node[right][y]
+        return pa.table([pa.array(np.minimum(*pair)), pa.array(np.maximum(*pair)), pa.array(~new)], ["a", "b", "more"])
+
+    return run
 
 
 def _links(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Component labels (node, component) of the classes."""
-    bands = classes.select("node", "signature").mapInArrow(_bands, "node long, bucket long")
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    members = staged(bands.join(shared.select("bucket", "least"), "bucket").where("node > least"), "buckets")
-    pairs = members.select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = staged(_verified(pairs, classes, docs, percent), "confirmed")
+    bands = staged(classes.select("node", "signature").mapInArrow(_bands, "node long, bucket long"), "bands")
+    shared = (
+        bands.groupBy("bucket")
+        .agg(F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node")).alias("first"), F.min("node").alias("low"), F.max("node").alias("high"))
+        .where("low < high")
+        .select("bucket", F.col("first.node").alias("pivot"))
+    )
+    members = staged(bands.join(shared, "bucket").where("node != pivot"), "buckets")
+    nodes = members.select("node").unionByName(members.select(F.col("pivot").alias("node"))).distinct()
+    keys = classes.join(nodes, "node", "left_semi").select("node", "key")
+    spelled = docs.join(keys, docs.doc_id == keys.node).select("node", "key", "text")
+    spelled = staged(spelled.mapInArrow(_with_key, "node long, text string").dropDuplicates(["node"]), "near-texts")
+    pairs = members.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    links = _verified(pairs, classes, spelled, percent)
     labels = components(links)
-    members = members.select("bucket", "node")
-    while True:
-        open_, strays = _strays(members, labels)
-        open_, strays = staged(open_, "open"), staged(strays, "strays")
-        if strays.isEmpty():
-            return labels
-        met = open_.join(strays, "bucket").where(F.col("component") != F.col("its"))
-        pairs = met.select(F.least("node", "stray").alias("a"), F.greatest("node", "stray").alias("b")).distinct()
-        more = staged(_verified(pairs, classes, docs, percent), "confirmed")
-        if not more.isEmpty():
-            links = staged(links.unionByName(more), "confirmed")
+    blocks = _blocks(members.select("bucket", "node"), labels, spelled)
+    crossing = staged(blocks.groupBy("bucket", "i", "j").applyInArrow(_crossing(percent), "a long, b long, more boolean"), "crossing")
+    # The best pairs first; the others only where these did not join the components.
+    for more in (False, True):
+        left = crossing.where(F.col("more") == more).select("a", "b").distinct()
+        for side in ("a", "b"):
+            left = left.join(_side(labels, side, "component", f"c{side}"), side, "left")
+        left = left.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+        found = _verified(left, classes, spelled, percent)
+        if not found.isEmpty():
+            links = links.unionByName(found)
             labels = components(links)
-        members = open_.join(
-            strays.select("bucket", F.col("stray").alias("node")), ["bucket", "node"], "left_anti"
-        ).select("bucket", "node")
+    return labels
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
