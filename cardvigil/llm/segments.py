@@ -24,6 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardvigil.llm.words import pieces, span_hashes, texts
 
@@ -35,6 +36,8 @@ BUCKET = 1 << 20
 PIECE = 1 << 24
 #: Windows whose keys are found at once, and windows that travel in one piece.
 STEP, LONGEST = 1 << 20, 64
+#: Compression of the texts that travel.
+LEVEL = 3
 #: Stands for a null id, below all others.
 NO_ID = -(2**63)
 
@@ -132,33 +135,39 @@ def plan(docs: DataFrame, kind: Kind, limit: int = BUCKET) -> Plan:
 
 
 def _runs(low: int, keys: np.ndarray, inside: np.ndarray, units: Units, to: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one bucket: first window, number of windows, bucket."""
-    bins = (keys & np.uint64(BINS - 1)).astype(np.int64)
-    route = to.bucket[bins]
-    spread = np.flatnonzero((to.several[bins] > 1) & inside)
-    if len(spread):
-        own = units.window_hashes(low + spread)
-        route[spread] += (own % to.several[bins[spread]].astype(np.uint64)).astype(np.int64)
-    route[~inside] = -1
-    edge = np.flatnonzero(np.diff(route, prepend=-2, append=-2))
-    starts, lengths = edge[:-1], np.diff(edge)
-    real = route[starts] >= 0
+    """Runs of windows with one key: first window, number of windows, bucket. A spread key's windows run alone."""
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (inside[1:] != inside[:-1])
+    starts = np.flatnonzero(new)
+    lengths = np.diff(np.append(starts, len(keys)))
+    real = inside[starts]
     starts, lengths = starts[real], lengths[real]
-    parts = -(-lengths // LONGEST)
+    bins = (keys[starts] & np.uint64(BINS - 1)).astype(np.int64)
+    several = to.several[bins]
+    most = np.where(several > 1, 1, LONGEST)
+    parts = -(-lengths // most)
     nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    lengths = np.minimum(LONGEST, np.repeat(lengths, parts) - nth * LONGEST)
-    starts = np.repeat(starts, parts) + nth * LONGEST
-    return low + starts, lengths, route[starts]
+    most = np.repeat(most, parts)
+    lengths = np.minimum(most, np.repeat(lengths, parts) - nth * most)
+    starts = low + np.repeat(starts, parts) + nth * most
+    bucket = np.repeat(to.bucket[bins], parts)
+    spread = np.flatnonzero(most == 1)
+    if len(spread):
+        own = units.window_hashes(starts[spread])
+        bucket[spread] += (own % np.repeat(several, parts)[spread].astype(np.uint64)).astype(np.int64)
+    return starts, lengths, bucket
 
 
 def _packed(columns: tuple[np.ndarray, ...], text: bytes) -> bytes:
-    return zstandard.compress(b"".join([*(np.ascontiguousarray(c, dtype=np.int64).tobytes() for c in columns), text]), 1)
+    """Differences of the columns, all lowest bytes first, then the text, compressed."""
+    planes = [np.diff(c, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    return zstandard.compress(b"".join([*planes, text]), LEVEL)
 
 
-def unpacked(blob: bytes, n: int, columns: int) -> tuple[list[np.ndarray], bytes]:
-    raw = zstandard.decompress(blob)
-    size = 8 * n
-    return [np.frombuffer(raw, dtype=np.int64, count=n, offset=k * size) for k in range(columns)], raw[columns * size :]
+def _unpacked(blob: bytes, n: int, columns: int) -> tuple[list[np.ndarray], bytes]:
+    raw, size = zstandard.decompress(blob), 8 * n
+    planes = (np.frombuffer(raw, dtype=np.uint8, count=size, offset=k * size).reshape(8, n) for k in range(columns))
+    return [np.cumsum(np.ascontiguousarray(x.T).view("<i8").ravel()) for x in planes], raw[columns * size :]
 
 
 def _sent(kind: Kind, to: Plan, same_document: bool):
@@ -189,15 +198,13 @@ def _sent(kind: Kind, to: Plan, same_document: bool):
             if len(dropped):
                 spans = (docs[dropped], place[dropped], place[dropped] + lengths[dropped] + kind.window - 1)
                 rows.append((int(bucket[dropped[0]]), len(dropped), True, _packed(spans, b"")))
-            view = units.data.tobytes()
             edges = np.flatnonzero(np.diff(bucket[kept], prepend=-1, append=-1))
-            b, e = begin[kept].tolist(), end[kept].tolist()
-            size = end[kept] - begin[kept]
             for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 part = kept[low:high]
-                text = b"".join([view[x:y] for x, y in zip(b[low:high], e[low:high], strict=True)])
-                columns = (docs[part], place[part], lengths[part], size[low:high])
-                rows.append((int(bucket[part[0]]), high - low, False, _packed(columns, text)))
+                size = end[part] - begin[part]
+                last = np.cumsum(size)
+                text = units.data[np.repeat(begin[part] - last + size, size) + np.arange(last[-1])]
+                rows.append((int(bucket[part[0]]), high - low, False, _packed((docs[part], place[part], lengths[part], size), text.tobytes())))
             for low in range(0, len(rows), 256):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind_) for c, kind_ in zip(zip(*rows[low : low + 256], strict=True), _KINDS, strict=True)],
@@ -230,7 +237,7 @@ def _judged(kind: Kind, judge: Judge):
     def run(group: pa.Table) -> pa.Table:
         known, runs, texts_ = [], [], []
         for n, covered, blob in zip(*(group.column(c).to_pylist() for c in ("n", "covered", "blob")), strict=True):
-            columns, text = unpacked(blob, n, 3 if covered else 4)
+            columns, text = _unpacked(blob, n, 3 if covered else 4)
             (known if covered else runs).append(columns)
             texts_.append(text)
         spans = [tuple(np.concatenate(x) for x in zip(*known, strict=True))] if known else []
@@ -298,8 +305,26 @@ def covered(docs: DataFrame, kind: Kind, judge: Judge, same_document: bool, limi
     return found.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
 
 
+def _zipped(columns: list[str]):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_ = zstandard.ZstdCompressor(LEVEL).compress
+        for batch in pieces(batches, "text"):
+            texts_ = [None if t is None else zip_(t) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts_, pa.binary())], [*columns, "_text"])
+
+    return run
+
+
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """The documents with ``_spans``, null where nothing is covered."""
+    """The documents with ``_spans``, null where nothing is covered; the text, as ``_text``, travels compressed."""
+    kept = [c for c in docs.columns if c != "text"]
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("_text", T.BinaryType())])
+    packed = docs.select(*kept, "text").mapInArrow(_zipped(kept), schema)
     named = spans.select(F.col("doc_id").alias("_span_doc"), F.col("spans").alias("_spans"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return docs.join(named, key == F.col("_span_doc"), "left").drop("_span_doc")
+    return packed.join(named, key == F.col("_span_doc"), "left").drop("_span_doc")
+
+
+def unzipped(text: bytes | None) -> bytes:
+    """The UTF-8 bytes of a ``_text``; null is empty."""
+    return b"" if text is None else zstandard.decompress(text)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cardvigil.llm.segments import Kind, Runs, covered, merged, sliding_min, with_spans
+from cardvigil.llm.segments import Kind, Runs, covered, merged, unzipped, with_spans
 from cardvigil.llm.suffixes import suffix_array
 from cardvigil.llm.words import SPACED, Words, pieces, texts, windows, words
 
@@ -186,21 +186,16 @@ def judge(runs: Runs) -> np.ndarray:
 
 
 def _recurring(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Runs with a window whose least gram stands in several places of the shard; no other window can recur."""
+    """Runs whose key, the least gram of each of its windows, is also another run's or stands twice in the run."""
     grams = windows(hashes, GRAM)
-    real = np.ones(len(grams), dtype=bool)
-    for k in range(1, GRAM):
-        edge = first[1:-1] - k
-        real[edge[(edge >= 0) & (edge < len(real))]] = False
-    common = np.sort(grams[real])
-    common = np.unique(common[1:][common[1:] == common[:-1]])
-    repeated = np.isin(grams, common)
-    least = sliding_min(grams, WINDOW - GRAM + 1)
-    # A window's least gram recurs if the least of its recurring grams is its least gram.
-    other = sliding_min(np.where(repeated, grams, np.uint64(2**64 - 1)), WINDOW - GRAM + 1)
-    hit = np.concatenate([[0], np.cumsum(least == other)])
-    last = np.maximum(first[1:] - WINDOW + 1, first[:-1])
-    return hit[np.minimum(last, len(least))] > hit[np.minimum(first[:-1], len(least))]
+    start, stop = first[:-1], first[1:] - GRAM + 1
+    edges = np.stack([start, start + WINDOW - GRAM + 1], axis=1).ravel()
+    key = np.minimum.reduceat(np.append(grams, np.uint64(2**64 - 1)), edges)[::2]
+    _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+    run = np.repeat(np.arange(len(start)), stop - start)
+    inside = np.arange(len(run)) - np.repeat(np.cumsum(stop - start) - (stop - start), stop - start) + start[run]
+    own = np.bincount(run[grams[inside] == key[run]], minlength=len(start))
+    return (count[which] > 1) | (own > 1)
 
 
 RESULTS = ("n_words", "n_removed", "kept_text")
@@ -211,8 +206,8 @@ def remove_passages(docs: DataFrame, limit: int = SHARD) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("text", *RESULTS)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            data, offsets = texts(batch.column("text"))
+        for batch in pieces(batches, "_text"):
+            data, offsets = texts(pa.array([unzipped(t) for t in batch.column("_text").to_pylist()], pa.large_binary()))
             found = words(data, offsets, SPACED)
             view = data.tobytes()
             rows = []
@@ -231,5 +226,5 @@ def remove_passages(docs: DataFrame, limit: int = SHARD) -> DataFrame:
 
     fields = [T.StructField(name, T.LongType()) for name in RESULTS[:2]] + [T.StructField(RESULTS[2], T.StringType())]
     schema = T.StructType([*(docs.schema[c] for c in kept), *fields])
-    marked = with_spans(docs, covered(docs, WORDS, judge, same_document=True, limit=limit))
-    return marked.select(*kept, "text", "_spans").mapInArrow(run, schema)
+    marked = with_spans(docs.select(*kept, "text"), covered(docs, WORDS, judge, same_document=True, limit=limit))
+    return marked.select(*kept, "_text", "_spans").mapInArrow(run, schema)

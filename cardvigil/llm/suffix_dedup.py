@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cardvigil.llm.segments import BUCKET, Kind, Runs, covered, merged, with_spans
+from cardvigil.llm.segments import BUCKET, Kind, Runs, covered, merged, unzipped, with_spans
 from cardvigil.llm.words import mixed, pieces, span_hashes
 
-WINDOW, GRAM = 50, 8
+WINDOW, GRAM = 50, 12
 
 # A perfect difference cover of the numbers modulo 21.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
@@ -38,6 +38,7 @@ PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 LEADING = 24
 
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 #: The least shift that takes positions with these two remainders into the cover.
 _SHIFT = np.array(
     [[next(d for d in range(PERIOD) if _IN_COVER[(a + d) % PERIOD] and _IN_COVER[(b + d) % PERIOD]) for b in range(PERIOD)] for a in range(PERIOD)]
@@ -50,9 +51,7 @@ class Bytes:
     data: np.ndarray
 
     def grams(self, low: int, high: int) -> np.ndarray:
-        if high - low < GRAM:
-            return np.zeros(0, dtype=np.uint64)
-        return mixed(_blocks(self.data[low:high])[: high - low - GRAM + 1].astype(np.uint64))
+        return _grams(_blocks(self.data[low:high])) if high - low >= GRAM else np.zeros(0, dtype=np.uint64)
 
     def window_hashes(self, starts: np.ndarray) -> np.ndarray:
         return span_hashes(self.data, starts, starts + WINDOW)
@@ -64,20 +63,21 @@ class Bytes:
 def _blocks(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each position on as a big-endian number; there are none of the last seven."""
     data = np.ascontiguousarray(data)
-    return np.ndarray((len(data) - 7,), dtype=">u8", buffer=data, strides=(1,))
+    return np.ndarray((len(data) - 7,), dtype=">u8", buffer=data, strides=(1,)).astype(np.uint64)
 
 
-BYTES = Kind(WINDOW, WINDOW - GRAM + 1, lambda data, offsets: Bytes(offsets, data))
+def _grams(blocks: np.ndarray) -> np.ndarray:
+    """Hashes of the grams at all positions that have one."""
+    return mixed(blocks[: 8 - GRAM] * _ODD + blocks[GRAM - 8 :])
 
 
-def _at(blocks: np.ndarray, positions: np.ndarray) -> np.ndarray:
-    return blocks[positions].astype(np.uint64)
+BYTES = Kind(WINDOW, WINDOW - GRAM + 1, lambda data, offsets: Bytes(offsets, data))
 
 
 def ranks(blocks: np.ndarray, positions: np.ndarray, levels: int) -> np.ndarray:
     """Order of the suffixes at these positions by their first ``8 * levels`` bytes; equal ones share a rank."""
-    order = np.argsort(_at(blocks, positions))
-    key = _at(blocks, positions[order])
+    order = np.argsort(blocks[positions])
+    key = blocks[positions[order]]
     head = np.ones(len(order), dtype=bool)
     head[1:] = key[1:] != key[:-1]
     for level in range(1, levels):
@@ -87,7 +87,7 @@ def ranks(blocks: np.ndarray, positions: np.ndarray, levels: int) -> np.ndarray:
         if not len(tied):
             break
         group = np.cumsum(head)[tied]
-        key = _at(blocks, positions[order[tied]] + 8 * level)
+        key = blocks[positions[order[tied]] + 8 * level]
         by = np.lexsort((key, group))
         order[tied] = order[tied[by]]
         key = key[by]
@@ -101,7 +101,7 @@ def ranks(blocks: np.ndarray, positions: np.ndarray, levels: int) -> np.ndarray:
 
 def _tied(blocks: np.ndarray, starts: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the windows whose leading bytes are found in several documents, group by group, and their groups."""
-    leading = mixed(_at(blocks, starts) ^ mixed(_at(blocks, starts + 8) ^ mixed(_at(blocks, starts + 16))))
+    leading = mixed((blocks[starts] * _ODD + blocks[starts + 8]) * _ODD + blocks[starts + 16])
     mask = np.uint64((1 << max(1, int(len(starts)).bit_length())) - 1)
     packed = np.sort((leading & ~mask) | np.arange(len(starts), dtype=np.uint64))
     same = (packed[1:] ^ packed[:-1]) <= mask
@@ -112,7 +112,7 @@ def _tied(blocks: np.ndarray, starts: np.ndarray, docs: np.ndarray) -> tuple[np.
     head = np.ones(len(number), dtype=bool)
     head[1:] = ((packed[member][1:] ^ packed[member][:-1]) > mask)
     group = np.cumsum(head) - 1
-    keys = [_at(blocks, starts[number] + k) for k in (0, 8, 16)]
+    keys = [blocks[starts[number] + k] for k in (0, 8, 16)]
     if any(((k[1:] != k[:-1]) & ~head[1:]).any() for k in keys):
         # Different leading bytes met in a hash of fewer bits: sort by the bytes themselves.
         by = np.lexsort((*keys[::-1], group))
@@ -154,22 +154,39 @@ def _sorted_ties(starts: np.ndarray, group: np.ndarray, rank: np.ndarray) -> np.
     return order
 
 
+def _shared(blocks: np.ndarray, runs: Runs) -> np.ndarray:
+    """Runs whose key, the least gram of each of its windows, is found in several documents; others share no window."""
+    start = runs.offsets[:-1]
+    edges = np.stack([start, start + WINDOW - GRAM + 1], axis=1).ravel()
+    key = np.minimum.reduceat(_grams(blocks), edges)[::2]
+    by = np.argsort(key)
+    head = np.flatnonzero(np.concatenate([[True], key[by][1:] != key[by][:-1]]))
+    docs = runs.docs[by]
+    several = np.minimum.reduceat(docs, head) < np.maximum.reduceat(docs, head)
+    found = np.empty(len(by), dtype=bool)
+    found[by] = np.repeat(several, np.diff(np.append(head, len(by))))
+    return found
+
+
 def judge(runs: Runs) -> np.ndarray:
     """Whether an equal window starts in a document with a smaller id."""
     padded = np.concatenate([runs.text, np.zeros(128, dtype=np.uint8)])
     blocks = _blocks(padded)
-    count = int(runs.lengths.sum())
-    starts = np.repeat(runs.offsets[:-1] - np.cumsum(runs.lengths) + runs.lengths, runs.lengths) + np.arange(count)
-    docs = np.repeat(runs.docs, runs.lengths)
-    flags = np.zeros(count, dtype=bool)
+    flags = np.zeros(int(runs.lengths.sum()), dtype=bool)
+    shared = _shared(blocks, runs)
+    chosen = np.flatnonzero(np.repeat(shared, runs.lengths))
+    lengths = runs.lengths[shared]
+    starts = np.repeat(runs.offsets[:-1][shared] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+    docs = np.repeat(runs.docs[shared], lengths)
     number, group = _tied(blocks, starts, docs)
     if not len(number):
         return flags
     at = starts[number]
-    needed = np.zeros(len(padded) + 1, dtype=np.int32)
-    np.add.at(needed, at, 1)
-    np.add.at(needed, at + PERIOD, -1)
-    reach = np.flatnonzero(np.cumsum(needed) > 0)
+    asked = np.zeros(len(padded), dtype=bool)
+    asked[at] = True
+    before = np.cumsum(asked, dtype=np.int32)
+    before[PERIOD:] -= before[:-PERIOD].copy()
+    reach = np.flatnonzero(before)
     sample = reach[_IN_COVER[reach % PERIOD]]
     rank = np.zeros(len(padded), dtype=np.int32)
     rank[sample] = ranks(blocks, sample, -(-WINDOW // 8))
@@ -177,11 +194,11 @@ def judge(runs: Runs) -> np.ndarray:
     number, at = number[order], at[order]
     new = np.zeros(len(at), dtype=bool)
     for k in (*range(0, WINDOW - 7, 8), WINDOW - 8):
-        key = _at(blocks, at + k)
+        key = blocks[at + k]
         new[1:] |= key[1:] != key[:-1]
     new[0] = True
     earliest = np.minimum.reduceat(docs[number], np.flatnonzero(new))[np.cumsum(new) - 1]
-    flags[number] = docs[number] > earliest
+    flags[chosen[number]] = docs[number] > earliest
     return flags
 
 
@@ -193,10 +210,10 @@ def remove_repeats(docs: DataFrame, limit: int = BUCKET) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("text", *RESULTS)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "_text"):
             rows = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
-                data = (text or "").encode()
+            for text, spans in zip(batch.column("_text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+                data = unzipped(text)
                 starts, ends = merged(spans, len(data))
                 edges = zip([0, *ends.tolist()], [*starts.tolist(), len(data)], strict=True)
                 rest = b"".join(data[a:b] for a, b in edges)
@@ -207,5 +224,5 @@ def remove_repeats(docs: DataFrame, limit: int = BUCKET) -> DataFrame:
 
     fields = [T.StructField(name, T.LongType()) for name in RESULTS[:3]] + [T.StructField(RESULTS[3], T.BinaryType())]
     schema = T.StructType([*(docs.schema[c] for c in kept), *fields])
-    marked = with_spans(docs, covered(docs, BYTES, judge, same_document=False, limit=limit))
-    return marked.select(*kept, "text", "_spans").mapInArrow(run, schema)
+    marked = with_spans(docs.select(*kept, "text"), covered(docs, BYTES, judge, same_document=False, limit=limit))
+    return marked.select(*kept, "_text", "_spans").mapInArrow(run, schema)

@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardvigil.session import new_folder
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers look for this package where the driver found it.
+
+    Workers of a local session need no more; a cluster gets the package with ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, _ROOT])
+    return spark
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(frame: DataFrame, name: str) -> DataFrame:
@@ -17,7 +34,7 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
 
     Lineage ends there, so a lost executor costs a reread and not a recomputation.
     """
-    spark = frame.sparkSession
+    spark = importable(frame.sparkSession)
     path = new_folder(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

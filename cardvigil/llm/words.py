@@ -61,9 +61,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all rows in a row, and where each row starts (one more at the end). Null is empty."""
-    if column.null_count:
-        column = column.fill_null("")
     column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
     _, ends, data = column.buffers()
     offsets = np.frombuffer(ends, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     whole = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
