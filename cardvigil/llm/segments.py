@@ -30,6 +30,8 @@ from cardvigil.llm.words import pieces, span_hashes, texts
 
 #: Bins that keys are counted in. For texts of more than ``BINS * BUCKET`` units take more.
 BINS = 1 << 18
+#: Bins whose counts travel in one row.
+BLOCK = 256
 #: Windows in a bucket.
 BUCKET = 1 << 20
 #: Bytes of text that are cut into runs at once; equal runs in them travel once.
@@ -76,20 +78,18 @@ class Plan:
     several: np.ndarray
 
     @classmethod
-    def of(cls, loads: dict[int, int], limit: int = BUCKET) -> Plan:
+    def of(cls, loads: np.ndarray, limit: int = BUCKET) -> Plan:
         bucket, several = np.zeros(BINS, dtype=np.int64), np.ones(BINS, dtype=np.int64)
         following, filled = 0, 0
-        for bin_, load in sorted(loads.items()):
-            if load > limit:
-                continue
+        for bin_ in np.flatnonzero((loads > 0) & (loads <= limit)).tolist():
+            load = int(loads[bin_])
             if filled + load > limit:
                 following, filled = following + 1, 0
             bucket[bin_] = following
             filled += load
-        for bin_, load in sorted(loads.items()):
-            if load > limit:
-                bucket[bin_], several[bin_] = following + 1, -(-2 * load // limit)
-                following += int(several[bin_])
+        for bin_ in np.flatnonzero(loads > limit).tolist():
+            bucket[bin_], several[bin_] = following + 1, -(-2 * int(loads[bin_]) // limit)
+            following += int(several[bin_])
         return cls(bucket, several)
 
 
@@ -117,21 +117,32 @@ def _keys(units: Units, kind: Kind) -> Iterator[tuple[int, np.ndarray, np.ndarra
 
 
 def _counted(kind: Kind):
+    """Windows in each bin, as rows (block, loads) of ``BLOCK`` bins that aren't all empty."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loads = np.zeros(BINS, dtype=np.int64)
         for batch in pieces(batches, "text"):
             for _, keys, inside in _keys(kind.read(*texts(batch.column("text"))), kind):
                 loads += np.bincount((keys[inside] & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-        some = np.flatnonzero(loads)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(loads[some])], ["bin", "load"])
+        blocks = loads.reshape(-1, BLOCK)
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([blocks[i].tobytes() for i in some], pa.binary())], ["block", "loads"])
 
     return run
 
 
+def _added_up(group: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x, dtype=np.int64) for x in group.column("loads").to_pylist())
+    return pa.table({"block": group.column("block").slice(0, 1), "loads": pa.array([total.tobytes()], pa.binary())})
+
+
 def plan(docs: DataFrame, kind: Kind, limit: int = BUCKET) -> Plan:
-    """Counts all windows of all texts; at most ``BINS`` counts come to the driver."""
-    loads = docs.select("text").mapInArrow(_counted(kind), "bin long, load long").groupBy("bin").agg(F.sum("load").alias("load"))
-    return Plan.of({r.bin: r.load for r in loads.collect()}, limit)
+    """Counts all windows of all texts; ``BINS`` counts at most come to the driver."""
+    counted = docs.select("text").mapInArrow(_counted(kind), "block long, loads binary")
+    loads = np.zeros((BINS // BLOCK, BLOCK), dtype=np.int64)
+    for row in counted.groupBy("block").applyInArrow(_added_up, "block long, loads binary").collect():
+        loads[row.block] = np.frombuffer(row.loads, dtype=np.int64)
+    return Plan.of(loads.ravel(), limit)
 
 
 def _runs(low: int, keys: np.ndarray, inside: np.ndarray, units: Units, to: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -266,10 +277,10 @@ def _covered_spans(flags: np.ndarray, docs: np.ndarray, place: np.ndarray, lengt
 
 
 def _by_document(spans: list[tuple]) -> pa.Table:
-    """(doc_id, spans): int64 pairs of start and end, some for each document."""
+    """(doc_id, spans): int32 pairs of start and end, some for each document."""
     docs, begin, end = (np.concatenate(x) for x in zip(*spans, strict=True)) if spans else (np.zeros(0, dtype=np.int64),) * 3
     order = np.lexsort((begin, docs))
-    pairs = np.stack([begin[order], end[order]], axis=1).astype(np.int64)
+    pairs = np.stack([begin[order], end[order]], axis=1).astype(np.int32)
     ids = docs[order]
     edges = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else order
     blobs = [pairs[a:b].tobytes() for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(ids)], strict=False)]
@@ -282,7 +293,7 @@ def merged(blobs: list[bytes] | None, length: int) -> tuple[np.ndarray, np.ndarr
     none = np.zeros(0, dtype=np.int64)
     if not blobs:
         return none, none
-    pairs = np.frombuffer(b"".join(blobs), dtype=np.int64).reshape(-1, 2)
+    pairs = np.frombuffer(b"".join(blobs), dtype=np.int32).reshape(-1, 2).astype(np.int64)
     pairs = np.minimum(pairs[np.argsort(pairs[:, 0], kind="stable")], length)
     reach = np.maximum.accumulate(pairs[:, 1])
     new = np.ones(len(pairs), dtype=bool)

@@ -145,7 +145,7 @@ def test_backward_search_counts():
 
 
 def test_merged_spans():
-    blob = np.array([[5, 9], [0, 2], [2, 4], [8, 30]], dtype=np.int64).tobytes()
+    blob = np.array([[5, 9], [0, 2], [2, 4], [8, 30]], dtype=np.int32).tobytes()
     starts, ends = segments.merged([blob], 20)
     assert (starts.tolist(), ends.tolist()) == ([0, 5], [4, 20])
     assert segments.merged(None, 4)[0].size == 0
