@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cardvigil.llm.components import components
 from cardvigil.llm.tables import staged
-from cardvigil.llm.words import SPACED_LOWER, pieces, texts, windows, words
+from cardvigil.llm.words import SPACED_LOWER, give_back, pieces, texts, windows, words
 
 SHINGLE = 5
 #: Similarity in percent from which documents are linked.
@@ -257,6 +257,8 @@ def _crossing(percent: int):
         told = new | ~sure[best]
         x, y, new = x[told], y[told], new[told]
         pair = node[left][x], node[right][y]
+        del both, total, near
+        give_back()
         return pa.table([pa.array(np.minimum(*pair)), pa.array(np.maximum(*pair)), pa.array(~new)], ["a", "b", "more"])
 
     return run

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardvigil.llm.words import pieces, span_hashes, texts
+from cardvigil.llm.words import give_back, pieces, span_hashes, texts
 
 #: Bins that keys are counted in. For texts of more than ``BINS * BUCKET`` units take more.
 BINS = 1 << 18
@@ -257,6 +257,7 @@ def _judged(kind: Kind, judge: Judge):
             text = np.frombuffer(b"".join(texts_), dtype=np.uint8)
             flags = judge(Runs(docs, place, lengths, text, np.concatenate([[0], np.cumsum(size)])))
             spans.append(_covered_spans(flags, docs, place, lengths, kind.window))
+        give_back()
         return _by_document(spans)
 
     return run

@@ -13,11 +13,18 @@ from cardvigil.session import new_folder
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Rows in a batch that goes to Python, where the session has Spark's own default: texts are long.
+BATCH_ROWS = "2000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(spark: SparkSession) -> SparkSession:
     """Lets Python workers look for this package where the driver found it.
 
     Workers of a local session need no more; a cluster gets the package with ``--py-files``.
     """
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     environment = spark.sparkContext.environment
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in known:

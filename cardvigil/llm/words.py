@@ -7,6 +7,7 @@ wherever they stand.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -81,6 +82,14 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE) -
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    give_back()
+
+
+def give_back() -> None:
+    """Hands memory that this worker has freed back to the machine: idle workers live on."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
 
 
 class _Powers:
