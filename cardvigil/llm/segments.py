@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardvigil.llm.words import give_back, pieces, span_hashes, texts
+from cardvigil.llm.words import give_back, joined, pieces, span_hashes, texts
 
 #: Bins that keys are counted in. For texts of more than ``BINS * BUCKET`` units take more.
 BINS = 1 << 18
@@ -34,8 +34,8 @@ BINS = 1 << 18
 BLOCK = 256
 #: Windows in a bucket.
 BUCKET = 1 << 20
-#: Bytes of text that are cut into runs at once; equal runs in them travel once.
-PIECE = 1 << 24
+#: Bytes of text, about, that are cut into runs at once; equal runs in them travel once.
+PIECE = 20 << 20
 #: Windows whose keys are found at once, and windows that travel in one piece.
 STEP, LONGEST = 1 << 20, 64
 #: Compression of the texts that travel.
@@ -185,7 +185,7 @@ def _sent(kind: Kind, to: Plan, same_document: bool):
     """Rows (bucket, n, covered, blob): runs of windows with their texts, and spans known to be covered."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", PIECE):
+        for batch in pieces(joined(batches, "text", PIECE), "text", 2 * PIECE):
             ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
             units = kind.read(*texts(batch.column("text")))
             found = [_runs(*part, units, to) for part in _keys(units, kind)]

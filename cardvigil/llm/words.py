@@ -85,6 +85,20 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE) -
     give_back()
 
 
+def joined(batches: Iterable[pa.RecordBatch], column: str, least: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least ``least`` bytes of text, but for the last."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += int(texts(batch.column(column))[1][-1]) if batch.num_rows else 0
+        if size >= least:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def give_back() -> None:
     """Hands memory that this worker has freed back to the machine: idle workers live on."""
     pa.default_memory_pool().release_unused()
