@@ -23,10 +23,8 @@ class RiskConfig:
 
     # Sizing. These change how work is split, never a result.
     #
-    # Cards are counted in `card_buckets` hash buckets. A bucket is heavy when
-    # it holds more than `heavy_rows` rows and more than `heavy_factor` times
-    # the mean bucket; the cards of heavy buckets are rolled up per second
-    # before any window sees them (see operators/rolling.py).
+    # A card with more than `heavy_rows` rows is rolled up per second before any
+    # window sees it (see operators/rolling.py). Cards are counted in
+    # `card_buckets` hash buckets first, and by themselves in full buckets only.
     card_buckets: int = 65_536
     heavy_rows: int = 2_000_000
-    heavy_factor: int = 4
