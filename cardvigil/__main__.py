@@ -11,6 +11,7 @@ from cardvigil.plans.daily import run_features, run_features_on_json
 
 
 def main() -> None:
+    # The option names.
     parser = argparse.ArgumentParser(prog="cardvigil")
     parser.add_argument("--input", required=True, help="JSON files, or the raw table with --run-date")
     parser.add_argument("--output", required=True, help="folder of the feature files")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cardvigil.config import RiskConfig
 from cardvigil.functions.exact import rounded_percent
 from cardvigil.schema import TableContract
+from cardvigil.sources.decode import rejected_rows
 
 
 class QualityError(ValueError):
@@ -85,6 +86,12 @@ def reconcile_rows(raw: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
+def assert_reconciled(raw: DataFrame, features: DataFrame) -> None:
+    sizes = reconcile_rows(raw, features).first()
+    if not sizes["is_reconciled"]:
+        raise QualityError(f"raw and feature rows differ: {sizes.asDict()}")
+
+
 def fraud_rate_by_day(
     df: DataFrame, date_column: str, cfg: RiskConfig = RiskConfig()
 ) -> DataFrame:
@@ -140,6 +147,19 @@ def assert_raw_present(raw: DataFrame, run_date: date, date_column: str = "date"
         raise QualityError(f"no raw data for {run_date}")
 
 
+def assert_not_null(df: DataFrame, contract: TableContract) -> None:
+    """Raises ``QualityError`` if a required column of the table has a NULL."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in contract.not_null])
+    _assert_none(counts, *contract.not_null)
+
+
+def assert_all_valid(decoded: DataFrame) -> None:
+    """Raises ``QualityError`` with the reasons if a decoded row is not valid."""
+    rejected = rejected_rows(decoded).groupBy(F.explode("reasons").alias("reason")).count().collect()
+    if rejected:
+        raise QualityError(f"rejected rows: { {r['reason']: r['count'] for r in rejected} }")
+
+
 def not_null_violations(df: DataFrame, contract: TableContract) -> DataFrame:
     """One row per required column: how many of its values are NULL."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in contract.not_null])

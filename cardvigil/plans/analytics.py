@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cardvigil.functions.exact import cents, rounded_percent, rounded_ratio
 
-# Fixed values of the queries.
+# Fixed values of the queries; so are the names of their output columns.
 SUMMARY_DAYS = 30
 MIN_CARD_TXNS = 3
 TOP_CARDS = 100

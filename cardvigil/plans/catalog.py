@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +14,25 @@ from cardvigil.operators import alerts as desk
 from cardvigil.operators import quality
 from cardvigil.operators.features import engineer, features, features_for_day, with_home_country
 from cardvigil.plans import analytics, daily, standin
-from cardvigil.plans.standin import AS_OF, AS_OF_TIME, CONFIG, FIRST_DAY, LAST_DAY
+from cardvigil.plans.standin import (
+    AS_OF,
+    AS_OF_TIME,
+    CONFIG,
+    FIRST_DAY,
+    LAST_DAY,
+    RETENTION_AS_OF,
+    SUMMARY_AS_OF,
+)
 from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
 from cardvigil.session import new_folder, pin_utc, state_partition_per_core
 from cardvigil.sources import decode
 from cardvigil.sources.raw import read_json, read_raw, text_payloads
 from cardvigil.sources.tables import (
+    compact_alerts,
+    compact_days,
     conform_features,
     conform_raw,
+    days_of,
     load_clustered,
     read_alerts,
     with_partition_date,
@@ -34,7 +45,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ONCE = {"availableNow": True}
-RETENTION_DAYS = 20
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -49,7 +59,7 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.ArrayType):
-            column = F.array_join(F.array_sort(column), ",")
+            column = F.array_join(column, ",")
         return column.alias(field.name)
 
     return df.select(*[plain(field) for field in df.schema.fields])
@@ -114,7 +124,7 @@ def features_all(spark, sf_dir):
 @query
 def features_per_second(spark, sf_dir):
     """All cards taken the way of heavy cards."""
-    return features(standin.transactions(spark, sf_dir), replace(CONFIG, heavy_rows=-1, heavy_factor=0))
+    return features(standin.transactions(spark, sf_dir), replace(CONFIG, heavy_rows=-1))
 
 
 @query
@@ -144,10 +154,20 @@ def features_incremental(spark, sf_dir):
     return features_for_day(_raw_table(spark, sf_dir), LAST_DAY, CONFIG)
 
 
-def _written_features(spark, sf_dir) -> DataFrame:
+def _stored_raw(spark, sf_dir) -> DataFrame:
+    path = new_folder(spark, RAW_TABLE.name)
+    write_by_date(standin.transactions(spark, sf_dir), path, RAW_TABLE)
+    return read_raw(spark, path)
+
+
+def _features_folder(spark, sf_dir) -> str:
     path = new_folder(spark, "features")
     write_by_date(features(standin.transactions(spark, sf_dir), CONFIG), path, FEATURE_TABLE)
-    return spark.read.parquet(path)
+    return path
+
+
+def _written_features(spark, sf_dir) -> DataFrame:
+    return spark.read.parquet(_features_folder(spark, sf_dir))
 
 
 @query
@@ -174,13 +194,15 @@ def raw_table_load(spark, sf_dir):
 
 @query
 def q_daily_fraud_summary(spark, sf_dir):
-    return analytics.daily_fraud_summary(standin.transactions(spark, sf_dir), AS_OF)
+    """From the stored table, of which only the report's days are read."""
+    raw = _stored_raw(spark, sf_dir)
+    return analytics.daily_fraud_summary(raw, SUMMARY_AS_OF, RAW_TABLE.date_column)
 
 
 @query
 def q_high_risk_cards(spark, sf_dir):
-    day = features_for_day(_raw_table(spark, sf_dir), LAST_DAY, CONFIG)
-    return analytics.high_risk_cards(with_partition_date(day, FEATURE_TABLE), AS_OF)
+    """From the stored table, of which one day is read."""
+    return analytics.high_risk_cards(_written_features(spark, sf_dir), AS_OF)
 
 
 @query
@@ -196,16 +218,29 @@ def q_alert_resolution_rate(spark, sf_dir):
 # ---- data quality -------------------------------------------------------
 
 
+def _ending(digit: int):
+    return F.col("transaction_id").cast("bigint") % 10 == digit
+
+
 @query
 def dq_feature_report(spark, sf_dir):
-    return quality.feature_report(features(standin.transactions(spark, sf_dir), CONFIG))
+    """Of features of which some have lost their id, their sign or their z-score."""
+    rows = features(standin.transactions(spark, sf_dir), CONFIG)
+    damaged = {
+        "amount": F.when(_ending(6), -F.col("amount") - 1).otherwise(F.col("amount")).cast("decimal(18,2)"),
+        "zscore_amount": F.when(~_ending(4), F.col("zscore_amount")),
+        "txn_count_1h": F.when(_ending(5), F.lit(0)).otherwise(F.col("txn_count_1h")),
+        "transaction_id": F.when(~_ending(3), F.col("transaction_id")),
+    }
+    return quality.feature_report(rows.withColumns(damaged))
 
 
 @query
 def dq_row_reconciliation(spark, sf_dir):
-    return quality.reconcile_rows(
-        standin.transactions(spark, sf_dir), _written_features(spark, sf_dir)
-    )
+    """Against features of which some are missing and some are there twice."""
+    rows = _written_features(spark, sf_dir)
+    damaged = rows.filter(~_ending(1)).unionByName(rows.filter(_ending(2)))
+    return quality.reconcile_rows(standin.transactions(spark, sf_dir), damaged)
 
 
 @query
@@ -220,12 +255,25 @@ def dq_raw_presence(spark, sf_dir):
 
 @query
 def dq_not_null_contract(spark, sf_dir):
-    return quality.not_null_violations(_damaged(standin.transactions(spark, sf_dir)), RAW_TABLE)
+    """The required columns of all three tables, each table damaged."""
+    raw = _damaged(standin.transactions(spark, sf_dir))
+    lost = {"card_id": F.when(~_ending(4), F.col("card_id")), "transaction_id": F.when(~_ending(3), F.col("transaction_id"))}
+    tables = (
+        (RAW_TABLE, raw),
+        (FEATURE_TABLE, features(standin.transactions(spark, sf_dir), CONFIG).withColumns(lost)),
+        (ALERT_TABLE, _alerts(spark, sf_dir).withColumns(lost)),
+    )
+    found = [
+        quality.not_null_violations(rows, contract).select(F.lit(contract.name).alias("table_name"), "*")
+        for contract, rows in tables
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query
 def raw_retention(spark, sf_dir):
-    return within_retention(_raw_table(spark, sf_dir), AS_OF, RETENTION_DAYS)
+    """What two years of retention, the contract's default, leave of the stored table."""
+    return within_retention(_stored_raw(spark, sf_dir), RETENTION_AS_OF)
 
 
 # ---- scores and alerts --------------------------------------------------
@@ -240,7 +288,9 @@ def score_transactions(spark, sf_dir):
 @query
 def score_latest_day(spark, sf_dir):
     """The newest partition of the feature table, scored."""
-    newest = desk.latest_features(_written_features(spark, sf_dir))
+    path = _features_folder(spark, sf_dir)
+    days = days_of(spark, path, FEATURE_TABLE.date_column)
+    newest = desk.latest_features(spark.read.parquet(path), days)
     return desk.score(newest, CONFIG).select(
         "transaction_id", "_feature_date", "fraud_score", "alert_severity"
     )
@@ -252,10 +302,14 @@ def _alerts(spark, sf_dir) -> DataFrame:
     return desk.build_alerts(rows, F.col("transaction_timestamp"), CONFIG)
 
 
-def _stored_alerts(spark, sf_dir) -> DataFrame:
+def _alerts_folder(spark, sf_dir) -> str:
     path = new_folder(spark, ALERT_TABLE.name)
     write_by_date(_alerts(spark, sf_dir), path, ALERT_TABLE)
-    return read_alerts(spark, path)
+    return path
+
+
+def _stored_alerts(spark, sf_dir) -> DataFrame:
+    return read_alerts(spark, _alerts_folder(spark, sf_dir))
 
 
 def _resolved_alerts(spark, sf_dir) -> DataFrame:
@@ -273,11 +327,20 @@ def alerts_build(spark, sf_dir):
     return read_alerts(spark, path)
 
 
+@query
+def alerts_missing_raw(spark, sf_dir):
+    """From the feature table and a raw table that lacks a fifth of the merchants."""
+    rows, raw = _written_features(spark, sf_dir), standin.transactions(spark, sf_dir)
+    known = raw.filter(F.substring("merchant_name", 2, 10).cast("int") % 5 != 0)
+    return desk.build_alerts(rows, F.col("transaction_timestamp"), CONFIG, known)
+
+
 @query
 def alerts_list(spark, sf_dir):
     """From the stored table, of which only the newest days are read."""
-    alerts = _stored_alerts(spark, sf_dir)
-    return desk.list_alerts(alerts, "medium", 50, ALERT_TABLE.date_column)
+    path = _alerts_folder(spark, sf_dir)
+    days = days_of(spark, path, ALERT_TABLE.date_column)
+    return desk.list_stored_alerts(read_alerts(spark, path), days, "medium", 50)
 
 
 @query
@@ -303,32 +366,52 @@ def alerts_resolve(spark, sf_dir):
 
 # ---- the daily chain ----------------------------------------------------
 
-# A day of the smallest tables has 40 transactions, often none of them fraud.
-DAILY_CONFIG = replace(CONFIG, min_fraud_rate=0.0)
+
+def _regular_day(raw: DataFrame) -> date:
+    """The newest day whose fraud rate is within the bounds; a month has at most 31 to choose from."""
+    rates = quality.fraud_rate_by_day(raw, RAW_TABLE.date_column, CONFIG).filter("is_in_bounds")
+    return rates.agg(F.max("run_date")).first()[0]
 
 
-def _refreshed(spark, sf_dir) -> tuple[str, str, DataFrame]:
-    """A stored raw table, the feature table after the last day's run, and that day of it."""
+def _refreshed(spark, sf_dir) -> tuple[str, str, date, DataFrame]:
+    """A stored raw table, the feature table after one day's run, the day, and that day of it."""
     raw, output, loaded = (
         new_folder(spark, name) for name in (RAW_TABLE.name, "features", FEATURE_TABLE.name)
     )
     write_by_date(standin.transactions(spark, sf_dir), raw, RAW_TABLE)
-    day = daily.refresh_day(spark, raw, output, loaded, LAST_DAY, AS_OF_TIME, DAILY_CONFIG)
-    return raw, loaded, day
+    run_date = _regular_day(read_raw(spark, raw))
+    day = daily.refresh_day(spark, raw, output, loaded, run_date, AS_OF_TIME, CONFIG)
+    return raw, loaded, run_date, day
 
 
 @query
 def daily_refresh(spark, sf_dir):
     """Presence, features with lookback, validation, reconciliation, rate check, load."""
-    return _refreshed(spark, sf_dir)[2]
+    return _refreshed(spark, sf_dir)[3]
 
 
 @query
 def daily_scoring(spark, sf_dir):
     """Alerts of the day just loaded."""
-    raw, loaded, _ = _refreshed(spark, sf_dir)
+    raw, loaded, run_date, _ = _refreshed(spark, sf_dir)
     found = new_folder(spark, ALERT_TABLE.name)
-    return daily.score_day(spark, raw, loaded, found, LAST_DAY, AS_OF_TIME, CONFIG)
+    return daily.score_day(spark, raw, loaded, found, run_date, AS_OF_TIME, CONFIG)
+
+
+@query
+def daily_refused(spark, sf_dir):
+    """A second run meets a raw table that has lost card ids: refused, the first run's day stays."""
+    raw, loaded, run_date, _ = _refreshed(spark, sf_dir)
+    worse = new_folder(spark, RAW_TABLE.name)
+    lost = F.when(~_ending(0), F.col("card_id"))
+    write_by_date(read_raw(spark, raw).withColumn("card_id", lost), worse, RAW_TABLE)
+    later = AS_OF_TIME + timedelta(days=1)
+    try:
+        daily.refresh_day(spark, worse, new_folder(spark, "features"), loaded, run_date, later, CONFIG)
+        refused = False
+    except quality.QualityError:
+        refused = True
+    return spark.read.parquet(loaded).withColumn("is_refused", F.lit(refused))
 
 
 # ---- ingest -------------------------------------------------------------
@@ -347,11 +430,40 @@ def ingest_json_files(spark, sf_dir):
     return read_json(spark, path, one_array_per_file=False).select(*RAW_SCHEMA.names)
 
 
+@query
+def ingest_json_array(spark, sf_dir):
+    """Files of one JSON array each, in which some records have a wrong type or a garbled time."""
+    path = new_folder(spark, "json")
+    payloads = decode.encode_payload(_numbered(standin.transactions(spark, sf_dir)))
+    text, number = F.col("value"), F.col("number")
+    mistyped = F.regexp_replace(text, '"amount":', '"amount":"about ').substr(F.lit(1), F.length(text) + 7)
+    mistyped = F.regexp_replace(mistyped, '("about [0-9.-]+)', '$1"')
+    garbled = F.regexp_replace(text, '"transaction_timestamp":"', '"transaction_timestamp":"on ')
+    value = F.when(number < 3, mistyped).when(number == 5, garbled).otherwise(text)
+    arrays = payloads.groupBy(F.floor(F.col("event_id") / 500).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(value), ",\n"), F.lit("]")).alias("value")
+    )
+    arrays.write.partitionBy("file").text(path)
+    rows = decode.with_route(read_json(spark, f"{path}/*"))
+    return rows.select(
+        "transaction_id",
+        "amount",
+        "transaction_timestamp",
+        "is_valid",
+        F.array_join("reasons", ",").alias("reasons"),
+    )
+
+
+def _numbered(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("event_id", F.col("transaction_id").cast("bigint")).withColumn(
+        "number", F.substring("merchant_name", 2, 10).cast("int")
+    )
+
+
 def _damaged(raw: DataFrame) -> DataFrame:
     """All transactions, each broken in the way its merchant's number says, or not at all."""
     return (
-        raw.withColumn("event_id", F.col("transaction_id").cast("bigint"))
-        .withColumn("number", F.substring("merchant_name", 2, 10).cast("int"))
+        _numbered(raw)
         .withColumns(
             {
                 "transaction_id": F.when(F.col("number") != 3, F.col("transaction_id")),
@@ -365,11 +477,13 @@ def _damaged(raw: DataFrame) -> DataFrame:
 
 
 def _damaged_payloads(raw: DataFrame) -> DataFrame:
-    """The same as JSON, of which some is cut off or has a garbled time."""
+    """The same as JSON, of which some is cut off or has a garbled time or one a century ahead."""
     text = F.col("value")
     cut = F.substring(text, F.lit(1), F.length(text) - 5)
     garbled = F.regexp_replace(text, '"transaction_timestamp":"', '"transaction_timestamp":"on ')
-    value = F.when(F.col("number") < 3, cut).when(F.col("number") == 5, garbled).otherwise(text)
+    ahead = F.regexp_replace(text, '"transaction_timestamp":"20', '"transaction_timestamp":"21')
+    number = F.col("number")
+    value = F.when(number < 3, cut).when(number == 5, garbled).when(number == 8, ahead).otherwise(text)
     return decode.encode_payload(_damaged(raw)).select("event_id", value.alias("value"))
 
 
@@ -394,47 +508,87 @@ def _transaction_stream(spark, sf_dir) -> DataFrame:
     return standin.as_transactions(events, standin.table(spark, sf_dir, "nation"))
 
 
+EDGES = [datetime(2023, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2025, 1, 1)]
+
+
+def _deliveries(raw: DataFrame) -> list[DataFrame]:
+    """The payloads in three parts, each with its time of arrival.
+
+    Every event is sent twice, those of one merchant come in the last part whatever
+    their time, and those of another come once more, dated a century ahead.
+    """
+    time, number = F.col("transaction_timestamp"), F.substring("merchant_name", 2, 10).cast("int")
+    part = F.when(number == 7, F.lit(2))
+    for n, edge in enumerate(EDGES[1:-1]):
+        part = part.when(time < F.lit(edge), F.lit(n))
+    ahead = raw.filter(number == 8).withColumn("transaction_timestamp", time + F.expr("INTERVAL 100 YEARS"))
+    ahead = ahead.withColumn("transaction_id", F.concat(F.lit("ahead-"), "transaction_id")).withColumn("part", F.lit(0))
+    sent = raw.withColumn("part", part.otherwise(F.lit(2)))
+    payloads = decode.encode_payload(sent.unionByName(sent).unionByName(ahead))
+    return [
+        payloads.filter(F.col("part") == n).select("value", F.lit(edge).cast("timestamp").alias("arrival"))
+        for n, edge in enumerate(EDGES[1:])
+    ]
+
+
+def _land_and_compact(spark, raw: DataFrame) -> str:
+    """The raw table after three parts have landed, each compacted as it came."""
+    inbox, landed, checkpoint, table = (
+        new_folder(spark, name) for name in ("inbox", "landed", "checkpoint", RAW_TABLE.name)
+    )
+    for part in _deliveries(raw):
+        part.write.mode("append").parquet(inbox)
+        payloads = spark.readStream.schema("value string, arrival timestamp").parquet(inbox)
+        valid = ingest.valid_transactions(payloads, "arrival")
+        ingest.land(valid, landed, checkpoint, ONCE).awaitTermination()
+        compact_days(spark, landed, table, FIRST_DAY, AS_OF)
+    return table
+
+
 @query
 def stream_ingest_dedup(spark, sf_dir):
-    """Every event sent twice, decoded, deduplicated and landed."""
-    path = new_folder(spark, RAW_TABLE.name)
-    once = decode.encode_payload(_transaction_stream(spark, sf_dir))
-    again = decode.encode_payload(_transaction_stream(spark, sf_dir))
-    unique = ingest.without_redelivered(ingest.valid_transactions(once.unionByName(again)))
-    with state_partition_per_core(spark):
-        ingest.land(unique, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
-    return read_raw(spark, path)
+    """Events that came twice, late, or dated ahead: every valid one is in the raw table, once."""
+    return read_raw(spark, _land_and_compact(spark, standin.transactions(spark, sf_dir)))
+
+
+@query
+def late_rows_repaired(spark, sf_dir):
+    """The daily features after late rows have landed and their days were compacted again."""
+    table = _land_and_compact(spark, standin.transactions(spark, sf_dir))
+    return daily.run_features(spark, table, new_folder(spark, "features"), LAST_DAY, CONFIG)
 
 
 @query
 def stream_dead_letters(spark, sf_dir):
     """Rejected events by reason."""
     path = new_folder(spark, "rejected")
-    payloads = _damaged_payloads(_transaction_stream(spark, sf_dir))
-    ingest.land_rejected(payloads, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+    payloads = _damaged_payloads(_transaction_stream(spark, sf_dir)).withColumn(
+        "arrival", F.lit(AS_OF_TIME).cast("timestamp")
+    )
+    ingest.land_rejected(
+        payloads, path, new_folder(spark, "checkpoint"), ONCE, "arrival"
+    ).awaitTermination()
     return spark.read.parquet(path).groupBy("reasons").agg(F.count("*").alias("letters"))
 
 
 @query
 def stream_velocity_10min(spark, sf_dir):
-    """Windows closed by the watermark at the end of the replay."""
+    """All windows of the replay, those still open at its end included."""
     path = new_folder(spark, "velocity")
     windows = velocity.velocity_windows(_transaction_stream(spark, sf_dir))
     with state_partition_per_core(spark):
-        ingest.to_files(windows, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
-    return spark.read.schema(windows.schema).parquet(path)
+        velocity.start_velocity(windows, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
+    return velocity.read_velocity(spark, path, windows.schema)
 
 
-@query
-def stream_score_alerts(spark, sf_dir):
-    """All events arriving in three parts; each run of the stream scores what is new."""
-    inbox, staging, found, checkpoint = (
+def _scored_stream(spark, sf_dir) -> str:
+    """The folder of alerts after all events have arrived in three parts."""
+    inbox, scratch, found, checkpoint = (
         new_folder(spark, name) for name in ("inbox", "staging", "alerts", "checkpoint")
     )
     raw = standin.transactions(spark, sf_dir)
     time = F.col("transaction_timestamp")
-    edges = [datetime(2023, 1, 1), datetime(2024, 1, 11), datetime(2024, 1, 21), datetime(2025, 1, 1)]
-    for start, end in zip(edges, edges[1:]):
+    for start, end in zip(EDGES, EDGES[1:]):
         part = raw.filter((time >= F.lit(start)) & (time < F.lit(end)))
         decode.encode_payload(part).write.mode("append").text(inbox)
         incoming = ingest.without_redelivered(
@@ -442,6 +596,22 @@ def stream_score_alerts(spark, sf_dir):
         )
         with state_partition_per_core(spark):
             scoring.start_scoring(
-                incoming, staging, found, checkpoint, time, CONFIG, ONCE
+                incoming, scratch, found, checkpoint, time, CONFIG, ONCE
             ).awaitTermination()
-    return read_alerts(spark, found).drop(scoring.BATCH)
+    return found
+
+
+@query
+def stream_score_alerts(spark, sf_dir):
+    """All events arriving in three parts; each run of the stream scores what is new."""
+    return read_alerts(spark, _scored_stream(spark, sf_dir)).drop(scoring.BATCH)
+
+
+@query
+def stream_alerts_compacted(spark, sf_dir):
+    """The stream's alerts and those of the daily run, merged into the alert table."""
+    raw, loaded, run_date, _ = _refreshed(spark, sf_dir)
+    nightly, table = new_folder(spark, "nightly"), new_folder(spark, ALERT_TABLE.name)
+    daily.score_day(spark, raw, loaded, nightly, run_date, AS_OF_TIME + timedelta(days=400), CONFIG)
+    compact_alerts(spark, [_scored_stream(spark, sf_dir), nightly], table)
+    return read_alerts(spark, table)

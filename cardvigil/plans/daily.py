@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardvigil.config import RiskConfig
 from cardvigil.operators import quality
-from cardvigil.operators.alerts import build_alerts, latest_features
+from cardvigil.operators.alerts import build_alerts
 from cardvigil.operators.features import LOOKBACK_DAYS, features, features_for_day
-from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
-from cardvigil.session import new_folder, pin_utc
+from cardvigil.schema import ALERT_SCHEMA, ALERT_TABLE, CORRUPT_FIELD, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
+from cardvigil.session import pin_utc, staging
 from cardvigil.sources.raw import read_json, read_raw_day
 from cardvigil.sources.tables import (
     conform_features,
@@ -26,19 +29,43 @@ from cardvigil.sources.tables import (
 def run_features_on_json(
     spark: SparkSession, input_path: str, output_path: str, cfg: RiskConfig = RiskConfig()
 ) -> DataFrame:
-    """Features of all transactions in JSON files, validated and written by date."""
+    """Features of all transactions in JSON files, validated and then written by date."""
     pin_utc(spark)
-    # JSON is parsed once into Parquet, of which the feature plan then reads
-    # the columns it needs. What can fail does so before anything is written;
-    # the features are checked as written, so that windows are computed once.
-    staged = new_folder(spark, RAW_TABLE.name)
-    read_json(spark, input_path).select(*RAW_SCHEMA.names).write.parquet(staged)
-    raw = spark.read.schema(RAW_SCHEMA).parquet(staged)
+    # JSON is parsed once into Parquet, of which the feature plan then reads the columns
+    # it needs. Features are computed once, checked as staged, and only then published.
+    with staging(spark, RAW_TABLE.name) as parsed, staging(spark, FEATURE_TABLE.name) as made:
+        read_json(spark, input_path).write.parquet(parsed)
+        decoded = spark.read.schema(T.StructType([*RAW_SCHEMA.fields, CORRUPT_FIELD])).parquet(parsed)
+        raw = decoded.select(*RAW_SCHEMA.names)
+        quality.assert_transactions(raw)
+        quality.assert_all_valid(decoded)
+        write_by_date(features(raw, cfg), made, FEATURE_TABLE)
+        checked = _checked(raw, spark.read.parquet(made))
+        write_by_date(checked, output_path, FEATURE_TABLE)
+    return spark.read.parquet(output_path)
+
+
+def _checked(raw: DataFrame, made: DataFrame) -> DataFrame:
+    """``made``, if the features and the raw rows they come from keep their contracts."""
     quality.assert_transactions(raw)
-    write_by_date(features(raw, cfg), output_path, FEATURE_TABLE)
-    written = spark.read.parquet(output_path)
-    quality.assert_features(written)
-    return written
+    quality.assert_not_null(raw, RAW_TABLE)
+    quality.assert_features(made)
+    quality.assert_not_null(made, FEATURE_TABLE)
+    quality.assert_reconciled(raw, made)
+    return made
+
+
+@contextmanager
+def _checked_day(
+    spark: SparkSession, raw_path: str, run_date: date, cfg: RiskConfig
+) -> Iterator[DataFrame]:
+    """One day's features, staged and checked; raises ``QualityError`` before anything is published."""
+    pin_utc(spark)
+    raw_day = read_raw_day(spark, raw_path, run_date)
+    with staging(spark, FEATURE_TABLE.name) as made:
+        raw = read_raw_day(spark, raw_path, run_date, LOOKBACK_DAYS)
+        write_day(features_for_day(raw, run_date, cfg), made, FEATURE_TABLE)
+        yield _checked(raw_day, spark.read.parquet(made))
 
 
 def run_features(
@@ -48,10 +75,11 @@ def run_features(
     run_date: date,
     cfg: RiskConfig = RiskConfig(),
 ) -> DataFrame:
-    """One day's features from the raw table, written as that day's partition."""
+    """One day's features from the raw table, checked and then written as that day's partition."""
     pin_utc(spark)
-    raw = read_raw_day(spark, raw_path, run_date, LOOKBACK_DAYS)
-    write_day(features_for_day(raw, run_date, cfg), output_path, FEATURE_TABLE)
+    quality.assert_raw_present(read_raw_day(spark, raw_path, run_date), run_date)
+    with _checked_day(spark, raw_path, run_date, cfg) as day:
+        write_day(day, output_path, FEATURE_TABLE)
     return _day(spark.read.parquet(output_path), run_date)
 
 
@@ -64,17 +92,13 @@ def refresh_day(
     loaded_at: datetime,
     cfg: RiskConfig = RiskConfig(),
 ) -> DataFrame:
-    """The whole chain for one day; raises ``QualityError`` before anything is loaded."""
+    """The whole chain for one day; raises ``QualityError`` before anything is replaced."""
     pin_utc(spark)
-    raw_day = read_raw_day(spark, raw_path, run_date)
-    quality.assert_raw_present(raw_day, run_date)
-    day = run_features(spark, raw_path, output_path, run_date, cfg)
-    quality.assert_features(day)
-    sizes = quality.reconcile_rows(raw_day, day).first()
-    if not sizes["is_reconciled"]:
-        raise quality.QualityError(f"raw and feature rows differ: {sizes.asDict()}")
-    quality.assert_fraud_rate(day, FEATURE_TABLE.date_column, run_date, cfg)
-    load_clustered(conform_features(day, loaded_at), table_path, FEATURE_TABLE)
+    quality.assert_raw_present(read_raw_day(spark, raw_path, run_date), run_date)
+    with _checked_day(spark, raw_path, run_date, cfg) as day:
+        quality.assert_fraud_rate(day, FEATURE_TABLE.date_column, run_date, cfg)
+        write_day(day, output_path, FEATURE_TABLE)
+        load_clustered(conform_features(day, loaded_at), table_path, FEATURE_TABLE)
     return _day(spark.read.parquet(table_path), run_date)
 
 
@@ -87,12 +111,15 @@ def score_day(
     created_at: datetime,
     cfg: RiskConfig = RiskConfig(),
 ) -> DataFrame:
-    """Alerts of one loaded feature day, written to the alert table."""
+    """Alerts of one loaded feature day, checked and then written to the alert table."""
     pin_utc(spark)
-    day = latest_features(spark.read.parquet(features_path), run_date)
+    day = _day(spark.read.parquet(features_path), run_date)
     raw = read_raw_day(spark, raw_path, run_date)
-    alerts = build_alerts(day, F.lit(created_at).cast("timestamp"), cfg, raw)
-    load_clustered(alerts, alerts_path, ALERT_TABLE)
+    with staging(spark, ALERT_TABLE.name) as made:
+        build_alerts(day, F.lit(created_at).cast("timestamp"), cfg, raw).write.parquet(made)
+        alerts = spark.read.schema(ALERT_SCHEMA).parquet(made)
+        quality.assert_not_null(alerts, ALERT_TABLE)
+        load_clustered(alerts, alerts_path, ALERT_TABLE)
     return _day(read_alerts(spark, alerts_path), run_date, ALERT_TABLE.date_column)
 
 

@@ -95,11 +95,11 @@ scored AS (
     least(100, 35 * is_amount_anomaly + 35 * is_velocity_spike + 35 * is_high_amount
                + 30 * is_foreign_merchant + 15 * is_night_txn) / 100.0::DOUBLE AS fraud_score,
     concat_ws(',',
-      CASE WHEN is_amount_anomaly = 1 THEN 'is_amount_anomaly' END,
+      CASE WHEN is_night_txn = 1 THEN 'is_night_txn' END,
       CASE WHEN is_foreign_merchant = 1 THEN 'is_foreign_merchant' END,
       CASE WHEN is_high_amount = 1 THEN 'is_high_amount' END,
-      CASE WHEN is_night_txn = 1 THEN 'is_night_txn' END,
-      CASE WHEN is_velocity_spike = 1 THEN 'is_velocity_spike' END) AS fraud_flags
+      CASE WHEN is_velocity_spike = 1 THEN 'is_velocity_spike' END,
+      CASE WHEN is_amount_anomaly = 1 THEN 'is_amount_anomaly' END) AS fraud_flags
   FROM feat
 ),
 graded AS (
@@ -146,6 +146,10 @@ def _half_up(part: str, total: str, factor: int) -> str:
     return f"((2 * {factor}::HUGEINT * {part} + {total}) // (2 * {total}))::DOUBLE"
 
 
+REGULAR_DAY = """(SELECT max(day) FROM (
+  SELECT CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS day FROM txn GROUP BY 1
+  HAVING sum(is_fraud)::DOUBLE / count(*) BETWEEN 0.01::DOUBLE AND 0.05::DOUBLE))"""
+
 ALL_FEATURES = _feat(f"SELECT {FEATURE_LIST} FROM feat")
 ALL_ALERTS = _alerts(f"SELECT {ALERT_LIST}, day AS _alert_date FROM alerts")
 
@@ -191,7 +195,7 @@ ORACLES: dict[str, str] = {
              CAST(sum(is_fraud) AS BIGINT) AS fraud_count,
              {_half_up("sum(is_fraud)", "count(*)", 10000)} / 100.0::DOUBLE AS fraud_rate_pct,
              round(sum(CASE WHEN is_fraud = 1 THEN amount ELSE 0 END), 2)::DOUBLE AS fraud_amount_inr
-           FROM txn WHERE CAST(transaction_timestamp AS DATE) >= DATE '2024-01-31' - INTERVAL 30 DAY
+           FROM txn WHERE CAST(transaction_timestamp AS DATE) >= DATE '2024-02-14' - INTERVAL 30 DAY
            GROUP BY 1 ORDER BY 1 DESC"""
     ),
     "q_high_risk_cards": _feat(
@@ -221,22 +225,24 @@ ORACLES: dict[str, str] = {
     ),
     "dq_feature_report": _feat(
         f"""SELECT count(*) AS total_rows,
-             count(*) FILTER (WHERE transaction_id IS NULL) AS null_transaction_ids,
-             count(*) FILTER (WHERE amount < 0) AS negative_amounts,
-             count(*) FILTER (WHERE transaction_id IS NOT NULL AND (txn_count_10min < 1
-               OR txn_count_1h < txn_count_10min OR txn_count_24h < txn_count_1h))
+             count(*) FILTER (WHERE last = 3) AS null_transaction_ids,
+             count(*) FILTER (WHERE last = 6 AND amount >= 0 OR last <> 6 AND amount < 0) AS negative_amounts,
+             count(*) FILTER (WHERE last <> 3 AND (last = 5 AND txn_count_10min > 0 OR last <> 5 AND (
+               txn_count_10min < 1 OR txn_count_1h < txn_count_10min OR txn_count_24h < txn_count_1h)))
                AS inconsistent_counts,
-             count(*) FILTER (WHERE zscore_amount IS NULL) AS null_zscores,
+             count(*) FILTER (WHERE last = 4 OR zscore_amount IS NULL) AS null_zscores,
              count(*) FILTER (WHERE is_fraud = 1) AS fraud_rows,
              {_half_up("count(*) FILTER (WHERE is_fraud = 1)", "count(*)", 10000)} / 100.0::DOUBLE
                AS fraud_rate_pct
-           FROM feat"""
+           FROM (SELECT *, CAST(transaction_id AS BIGINT) % 10 AS last FROM feat)"""
     ),
-    "dq_row_reconciliation": _feat(
-        """SELECT (SELECT count(*) FROM txn) AS raw_rows, (SELECT count(*) FROM feat) AS feature_rows,
-             (SELECT count(*) FROM txn ANTI JOIN feat USING (transaction_id)) AS missing_rows,
-             (SELECT count(*) FROM feat ANTI JOIN txn USING (transaction_id)) AS extra_rows,
-             true AS is_reconciled"""
+    "dq_row_reconciliation": _txn(
+        """SELECT count(*) AS raw_rows,
+             count(*) - count(*) FILTER (WHERE last = 1) + count(*) FILTER (WHERE last = 2) AS feature_rows,
+             count(*) FILTER (WHERE last = 1) AS missing_rows,
+             count(*) FILTER (WHERE last = 2) AS extra_rows,
+             count(*) FILTER (WHERE last IN (1, 2)) = 0 AS is_reconciled
+           FROM (SELECT *, CAST(transaction_id AS BIGINT) % 10 AS last FROM txn)"""
     ),
     "dq_fraud_rate_bounds": _txn(
         """SELECT CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS run_date,
@@ -252,12 +258,20 @@ ORACLES: dict[str, str] = {
            LEFT JOIN txn t ON CAST(t.transaction_timestamp AS DATE) = CAST(d.day AS DATE)
            GROUP BY d.day"""
     ),
-    "dq_not_null_contract": _txn(
-        """SELECT column_name, null_rows, null_rows = 0 AS is_satisfied FROM (
-             SELECT 'transaction_id' AS column_name, count(*) FILTER (WHERE k = 3) AS null_rows FROM txn
-             UNION ALL SELECT 'card_id', count(*) FILTER (WHERE k IN (3, 4)) FROM txn
-             UNION ALL SELECT 'transaction_timestamp',
-               count(*) FILTER (WHERE transaction_timestamp IS NULL) FROM txn)"""
+    "dq_not_null_contract": _alerts(
+        """, f AS (SELECT *, CAST(transaction_id AS BIGINT) % 10 AS last FROM feat),
+           a AS (SELECT *, CAST(transaction_id AS BIGINT) % 10 AS last FROM alerts)
+           SELECT table_name, column_name, null_rows, null_rows = 0 AS is_satisfied FROM (
+             SELECT 'raw_transactions' AS table_name, 'transaction_id' AS column_name,
+               count(*) FILTER (WHERE k = 3) AS null_rows FROM txn
+             UNION ALL SELECT 'raw_transactions', 'card_id', count(*) FILTER (WHERE k IN (3, 4)) FROM txn
+             UNION ALL SELECT 'raw_transactions', 'transaction_timestamp',
+               count(*) FILTER (WHERE transaction_timestamp IS NULL) FROM txn
+             UNION ALL SELECT 'transaction_features', 'transaction_id', count(*) FILTER (WHERE last = 3) FROM f
+             UNION ALL SELECT 'transaction_features', 'card_id', count(*) FILTER (WHERE last = 4) FROM f
+             UNION ALL SELECT 'fraud_alerts', 'alert_id', 0 FROM (SELECT 1)
+             UNION ALL SELECT 'fraud_alerts', 'transaction_id', count(*) FILTER (WHERE last = 3) FROM a
+             UNION ALL SELECT 'fraud_alerts', 'card_id', count(*) FILTER (WHERE last = 4) FROM a)"""
     ),
     "raw_retention": _txn(
         f"""SELECT {RAW_LIST}, CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS date
@@ -271,6 +285,10 @@ ORACLES: dict[str, str] = {
            FROM graded WHERE day = (SELECT max(day) FROM graded)"""
     ),
     "alerts_build": ALL_ALERTS,
+    "alerts_missing_raw": _alerts(
+        f"""SELECT * REPLACE (CASE WHEN k % 5 <> 0 THEN merchant_name END AS merchant_name)
+            FROM (SELECT {ALERT_LIST}, k FROM alerts)"""
+    ).replace("SELECT * REPLACE (CASE WHEN k % 5", "SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 5"),
     "alerts_list": _alerts(
         f"""SELECT {ALERT_LIST} FROM alerts WHERE alert_severity = 'MEDIUM'
             ORDER BY transaction_timestamp DESC, transaction_id LIMIT 50"""
@@ -294,15 +312,27 @@ ORACLES: dict[str, str] = {
     "alerts_resolve": _alerts(f"SELECT {ALERT_LIST} FROM resolved"),
     "daily_refresh": _feat(
         f"""SELECT {FEATURE_LIST}, day AS _feature_date,
-            TIMESTAMP '2024-01-31 00:00:00' AS _loaded_at FROM feat WHERE day = '2024-01-30'"""
+            TIMESTAMP '2024-01-31 00:00:00' AS _loaded_at FROM feat WHERE day = {REGULAR_DAY}"""
     ),
     "daily_scoring": _alerts(
         f"""SELECT {ALERT_LIST}, day AS _alert_date FROM (
               SELECT * REPLACE (TIMESTAMP '2024-01-31 00:00:00' AS _created_at) FROM alerts)
-            WHERE day = '2024-01-30'"""
+            WHERE day = {REGULAR_DAY}"""
+    ),
+    "daily_refused": _feat(
+        f"""SELECT {FEATURE_LIST}, day AS _feature_date,
+            TIMESTAMP '2024-01-31 00:00:00' AS _loaded_at, true AS is_refused FROM feat WHERE day = {REGULAR_DAY}"""
     ),
     "ingest_json_decode": _txn(f"SELECT {RAW_LIST} FROM txn"),
     "ingest_json_files": _txn(f"SELECT {RAW_LIST} FROM txn"),
+    "ingest_json_array": _txn(
+        """SELECT transaction_id,
+             CASE WHEN k >= 3 THEN amount::DOUBLE END AS amount,
+             CASE WHEN k <> 5 THEN transaction_timestamp END AS transaction_timestamp,
+             k >= 3 AND k <> 5 AS is_valid,
+             CASE WHEN k < 3 THEN 'unreadable_payload' WHEN k = 5 THEN 'missing_timestamp' ELSE '' END AS reasons
+           FROM txn"""
+    ),
     "ingest_route": _txn(
         """SELECT CAST(transaction_id AS BIGINT) AS event_id,
              CASE WHEN k <= 6 THEN 'rejected' ELSE 'valid' END AS route,
@@ -316,13 +346,17 @@ ORACLES: dict[str, str] = {
     "stream_ingest_dedup": _txn(
         f"""SELECT {RAW_LIST}, CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS date FROM txn"""
     ),
+    "late_rows_repaired": _feat(
+        f"SELECT {FEATURE_LIST}, day AS _feature_date FROM feat WHERE day = '2024-01-30'"
+    ),
     "stream_dead_letters": _txn(
         """SELECT CASE WHEN k < 3 THEN 'unreadable_payload'
-                       WHEN k = 3 THEN 'missing_card_id,missing_transaction_id'
+                       WHEN k = 3 THEN 'missing_transaction_id,missing_card_id'
                        WHEN k = 4 THEN 'missing_card_id'
                        WHEN k = 5 THEN 'missing_timestamp'
-                       ELSE 'negative_amount' END AS reasons, count(*) AS letters
-           FROM txn WHERE k <= 6 GROUP BY 1"""
+                       WHEN k = 6 THEN 'negative_amount' ELSE 'future_timestamp' END AS reasons,
+             count(*) AS letters
+           FROM txn WHERE k <= 6 OR k = 8 GROUP BY 1"""
     ),
     "stream_velocity_10min": _txn(
         """SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, card_id,
@@ -331,9 +365,8 @@ ORACLES: dict[str, str] = {
            FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, transaction_timestamp)
                              - step * INTERVAL 5 MINUTE AS window_start
                  FROM txn, (VALUES (0), (1)) steps(step))
-           WHERE window_start + INTERVAL 10 MINUTE <=
-             (SELECT date_trunc('millisecond', max(transaction_timestamp)) FROM txn) - INTERVAL 10 MINUTE
            GROUP BY window_start, card_id"""
     ),
     "stream_score_alerts": ALL_ALERTS,
+    "stream_alerts_compacted": ALL_ALERTS,
 }

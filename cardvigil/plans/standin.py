@@ -16,6 +16,11 @@ LAST_DAY = date(2024, 1, 30)
 FIRST_DAY = date(2024, 1, 1)
 
 # Thresholds scaled to the amounts and rates that occur in `events`.
+# A day from which the 30-day report does not reach back to the first event.
+SUMMARY_AS_OF = date(2024, 2, 14)
+# Two years after the tenth event day.
+RETENTION_AS_OF = date(2026, 1, 10)
+
 CONFIG = RiskConfig(home_country="NATION_0", high_amount=150, velocity_per_min=0.15)
 
 

@@ -91,12 +91,13 @@ RESOLUTION_SCHEMA = T.StructType(
 # What arrives in a JSON payload: the raw record with its time still as text,
 # so that a malformed time costs the field and not the record.
 CORRUPT = "_corrupt_record"
+CORRUPT_FIELD = T.StructField(CORRUPT, T.StringType())
 WIRE_SCHEMA = T.StructType(
     [
         T.StructField(f.name, T.StringType() if f.name == "transaction_timestamp" else f.dataType)
         for f in RAW_SCHEMA.fields
     ]
-    + [T.StructField(CORRUPT, T.StringType())]
+    + [CORRUPT_FIELD]
 )
 
 

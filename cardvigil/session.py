@@ -51,3 +51,19 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder this run has made, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder below the shared one, deleted at the end, also of a failure."""
+    path = new_folder(spark, name)
+    try:
+        yield path
+    finally:
+        remove_folder(spark, path)

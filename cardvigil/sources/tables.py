@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardvigil.config import RiskConfig
 from cardvigil.schema import (
     ALERT_SCHEMA,
     ALERT_TABLE,
@@ -17,6 +18,8 @@ from cardvigil.schema import (
     RAW_TABLE,
     TableContract,
 )
+from cardvigil.session import staging
+from cardvigil.sources.raw import read_raw
 
 
 def with_partition_date(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -72,6 +75,52 @@ def conform_features(features: DataFrame, loaded_at: datetime) -> DataFrame:
     )
 
 
+def days_of(spark: SparkSession, path: str, date_column: str) -> list[date]:
+    """The days a table has partitions of, oldest first, from its folder listing; no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = (entry.getPath().getName() for entry in entries)
+    known = [name.partition("=")[2] for name in names if name.startswith(f"{date_column}=")]
+    return sorted(date.fromisoformat(day) for day in known if day[:1].isdigit())
+
+
+def one_per_transaction(raw: DataFrame, date_column: str = RAW_TABLE.date_column) -> DataFrame:
+    """One row per day and transaction id; of copies that differ, the least by column order.
+
+    Partial aggregation drops most copies before the shuffle, however often one id came.
+    """
+    keys = [date_column, "transaction_id"]
+    rest = [c for c in raw.columns if c not in keys]
+    unique = raw.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    return unique.select("transaction_id", "_row.*", date_column).select(*raw.columns)
+
+
+def compact_days(spark: SparkSession, landed: str, table: str, first: date, last: date) -> None:
+    """Replaces the raw table's days from ``first`` to ``last`` by what has landed for them, once each."""
+    days = read_raw(spark, landed).filter(
+        F.col(RAW_TABLE.date_column).between(F.lit(first), F.lit(last))
+    )
+    write_by_date(one_per_transaction(days), table, RAW_TABLE)
+
+
+def compact_alerts(spark: SparkSession, found: list[str], table: str) -> None:
+    """Merges alert folders, of streams or daily runs, into the alert table by ``alert_id``.
+
+    The earliest creation wins among copies of an alert, a resolved copy before open ones. Days
+    that no folder has stay as they are.
+    """
+    with staging(spark, ALERT_TABLE.name) as merged:
+        parts = [read_alerts(spark, path).select(*ALERT_SCHEMA.names) for path in found]
+        everything = parts[0]
+        for part in parts[1:]:
+            everything = everything.unionByName(part)
+        rest = [c for c in ALERT_SCHEMA.names if c not in ("alert_id", "_created_at")]
+        first = F.min_by(F.struct(*rest, "_created_at"), F.struct(~F.col("is_resolved"), "_created_at", *rest))
+        unique = everything.groupBy("alert_id").agg(first.alias("_row"))
+        unique.select("alert_id", "_row.*").select(*ALERT_SCHEMA.names).write.parquet(merged)
+        load_clustered(spark.read.schema(ALERT_SCHEMA).parquet(merged), table, ALERT_TABLE)
+
+
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """The alert table. Its schema is given, as a table without alerts has no files."""
     day = T.StructField(ALERT_TABLE.date_column, T.DateType())
@@ -79,7 +128,10 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def within_retention(
-    df: DataFrame, as_of: date, days: int, contract: TableContract = RAW_TABLE
+    df: DataFrame,
+    as_of: date,
+    days: int = RiskConfig.retention_days,
+    contract: TableContract = RAW_TABLE,
 ) -> DataFrame:
     """Rows whose day has not expired; a partition filter on a stored table."""
     return df.filter(F.col(contract.date_column) >= F.lit(as_of - timedelta(days=days)))

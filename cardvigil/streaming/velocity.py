@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from cardvigil.functions.risk import per_minute
 from cardvigil.streaming.ingest import DELAY
@@ -12,11 +14,13 @@ from cardvigil.streaming.ingest import DELAY
 SPAN = "10 minutes"
 STEP = "5 minutes"
 
+BATCH = "batch"
+
 
 def velocity_windows(transactions: DataFrame, delay: str = DELAY) -> DataFrame:
     """Transactions per card in sliding windows; state is one counter per card and window.
 
-    In append mode a window comes out once the watermark has passed its end.
+    In update mode a window comes out whenever its count has grown, the still open ones too.
     """
     return (
         transactions.withWatermark("transaction_timestamp", delay)
@@ -30,3 +34,25 @@ def velocity_windows(transactions: DataFrame, delay: str = DELAY) -> DataFrame:
             per_minute(F.col("txn_count_10min")).alias("txn_per_minute"),
         )
     )
+
+
+def start_velocity(
+    windows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Writes what each micro-batch has changed to a folder of its own; a repeated batch rewrites it."""
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+    writer = windows.writeStream.outputMode("update").foreachBatch(keep)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.option("checkpointLocation", checkpoint).start()
+
+
+def read_velocity(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Every window once, as it was last written: counts only grow."""
+    keys = ["window_start", "window_end", "card_id"]
+    rows = spark.read.schema(schema).parquet(path)
+    last = [F.max(c).alias(c) for c in schema.names if c not in keys]
+    return rows.groupBy(*keys).agg(*last).select(*schema.names)

@@ -14,7 +14,9 @@ import cardvigil.__main__ as command
 from cardvigil.operators.features import features
 from cardvigil.operators.quality import QualityError
 from cardvigil.plans import daily, standin
-from cardvigil.schema import ALERT_COLUMNS, FEATURE_COLUMNS, RAW_TABLE
+from cardvigil.schema import ALERT_COLUMNS, FEATURE_COLUMNS, FEATURE_TABLE, RAW_TABLE
+from cardvigil.session import shared_folder
+from cardvigil.sources.raw import read_raw
 from cardvigil.sources.tables import write_by_date
 
 DAY = date(2024, 1, 30)
@@ -84,6 +86,49 @@ def test_invalid_json_writes_nothing(spark, folder):
     assert not os.path.exists(folder("out"))
 
 
+def test_mistyped_json_writes_nothing(spark, folder):
+    good = {"transaction_id": "T1", "card_id": "C1", "amount": 5, "transaction_timestamp": "2025-03-01T02:00:00"}
+    for bad in ({"amount": "abc"}, {"transaction_timestamp": "soon"}):
+        with open(folder("mixed.json"), "w") as f:
+            json.dump([good, {**good, **bad}], f)
+        with pytest.raises(QualityError):
+            daily.run_features_on_json(spark, folder("mixed.json"), folder("out"))
+    assert not os.path.exists(folder("out"))
+
+
+def staged_folders(spark):
+    return {n for n in os.listdir(shared_folder(spark).removeprefix("file:")) if n.startswith((RAW_TABLE.name, FEATURE_TABLE.name))}
+
+
+def test_a_refused_day_leaves_the_old_output(spark, raw_path, folder, monkeypatch):
+    def run():
+        args = ["cardvigil", "--input", raw_path, "--output", folder("out"), "--run-date", "2024-01-30"]
+        monkeypatch.setattr(sys, "argv", args)
+        monkeypatch.setattr(type(spark), "stop", lambda self: None)
+        before = staged_folders(spark)
+        try:
+            command.main()
+        finally:
+            assert staged_folders(spark) == before, "nothing staged is left behind"
+
+    run()
+    before = sorted(map(tuple, spark.read.parquet(folder("out")).collect()), key=str)
+    good = read_raw(spark, raw_path)
+    for broken in (
+        good.withColumn("transaction_id", F.when(F.col("transaction_id") != "65", F.col("transaction_id"))),
+        good.withColumn("amount", (-F.col("amount") - 5).cast("decimal(18,2)")),
+        good.withColumn("card_id", F.lit(None).cast("string")),
+    ):
+        days = broken.filter(F.col("date") == F.lit(DAY))
+        if days.filter("transaction_id IS NULL OR card_id IS NULL OR amount < 0").isEmpty():
+            days = days.withColumn("transaction_id", F.lit(None).cast("string"))
+        raw_path = folder(f"broken{len(os.listdir(folder('.')))}")
+        write_by_date(days, raw_path, RAW_TABLE)
+        with pytest.raises(QualityError):
+            run()
+        assert sorted(map(tuple, spark.read.parquet(folder("out")).collect()), key=str) == before
+
+
 def test_command_line_on_a_day(spark, raw_path, folder, monkeypatch):
     args = ["cardvigil", "--input", raw_path, "--output", folder("out"), "--run-date", "2024-01-30"]
     monkeypatch.setattr(sys, "argv", args)

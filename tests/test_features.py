@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from cardvigil import RiskConfig
 from cardvigil.operators.features import engineer, features, features_for_day, with_home_country
-from cardvigil.operators.heavy import heavy_buckets, split_heavy
+from cardvigil.operators.heavy import heavy_keys, split_heavy
 from cardvigil.operators.rolling import SPANS
 from cardvigil.schema import FEATURE_COLUMNS
 from tests.data import INPUT, brute_force, frame, golden_input, utc
 
 LIGHT = RiskConfig()
-HEAVY = replace(LIGHT, heavy_rows=-1, heavy_factor=0)
+HEAVY = replace(LIGHT, heavy_rows=-1)
 BOTH = pytest.mark.parametrize("cfg", [LIGHT, HEAVY], ids=["light", "heavy"])
 
 NAMES = [
@@ -34,12 +34,12 @@ NAMES = [
 ]
 
 GOLDEN = {
-    # id: 1h, 24h, 10min, avg (7d and 30d), max, sum, zscore, per minute, night, foreign
-    "TXN001": (1, 2, 1, 24750.0, 49000.0, 49500.0, -0.7071067811865476, 0.1, 0, 0),
-    "TXN002": (2, 3, 2, 16650.0, 49000.0, 49950.0, -0.5782423886864675, 0.2, 0, 0),
-    "TXN003": (1, 1, 1, 49000.0, 49000.0, 49000.0, 0.0, 0.1, 1, 1),
-    "TXN004": (1, 1, 1, 1200.0, 1200.0, 1200.0, 0.0, 0.1, 0, 0),
-    "TXN005": (2, 2, 2, 1150.0, 1200.0, 2300.0, -0.7071067811865475, 0.2, 0, 0),
+    # id: 1h, 24h, 10min, avg (7d and 30d), max, sum, zscore, per minute, night, foreign, high
+    "g1": (1, 1, 1, 80.0, 80.0, 80.0, 0.0, 0.1, 1, 0, 0),
+    "g2": (2, 2, 2, 100.25, 120.5, 200.5, 0.7071067811865475, 0.2, 0, 1, 0),
+    "g3": (3, 3, 2, 16733.5, 50000.0, 50200.5, 1.1547002531370485, 0.2, 0, 0, 0),
+    "g4": (2, 2, 2, 25003.63, 50000.01, 50007.26, 0.7071067811865476, 0.2, 0, 0, 1),
+    "g5": (2, 2, 2, 25003.63, 50000.01, 50007.26, -0.7071067811865476, 0.2, 0, 0, 0),
 }
 
 
@@ -55,8 +55,8 @@ def test_golden_table(spark, cfg):
         assert (r["max_amount_24h"], r["sum_amount_24h"]) == want[4:6]
         assert r["zscore_amount"] == pytest.approx(want[6], abs=1e-12)
         assert r["txn_per_minute"] == want[7]
-        assert (r["is_night_txn"], r["is_foreign_merchant"]) == want[8:10]
-        assert (r["is_high_amount"], r["is_velocity_spike"], r["is_amount_anomaly"]) == (0, 0, 0)
+        assert (r["is_night_txn"], r["is_foreign_merchant"], r["is_high_amount"]) == want[8:11]
+        assert (r["is_velocity_spike"], r["is_amount_anomaly"]) == (0, 0)
 
 
 def test_columns_in_order(spark):
@@ -154,14 +154,19 @@ def test_many_transactions_in_one_second(spark):
     assert got["n7"]["txn_count_24h"] == 200
 
 
-def test_only_heavy_buckets_are_split(spark):
+def test_only_heavy_cards_are_split(spark):
     rows = [(f"t{n}", "hot", 1000 + n, 1.0) for n in range(120)]
     rows += [(f"u{n}", f"card{n}", 1000 + n, 1.0) for n in range(60)]
     cfg = replace(LIGHT, heavy_rows=100)
     light, heavy = split_heavy(frame(spark, rows), "card_id", cfg)
     assert heavy.select("card_id").distinct().collect() == [("hot",)]
     assert light.count() == 60
-    assert heavy_buckets(frame(spark, rows), "card_id", LIGHT).count() == 0
+    assert heavy_keys(frame(spark, rows), "card_id", LIGHT).count() == 0
+    # The bound is per card, also of cards that share a bucket, and holds for rows without a card.
+    one_bucket = replace(cfg, card_buckets=1)
+    nameless = frame(spark, rows + [(f"n{n}", None, 1000 + n, 1.0) for n in range(101)])
+    assert heavy_keys(nameless, "card_id", one_bucket).orderBy("heavy_key").collect() == [(None,), ("hot",)]
+    assert split_heavy(nameless, "card_id", one_bucket)[1].count() == 221
     mixed = {r["transaction_id"]: r[7:] for r in features(frame(spark, rows), cfg).collect()}
     plain = {r["transaction_id"]: r[7:] for r in features(frame(spark, rows), LIGHT).collect()}
     assert mixed == plain
@@ -266,10 +271,10 @@ def test_one_day_in_another_time_zone(spark):
 
 
 def test_home_country_of_the_customer(spark):
-    customers = spark.createDataFrame([("CUST001", "US")], "customer_id string, home_country string")
+    customers = spark.createDataFrame([("ann", "FR")], "customer_id string, home_country string")
     rows = with_home_country(golden_input(spark), customers)
     got = {
         r["transaction_id"]: r["is_foreign_merchant"]
         for r in features(rows, LIGHT, F.col("home_country")).collect()
     }
-    assert got == {"TXN001": 1, "TXN002": 1, "TXN003": 0, "TXN004": 0, "TXN005": 0}
+    assert got == {"g1": 1, "g2": 0, "g3": 1, "g4": 0, "g5": 0}

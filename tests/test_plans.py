@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 
 from cardvigil import RiskConfig
 from cardvigil.operators import quality
-from cardvigil.operators.alerts import build_alerts, latest_features, list_alerts, summarise
+from cardvigil.operators.alerts import (
+    build_alerts,
+    latest_features,
+    list_alerts,
+    list_stored_alerts,
+    summarise,
+)
 from cardvigil.operators.features import engineer, features, features_for_day
 from cardvigil.operators.rolling import IS_NEW, _roll_light, with_parts
 from cardvigil.plans import analytics, standin
 from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_TABLE
 from cardvigil.sources.raw import read_raw
-from cardvigil.sources.tables import read_alerts, write_by_date
+from cardvigil.sources.tables import days_of, read_alerts, write_by_date
 from tests.plans import plan_of
 
 
@@ -57,14 +63,14 @@ def test_card_filter_reaches_the_scan(raw):
     assert "EqualTo(card_id,7)" in plan
 
 
-def test_only_the_bucket_list_is_broadcast_by_hint(spark, raw):
+def test_only_bucket_and_heavy_card_lists_are_broadcast_by_hint(spark, raw):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(engineer(raw))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     broadcasts = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
-    assert broadcasts and all("xxhash64" in keys for keys in broadcasts)
+    assert broadcasts and all("xxhash64" in keys or "coalesce(card_id" in keys for keys in broadcasts)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -96,9 +102,20 @@ def test_high_risk_cards_reads_one_partition_and_keeps_a_top_list(stored):
     assert "TakeOrderedAndProject(limit=100" in plan
 
 
-def test_newest_partition_is_found_by_a_subquery(stored):
-    plan = plan_of(latest_features(stored))
-    assert re.search(r"PartitionFilters: \[isnotnull\(_feature_date[^]]*Subquery", plan)
+def test_newest_partition_comes_from_the_listing(spark, stored, folder):
+    days = days_of(spark, folder("features"), "_feature_date")
+    assert days[-1] == standin.LAST_DAY
+    plan = plan_of(latest_features(stored, days))
+    assert "PartitionFilters: [isnotnull(_feature_date" in plan and "Subquery" not in plan
+    assert latest_features(stored, []).count() == 0
+
+
+def test_only_raw_rows_of_alerts_are_moved(raw, stored):
+    plan = plan_of(build_alerts(stored, F.col("transaction_timestamp"), standin.CONFIG, raw))
+    scan = plan[plan.index("BroadcastHashJoin [transaction_id"):]
+    assert "LeftSemi" in scan.splitlines()[0]
+    raw_side = scan[: scan.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in raw_side
 
 
 def test_alert_list_is_a_top_list(raw):
@@ -169,11 +186,13 @@ def stored_alerts(spark, sf_dir, folder):
 
 @pytest.mark.parametrize("severity", [None, "LOW", "HIGH", "URGENT"])
 @pytest.mark.parametrize("limit", [1, 10, 100])
-def test_list_reads_only_the_days_it_needs(stored_alerts, severity, limit):
+def test_list_reads_the_newest_days_first(spark, stored_alerts, folder, severity, limit):
+    days = days_of(spark, folder("alerts"), ALERT_TABLE.date_column)
     plain = list_alerts(stored_alerts, severity, limit)
-    pruned = list_alerts(stored_alerts, severity, limit, ALERT_TABLE.date_column)
+    pruned = list_stored_alerts(stored_alerts, days, severity, limit)
     assert pruned.collect() == plain.collect()
-    assert re.search(r"PartitionFilters: \[[^]]*_alert_date[^]]*Subquery", plan_of(pruned))
+    if limit == 1 and severity is None:
+        assert "PartitionFilters: [isnotnull(_alert_date" in plan_of(pruned)
 
 
 def test_summary_reads_two_days(stored_alerts):

@@ -15,7 +15,7 @@ from cardvigil.operators import alerts as desk
 from cardvigil.operators import quality
 from cardvigil.operators.features import features
 from cardvigil.plans import analytics
-from cardvigil.schema import ALERT_COLUMNS, FLAG_COLUMNS, RAW_TABLE
+from cardvigil.schema import ALERT_COLUMNS, ALERT_TABLE, FLAG_COLUMNS, RAW_TABLE
 from tests.data import INPUT, golden_input, utc
 
 
@@ -30,7 +30,7 @@ def test_validation_passes_on_clean_data(spark):
 
 
 def test_validation_fails_on_null_transaction_id(spark):
-    bad = spark.createDataFrame([(None, "CARD001", "CUST001", 500.0, "IN", None, "POS", 0)], INPUT)
+    bad = spark.createDataFrame([(None, "red", "cy", 12.5, "DE", utc(2024, 5, 6, 7, 0, 0), "TAP", 0)], INPUT)
     with pytest.raises(quality.QualityError, match="null_transaction_ids"):
         quality.assert_features(features(bad))
 
@@ -75,6 +75,15 @@ def test_fraud_rate_of_a_missing_day_fails(spark):
         quality.assert_fraud_rate(df, "date", date(2025, 3, 1))
 
 
+def test_every_contract_is_asserted(spark):
+    fine = spark.createDataFrame([("t", "c", "x")], "transaction_id string, card_id string, alert_id string")
+    quality.assert_not_null(fine, ALERT_TABLE)
+    with pytest.raises(quality.QualityError, match="card_id"):
+        quality.assert_not_null(fine.withColumn("card_id", F.lit(None).cast("string")), ALERT_TABLE)
+    with pytest.raises(quality.QualityError, match="differ"):
+        quality.assert_reconciled(fine, fine.limit(0))
+
+
 def test_presence(spark):
     raw = spark.createDataFrame([(date(2025, 3, 1),), (date(2025, 3, 3),)], "date date")
     got = quality.raw_presence(raw, date(2025, 3, 1), date(2025, 3, 3)).orderBy("run_date").collect()
@@ -178,6 +187,20 @@ def test_merchant_name_from_raw_survives_copies(spark):
     assert [r["merchant_name"] for r in got] == ["Shop"]
 
 
+def test_alerts_without_a_raw_row_stay(spark):
+    cases = [("a", NOON, FLAG_COLUMNS), ("b", NOON, FLAG_COLUMNS), (None, NOON, FLAG_COLUMNS)]
+    rows = flagged(spark, *cases)
+    raw = spark.createDataFrame([("a", "Shop"), (None, "Nobody")], "transaction_id string, merchant_name string")
+    for few in (0, 10):
+        found = desk.score(rows.drop("merchant_name")).filter("fraud_score > 0.6")
+        named = desk.with_merchant_name(found, raw, few).select("transaction_id", "merchant_name").collect()
+        assert sorted(map(tuple, named), key=str) == [("a", "Shop"), ("b", None), (None, None)]
+    plain = desk.build_alerts(rows, F.col("transaction_timestamp")).collect()
+    joined = desk.build_alerts(rows.drop("merchant_name"), F.col("transaction_timestamp"), raw=raw).collect()
+    assert {r["transaction_id"]: r["merchant_name"] for r in plain}[None] is None
+    assert {r["transaction_id"] for r in plain} == {r["transaction_id"] for r in joined}
+
+
 def test_list_defaults_to_the_ten_newest(spark):
     rows = [(f"t{n:02}", NOON + timedelta(minutes=n), FLAG_COLUMNS) for n in range(30)]
     found = desk.build_alerts(flagged(spark, *rows), F.col("transaction_timestamp"))
@@ -286,6 +309,19 @@ def test_high_risk_cards_order_and_threshold(spark):
     assert [tuple(r) for r in got] == [("c", 5, 5, 0, 5, 4.0), ("a", 3, 3, 0, 3, 2.0), ("b", 3, 3, 0, 3, 2.0)]
 
 
+def test_high_risk_cards_are_cut_at_100(spark):
+    day = date(2025, 3, 30)
+    rows = [(day, f"c{n:03}", 0, 0, 0, 1.0) for n in range(130) for _ in range(3 + n % 2)]
+    df = spark.createDataFrame(
+        rows,
+        "_feature_date date, card_id string, is_amount_anomaly int, is_velocity_spike int, "
+        "is_foreign_merchant int, zscore_amount double",
+    )
+    got = [r["card_id"] for r in analytics.high_risk_cards(df, date(2025, 3, 31)).collect()]
+    odd, even = [f"c{n:03}" for n in range(1, 130, 2)], [f"c{n:03}" for n in range(0, 130, 2)]
+    assert got == (odd + even)[:100]
+
+
 def test_country_average_is_rounded_exactly(spark):
     rows = [("US", Decimal("0.01"), 1), ("US", Decimal("0.02"), 0), (None, Decimal("5.00"), 0)]
     df = spark.createDataFrame(rows, "merchant_country string, amount decimal(18,2), is_fraud int")

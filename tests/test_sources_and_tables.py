@@ -17,8 +17,10 @@ from cardvigil.session import new_folder, shared_folder
 from cardvigil.sources import decode
 from cardvigil.sources.raw import kafka_payloads, read_json, read_raw, read_raw_day
 from cardvigil.sources.tables import (
+    compact_days,
     conform_features,
     conform_raw,
+    days_of,
     load_clustered,
     within_retention,
     write_by_date,
@@ -60,6 +62,25 @@ def test_json_array_file(spark, folder):
     ).count() == 2
 
 
+def test_a_broken_record_of_an_array_costs_only_itself(spark, folder):
+    os.mkdir(folder("arrays"))
+    files = {
+        "a": json.dumps([record(), record(transaction_id="T2", amount="abc"), record(transaction_id="T3")]),
+        "b": json.dumps([record(transaction_id="T4")])[:-4],
+        "c": json.dumps(record(transaction_id="T5")),
+        "d": "[]",
+        "e": "",
+    }
+    for name, text in files.items():
+        with open(folder(f"arrays/{name}.json"), "w") as f:
+            f.write(text)
+    routed = decode.with_route(read_json(spark, folder("arrays"))).collect()
+    assert sorted(r["transaction_id"] for r in routed if r["is_valid"]) == ["T1", "T3", "T5"]
+    rejected = [r for r in routed if not r["is_valid"]]
+    assert all(r["reasons"] == ["unreadable_payload"] for r in rejected)
+    assert {"abc" in r[CORRUPT] for r in rejected} == {True, False}
+
+
 def test_json_lines(spark, folder):
     path = folder("lines")
     os.mkdir(path)
@@ -117,6 +138,15 @@ def test_kafka_source_is_offered_when_the_connector_is_there(spark):
     assert stream.isStreaming and stream.columns == ["value"]
 
 
+def test_a_time_far_past_arrival_is_rejected(spark):
+    rows = [("on time", "2025-03-01T10:00:00"), ("an hour ahead", "2025-03-01T11:00:00"), ("later", "2025-03-01T11:00:01")]
+    values = [(n, json.dumps(record(transaction_timestamp=t))) for n, t in rows]
+    payloads = spark.createDataFrame(values, "name string, value string").withColumn("arrival", F.lit("2025-03-01 10:00:00").cast("timestamp"))
+    routed = decode.with_route(decode.decode_payload(payloads), "arrival").collect()
+    assert {r["name"]: r["reasons"] for r in routed} == {"on time": [], "an hour ahead": [], "later": ["future_timestamp"]}
+    assert "arrival" not in decode.valid_rows(decode.decode_payload(payloads), "arrival").columns
+
+
 @pytest.fixture
 def raw_table(spark, sf_dir, folder):
     path = folder("raw")
@@ -143,7 +173,7 @@ def test_day_reads_only_its_partitions(spark, raw_table):
 def test_summary_and_retention_prune_by_partition(spark, raw_table):
     raw = read_raw(spark, raw_table)
     summary = daily_fraud_summary(raw, date(2024, 1, 31), "date")
-    kept = within_retention(raw, date(2024, 1, 31), 20)
+    kept = within_retention(raw, standin.RETENTION_AS_OF)
     for df in (summary, kept):
         plan = plan_of(df)
         assert "PartitionFilters: [isnotnull(date" in plan and "(date#" in plan
@@ -171,6 +201,16 @@ def test_files_are_clustered_by_card(spark, folder):
     assert max(r["n"] for r in sizes) < 0.6 * 4000
 
 
+def test_compaction_keeps_one_row_per_id_and_other_days(spark, folder):
+    raw = standin.transactions(spark, "/root/testdata/sf0.001")
+    write_by_date(raw.unionByName(raw).unionByName(raw.limit(50)), folder("landed"), RAW_TABLE)
+    compact_days(spark, folder("landed"), folder("table"), standin.FIRST_DAY, date(2024, 1, 10))
+    compact_days(spark, folder("landed"), folder("table"), date(2024, 1, 10), standin.AS_OF)
+    got = read_raw(spark, folder("table")).drop("date")
+    assert got.exceptAll(raw).count() == 0 and got.count() == raw.count()
+    assert days_of(spark, folder("table"), "date") == sorted(r[0] for r in read_raw(spark, folder("table")).select("date").distinct().collect())
+
+
 def test_rewriting_a_day_leaves_other_days_alone(spark, folder):
     path = folder("features")
     from cardvigil.operators.features import features
@@ -180,7 +220,7 @@ def test_rewriting_a_day_leaves_other_days_alone(spark, folder):
     write_by_date(rows.unionAll(later), path, FEATURE_TABLE)
     write_by_date(later.limit(1), path, FEATURE_TABLE)
     counts = {r[0]: r[1] for r in spark.read.parquet(path).groupBy("_feature_date").count().collect()}
-    assert counts == {date(2025, 3, 1): 5, date(2025, 3, 2): 1}
+    assert counts == {date(2024, 5, 6): 5, date(2024, 5, 7): 1}
 
 
 def test_loaded_features_have_the_declared_columns(spark):

@@ -15,9 +15,10 @@ from cardvigil.operators.alerts import build_alerts
 from cardvigil.operators.features import engineer
 from cardvigil.operators.rolling import per_second, with_parts
 from cardvigil.plans import standin
-from cardvigil.schema import ALERT_COLUMNS, RAW_SCHEMA
+from cardvigil.schema import ALERT_COLUMNS, ALERT_TABLE, RAW_SCHEMA
 from cardvigil.sources import decode
 from cardvigil.sources.raw import read_raw, text_payloads
+from cardvigil.sources.tables import compact_alerts, compact_days, read_alerts, write_by_date
 from cardvigil.streaming import ingest, memory, scoring, velocity
 
 ONCE = {"availableNow": True}
@@ -47,13 +48,18 @@ def inbox(folder):
     return Inbox(folder("inbox"))
 
 
+ALL_DAYS = (date(2025, 1, 1), date(2025, 12, 31))
+
+
 def run_landing(spark, inbox, folder):
-    unique = ingest.without_redelivered(ingest.valid_transactions(text_payloads(spark, inbox.path)))
-    ingest.land(unique, folder("raw"), folder("checkpoint"), ONCE).awaitTermination()
+    """Ids in the raw table after landing what is new and compacting every day."""
+    valid = ingest.valid_transactions(text_payloads(spark, inbox.path))
+    ingest.land(valid, folder("landed"), folder("checkpoint"), ONCE).awaitTermination()
+    compact_days(spark, folder("landed"), folder("raw"), *ALL_DAYS)
     return sorted(r[0] for r in read_raw(spark, folder("raw")).select("transaction_id").collect())
 
 
-def test_redelivered_events_land_once(spark, inbox, folder):
+def test_redelivered_events_are_in_the_table_once(spark, inbox, folder):
     one = txn("a", "2025-03-01T10:00:00")
     inbox.add(*[one] * 40, txn("b", "2025-03-01T10:01:00"))
     inbox.add(*[one] * 40)
@@ -62,11 +68,11 @@ def test_redelivered_events_land_once(spark, inbox, folder):
     assert run_landing(spark, inbox, folder) == ["a", "b", "c"]
 
 
-def test_rows_behind_the_watermark_are_dropped(spark, inbox, folder):
-    inbox.add(txn("a", "2025-03-01T10:00:00"))
+def test_late_rows_are_landed(spark, inbox, folder):
+    inbox.add(txn("a", "2025-03-01T10:00:00"), txn("b", "2025-03-01T12:00:00"))
     run_landing(spark, inbox, folder)
-    inbox.add(txn("late", "2025-03-01T09:00:00"), txn("close", "2025-03-01T09:55:00"))
-    assert run_landing(spark, inbox, folder) == ["a", "close"]
+    inbox.add(txn("late", "2025-03-01T09:00:00"), txn("days late", "2025-02-20T09:55:00"))
+    assert run_landing(spark, inbox, folder) == ["a", "b", "days late", "late"]
 
 
 def test_landing_is_partitioned_by_date(spark, inbox, folder):
@@ -91,30 +97,36 @@ def test_dead_letters(spark, inbox, folder):
     assert run_landing(spark, inbox, folder) == ["a"]
 
 
-def test_velocity_in_complete_mode_equals_batch(spark, sf_dir, folder):
+def test_velocity_windows_are_complete(spark, sf_dir, folder):
+    """Fed in two parts: windows that grow are rewritten, and those still open are there."""
     raw = standin.transactions(spark, sf_dir)
-    decode.encode_payload(raw).write.text(folder("inbox"))
-    stream = velocity.velocity_windows(ingest.valid_transactions(text_payloads(spark, folder("inbox"))))
-
-    def keep(df, batch_id):
-        df.write.mode("overwrite").parquet(folder("windows"))
-
-    (
-        stream.writeStream.outputMode("complete")
-        .foreachBatch(keep)
-        .option("checkpointLocation", folder("checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    cut = F.lit("2024-01-16").cast("timestamp")
+    for part in (F.col("transaction_timestamp") < cut, F.col("transaction_timestamp") >= cut):
+        decode.encode_payload(raw.filter(part)).write.mode("append").text(folder("inbox"))
+        stream = velocity.velocity_windows(ingest.valid_transactions(text_payloads(spark, folder("inbox"))))
+        velocity.start_velocity(stream, folder("windows"), folder("checkpoint"), ONCE).awaitTermination()
     want = (
         raw.groupBy(F.window("transaction_timestamp", "10 minutes", "5 minutes").start.alias("window_start"), "card_id")
         .count()
     )
-    got = spark.read.parquet(folder("windows")).select("window_start", "card_id", "txn_count_10min")
+    got = velocity.read_velocity(spark, folder("windows"), stream.schema)
+    got = got.select("window_start", "card_id", "txn_count_10min")
     assert want.exceptAll(got).count() == 0 and got.count() == want.count()
 
 
+def test_alerts_of_streams_and_daily_runs_merge(spark, sf_dir, folder):
+    raw = standin.transactions(spark, sf_dir)
+    built = build_alerts(engineer(raw, standin.CONFIG), F.col("transaction_timestamp"), standin.CONFIG)
+    again = build_alerts(engineer(raw, standin.CONFIG), F.lit("2030-01-01").cast("timestamp"), standin.CONFIG)
+    write_by_date(built.filter("card_id < '5'"), folder("stream"), ALERT_TABLE)
+    write_by_date(again, folder("nightly"), ALERT_TABLE)
+    compact_alerts(spark, [folder("stream"), folder("nightly")], folder("table"))
+    got = read_alerts(spark, folder("table")).select(*ALERT_COLUMNS)
+    assert got.count() == built.count()
+    assert got.filter("card_id < '5'").exceptAll(built).count() == 0
+    assert got.filter("card_id >= '5'").exceptAll(again).count() == 0
+
+
 def score_inbox(spark, inbox_path, folder):
     incoming = ingest.without_redelivered(ingest.valid_transactions(text_payloads(spark, inbox_path)))
     scoring.start_scoring(
