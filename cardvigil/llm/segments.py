@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardvigil.llm.words import give_back, joined, pieces, span_hashes, texts
+from cardvigil.llm.words import joined, pieces, span_hashes, texts
 
 #: Bins that keys are counted in. For texts of more than ``BINS * BUCKET`` units take more.
 BINS = 1 << 18
@@ -181,6 +181,24 @@ def _unpacked(blob: bytes, n: int, columns: int) -> tuple[list[np.ndarray], byte
     return [np.cumsum(np.ascontiguousarray(x.T).view("<i8").ravel()) for x in planes], raw[columns * size :]
 
 
+def _repeated(content: np.ndarray, docs: np.ndarray, place: np.ndarray, same_document: bool) -> np.ndarray:
+    """Runs whose text another run of a smaller document has, or with ``same_document`` an earlier one."""
+    by = np.argsort(content)
+    same = content[by][1:] == content[by][:-1]
+    twin = np.zeros(len(by), dtype=bool)
+    twin[1:] = same
+    twin[:-1] |= same
+    order = by[twin]
+    order = order[np.lexsort((place[order], docs[order], content[order]))]
+    head = np.ones(len(order), dtype=bool)
+    head[1:] = content[order][1:] != content[order][:-1]
+    first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))] if len(order) else order
+    later = docs[order] > docs[first]
+    if same_document:
+        later |= place[order] > place[first]
+    return order[later]
+
+
 def _sent(kind: Kind, to: Plan, same_document: bool):
     """Rows (bucket, n, covered, blob): runs of windows with their texts, and spans known to be covered."""
 
@@ -196,26 +214,22 @@ def _sent(kind: Kind, to: Plan, same_document: bool):
             docs, place = ids[row], starts - units.first[row]
             begin, end = units.bytes_of(starts, starts + lengths + kind.window - 1)
             content = span_hashes(units.data, begin, end)
-            order = np.lexsort((place, docs, content))
-            head = np.ones(len(order), dtype=bool)
-            head[1:] = content[order][1:] != content[order][:-1]
-            first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-            later = docs[order] > docs[first]
-            if same_document:
-                later |= place[order] > place[first]
-            dropped, kept = order[later], np.sort(order[~later])
+            dropped = _repeated(content, docs, place, same_document)
+            kept = np.ones(len(content), dtype=bool)
+            kept[dropped] = False
+            kept = np.flatnonzero(kept)
             kept = kept[np.argsort(bucket[kept], kind="stable")]
             rows = []
             if len(dropped):
                 spans = (docs[dropped], place[dropped], place[dropped] + lengths[dropped] + kind.window - 1)
                 rows.append((int(bucket[dropped[0]]), len(dropped), True, _packed(spans, b"")))
             edges = np.flatnonzero(np.diff(bucket[kept], prepend=-1, append=-1))
+            view, b, e = units.data.tobytes(), begin[kept].tolist(), end[kept].tolist()
             for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 part = kept[low:high]
-                size = end[part] - begin[part]
-                last = np.cumsum(size)
-                text = units.data[np.repeat(begin[part] - last + size, size) + np.arange(last[-1])]
-                rows.append((int(bucket[part[0]]), high - low, False, _packed((docs[part], place[part], lengths[part], size), text.tobytes())))
+                text = b"".join(map(view.__getitem__, map(slice, b[low:high], e[low:high])))
+                columns = (docs[part], place[part], lengths[part], end[part] - begin[part])
+                rows.append((int(bucket[part[0]]), high - low, False, _packed(columns, text)))
             for low in range(0, len(rows), 256):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind_) for c, kind_ in zip(zip(*rows[low : low + 256], strict=True), _KINDS, strict=True)],
@@ -257,7 +271,6 @@ def _judged(kind: Kind, judge: Judge):
             text = np.frombuffer(b"".join(texts_), dtype=np.uint8)
             flags = judge(Runs(docs, place, lengths, text, np.concatenate([[0], np.cumsum(size)])))
             spans.append(_covered_spans(flags, docs, place, lengths, kind.window))
-        give_back()
         return _by_document(spans)
 
     return run

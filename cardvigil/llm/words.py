@@ -52,11 +52,12 @@ LETTERS_LOWER = _alphabet(True, {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads all their bits."""
-    x = x ^ (x >> np.uint64(30))
+    part = x >> np.uint64(30)
+    x = np.bitwise_xor(x, part)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
+    x ^= np.right_shift(x, np.uint64(27), out=part)
     x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
+    x ^= np.right_shift(x, np.uint64(31), out=part)
     return x
 
 
