@@ -35,7 +35,7 @@ BLOCK = 256
 #: Windows in a bucket.
 BUCKET = 1 << 20
 #: Bytes of text, about, that are cut into runs at once; equal runs in them travel once.
-PIECE = 20 << 20
+PIECE = 10 << 20
 #: Windows whose keys are found at once, and windows that travel in one piece.
 STEP, LONGEST = 1 << 20, 64
 #: Compression of the texts that travel.
@@ -203,7 +203,7 @@ def _sent(kind: Kind, to: Plan, same_document: bool):
     """Rows (bucket, n, covered, blob): runs of windows with their texts, and spans known to be covered."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(joined(batches, "text", PIECE), "text", 2 * PIECE):
+        for batch in pieces(joined(batches, "text", PIECE), "text", PIECE + PIECE // 2):
             ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
             units = kind.read(*texts(batch.column("text")))
             found = [_runs(*part, units, to) for part in _keys(units, kind)]
@@ -224,10 +224,10 @@ def _sent(kind: Kind, to: Plan, same_document: bool):
                 spans = (docs[dropped], place[dropped], place[dropped] + lengths[dropped] + kind.window - 1)
                 rows.append((int(bucket[dropped[0]]), len(dropped), True, _packed(spans, b"")))
             edges = np.flatnonzero(np.diff(bucket[kept], prepend=-1, append=-1))
-            view, b, e = units.data.tobytes(), begin[kept].tolist(), end[kept].tolist()
+            view = units.data.tobytes()
             for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 part = kept[low:high]
-                text = b"".join(map(view.__getitem__, map(slice, b[low:high], e[low:high])))
+                text = b"".join(map(view.__getitem__, map(slice, begin[part].tolist(), end[part].tolist())))
                 columns = (docs[part], place[part], lengths[part], end[part] - begin[part])
                 rows.append((int(bucket[part[0]]), high - low, False, _packed(columns, text)))
             for low in range(0, len(rows), 256):

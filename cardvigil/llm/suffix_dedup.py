@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from cardvigil.llm.segments import BUCKET, Kind, Runs, covered, merged, unzipped, with_spans
 from cardvigil.llm.words import mixed, pieces, span_hashes
 
-WINDOW, GRAM = 50, 12
+WINDOW, GRAM = 50, 10
 
 # A perfect difference cover of the numbers modulo 21.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
