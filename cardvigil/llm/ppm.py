@@ -143,7 +143,8 @@ class Model:
             for order in range(1, ORDER + 1):
                 before = np.full(high - low, size, dtype=np.int64)
                 shift = max(0, order - back)
-                before[shift:] = read[back - order + shift : len(read) - order]
+                start = back - order + shift
+                before[shift:] = read[start : max(start, len(read) - order)]
                 before[age < order] = size
                 walk = self.child[walk * width + before].astype(np.int64)
                 node = np.where(walk == dead, node, walk)
