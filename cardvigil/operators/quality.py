@@ -155,7 +155,8 @@ def assert_not_null(df: DataFrame, contract: TableContract) -> None:
 
 def assert_all_valid(decoded: DataFrame) -> None:
     """Raises ``QualityError`` with the reasons if a decoded row is not valid."""
-    rejected = rejected_rows(decoded).groupBy(F.explode("reasons").alias("reason")).count().collect()
+    reasons = rejected_rows(decoded).select(F.explode("reasons").alias("reason"))
+    rejected = reasons.groupBy("reason").count().collect()
     if rejected:
         raise QualityError(f"rejected rows: { {r['reason']: r['count'] for r in rejected} }")
 
