@@ -5,12 +5,13 @@ bytes. A byte costs what its frequency says in the longest known context, an esc
 the next shorter one where it was never seen there (escape probability: distinct bytes
 over distinct bytes plus occurrences), and eight bits after the last escape. Statistics
 are frozen: a text's code length in a language is the sum over all its bytes, and the
-language with the shortest code is predicted. All languages share one context tree,
-walked for all bytes of many texts at once.
+language with the shortest code is predicted. Each language has its own context tree,
+which holds only what was seen in it; the contexts of many texts are listed once, each
+with its shorter one, and every tree gives the cost of all of them at once.
 
-The model is trained on a bounded sample: at most ``TRAIN_DOCS`` documents of each of
-the ``MAX_LANGUAGES`` most frequent languages, chosen by hash of the id, whole texts,
-counted on the cluster; the ``MAX_CONTEXTS`` most frequent contexts make the tree.
+The model is trained on a bounded sample: at most ``TRAIN_DOCS`` documents of every
+language there is, chosen by hash of the id, whole texts, counted on the cluster; the
+``MAX_CONTEXTS`` contexts most frequent over all languages are kept.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is
 every text if there is nothing to learn from. Ties go to the first language by name.
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +34,14 @@ from cardvigil.llm.words import pieces, texts
 
 ORDER = 4
 TRAIN_DOCS = 300
-MAX_LANGUAGES = 200
 MAX_CONTEXTS = 12_000
 #: A context seen less often in the sample is not kept.
 MIN_COUNT = 8
 #: Bytes that are coded at once.
-BLOCK = 1 << 18
+BLOCK = 1 << 20
 _HASHES = 1 << 30
+#: A context and its next byte as one number: the order above five bytes.
+_ORDER_BIT = 40
 
 
 def held_out(doc_id: Column) -> Column:
@@ -49,12 +52,11 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, per_language: int = TRAIN_DOCS) -> DataFrame:
     """(lang, text) of at most ``per_language`` labelled documents of each language."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
-        return labelled.select("lang", "text").limit(0)
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, min(_HASHES, 2 * per_language * _HASHES // r["count"] + 1))))
+    counts = labelled.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_rows"))
     place = F.xxhash64("doc_id")
-    thin = labelled.where(F.pmod(place, F.lit(_HASHES)) < F.try_element_at(share, F.col("lang")))
+    share = F.lit(2 * per_language * _HASHES) / F.col("_rows") + 1
+    # One row for each language, whatever the number of documents.
+    thin = labelled.join(F.broadcast(counts), F.col("lang") == F.col("_lang")).where(F.pmod(place, F.lit(_HASHES)) < share)
     order = Window.partitionBy("lang").orderBy(place, "doc_id", F.xxhash64("text"))
     return thin.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_language).select("lang", "text")
 
@@ -81,81 +83,128 @@ def _ages(offsets: np.ndarray) -> np.ndarray:
     return np.arange(offsets[-1], dtype=np.int64) - np.repeat(offsets[:-1], np.diff(offsets))
 
 
+@dataclass(frozen=True)
+class Tree:
+    """What one language's texts hold: bits of each byte after each context, and of the escape from each context."""
+
+    #: Numbers of contexts with their next bytes, in order, and of contexts.
+    grams: np.ndarray
+    cost: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
+
+    @classmethod
+    def of(cls, grams: np.ndarray, n: np.ndarray) -> Tree:
+        """From the numbers of contexts with their next bytes, in order, and how often each was seen."""
+        contexts, first, kinds = np.unique(grams >> 8, return_index=True, return_counts=True)
+        known = np.add.reduceat(n, first) + kinds
+        cost = -np.log2(n / np.repeat(known, kinds))
+        return cls(grams, cost.astype(np.float32), contexts, -np.log2(kinds / known).astype(np.float32))
+
+
+@dataclass(frozen=True)
+class Asked:
+    """All contexts with their next bytes that some texts need, the shorter ones too, each once and in order."""
+
+    grams: np.ndarray
+    #: For each gram where the one with the next shorter context is.
+    shorter: np.ndarray
+    #: Where the grams of each order begin, one more at the end.
+    edges: np.ndarray
+    contexts: np.ndarray
+    #: For each gram its context.
+    context: np.ndarray
+
+    @classmethod
+    def of(cls, grams: np.ndarray) -> Asked:
+        """From the grams of the longest contexts, each once and in order."""
+        levels: list[np.ndarray] = []
+        longer = grams[:0]
+        for order in reversed(range(ORDER + 1)):
+            low, high = np.searchsorted(grams, [order << _ORDER_BIT, (order + 1) << _ORDER_BIT])
+            longer = np.unique(np.concatenate([grams[low:high], _shorter(longer, order)]))
+            levels.insert(0, longer)
+        every = np.concatenate(levels)
+        edges = np.cumsum([0, *map(len, levels)])
+        shorter = np.zeros(len(every), dtype=np.int64)
+        for order in range(1, ORDER + 1):
+            shorter[edges[order] : edges[order + 1]] = np.searchsorted(every, _shorter(levels[order], order - 1))
+        contexts, context = np.unique(every >> 8, return_inverse=True)
+        return cls(every, shorter, edges, contexts, context)
+
+    def cost(self, tree: Tree) -> np.ndarray:
+        """Bits of each gram's last byte."""
+        at = np.minimum(np.searchsorted(tree.grams, self.grams), len(tree.grams) - 1)
+        found, cost = tree.grams[at] == self.grams, tree.cost[at]
+        at = np.minimum(np.searchsorted(tree.contexts, self.contexts), len(tree.contexts) - 1)
+        escape = np.where(tree.contexts[at] == self.contexts, tree.escape[at], np.float32(0))[self.context]
+        for order in range(ORDER + 1):
+            part = slice(self.edges[order], self.edges[order + 1])
+            shorter = cost[self.shorter[part]] if order else np.float32(8)
+            cost[part] = np.where(found[part], cost[part], escape[part] + shorter)
+        return cost
+
+
+def _shorter(grams: np.ndarray, order: int) -> np.ndarray:
+    """Numbers of grams with their contexts cut to ``order`` bytes."""
+    return grams & ((1 << 8 * (order + 1)) - 1) | order << _ORDER_BIT
+
+
 @dataclass(frozen=True)
 class Model:
-    """A context tree; ``child[node, byte]`` is the context one byte longer, the last node is no context."""
+    """A tree for each language."""
 
     langs: list[str]
-    symbol: np.ndarray
-    child: np.ndarray
-    cost: np.ndarray
-    #: Symbols that cost something; one more column of ``child`` stands for a text's start.
-    size: int
+    trees: list[Tree]
 
     @classmethod
     def of(cls, rows: list[tuple[str, int, int, int]]) -> Model:
-        """From counts (lang, order, context and next byte as a number, n) of kept contexts."""
+        """From counts (lang, order, context and next byte as a number, n)."""
         langs = sorted({lang for lang, *_ in rows})
-        number = {lang: i for i, lang in enumerate(langs)}
-        seen = sorted({code & 255 for _, order, code, _ in rows if order == 0})
-        size = len(seen) + 1
-        symbol = np.full(256, size - 1, dtype=np.int64)
-        symbol[seen] = np.arange(len(seen))
-        contexts = sorted({(order, code >> 8) for _, order, code, _ in rows})
-        node = {context: i for i, context in enumerate(contexts)}
-        counts = np.zeros((len(contexts), size, len(langs)), dtype=np.float32)
-        for lang, order, code, n in rows:
-            counts[node[order, code >> 8], symbol[code & 255], number[lang]] += n
-        dead = len(contexts)
-        child = np.full((dead + 1, size + 1), dead, dtype=np.int32)
-        parent = np.zeros(len(contexts), dtype=np.int64)
-        for (order, code), i in node.items():
-            if order:
-                shorter = 8 * (order - 1)
-                parent[i] = node[order - 1, code & ((1 << shorter) - 1)]
-                child[parent[i], symbol[code >> shorter]] = i
-        cost = np.empty_like(counts)
-        orders = np.array([order for order, _ in contexts])
-        for order in range(ORDER + 1):
-            level = np.flatnonzero(orders == order)
-            here = counts[level]
-            total, kinds = here.sum(axis=1, keepdims=True), (here > 0).sum(axis=1, keepdims=True)
-            known = np.maximum(total + kinds, 1)
-            escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / known), 0)
-            shorter = cost[parent[level]] if order else np.full_like(here, 8)
-            cost[level] = np.where(here > 0, -np.log2(np.maximum(here, 1) / known), escape + shorter)
-        return cls(langs, symbol, child.ravel(), cost.reshape(-1, len(langs)), size)
+        counts = {lang: [] for lang in langs}
+        for lang, order, code, n in sorted(rows):
+            counts[lang].append((order << _ORDER_BIT | code, n))
+        return cls(langs, [Tree.of(*np.array(counts[lang], dtype=np.int64).T.copy()) for lang in langs])
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text in each language."""
-        size, width, dead = self.size, self.size + 1, len(self.cost) // self.size
         bits = np.zeros((len(offsets) - 1, len(self.langs)))
         for low in range(0, len(data), BLOCK):
             high = min(len(data), low + BLOCK)
             back = min(low, ORDER)
-            read = self.symbol[data[low - back : high]]
+            read = data[low - back : high].astype(np.int64)
             first = int(np.searchsorted(offsets, low, "right")) - 1
             last = int(np.searchsorted(offsets, high, "left"))
-            begins = np.repeat(offsets[first:last], np.diff(np.clip(offsets[first : last + 1], low, high)))
-            age = np.arange(low, high) - begins
-            walk = np.zeros(high - low, dtype=np.int64)
-            node = walk.copy()
-            for order in range(1, ORDER + 1):
-                before = np.full(high - low, size, dtype=np.int64)
-                shift = max(0, order - back)
-                start = back - order + shift
-                before[shift:] = read[start : max(start, len(read) - order)]
-                before[age < order] = size
-                walk = self.child[walk * width + before].astype(np.int64)
-                node = np.where(walk == dead, node, walk)
-            spent = self.cost[node * size + read[back:]]
-            edges = np.clip(offsets[first : last + 1], low, high) - low
-            sums = np.zeros((high - low + 1, len(self.langs)))
-            np.cumsum(spent, axis=0, out=sums[1:], dtype=np.float64)
-            bits[first:last] += sums[edges[1:]] - sums[edges[:-1]]
+            edges = np.clip(offsets[first : last + 1], low, high)
+            age = np.arange(low, high) - np.repeat(offsets[first:last], np.diff(edges))
+            grams = np.minimum(age, ORDER) << _ORDER_BIT
+            for order in range(ORDER + 1):
+                start = max(0, order - back)
+                part = read[back - order + start : max(0, len(read) - order)] << 8 * order
+                grams[start:] |= np.where(age[start:] >= order, part, 0)
+            kinds, place = np.unique(grams, return_inverse=True)
+            asked = Asked.of(kinds)
+            place = np.searchsorted(asked.grams, kinds)[place]
+            sums = np.zeros(high - low + 1)
+            for i, tree in enumerate(self.trees):
+                np.cumsum(asked.cost(tree)[place], dtype=np.float64, out=sums[1:])
+                bits[first:last, i] += sums[edges[1:] - low] - sums[edges[:-1] - low]
         return bits
 
 
+def _packed(group: pa.Table) -> pa.Table:
+    """One language's counts as one row (lang, n, blob)."""
+    grams = group.column("order").to_numpy().astype(np.int64) << _ORDER_BIT | group.column("code").to_numpy()
+    order = np.argsort(grams)
+    blob = zstandard.compress(np.diff(grams[order], prepend=0).tobytes() + group.column("n").to_numpy()[order].tobytes())
+    return pa.table({"lang": group.column("lang").slice(0, 1), "n": pa.array([len(grams)], pa.int64()), "blob": pa.array([blob], pa.binary())})
+
+
+def _tree(n: int, blob: bytes) -> Tree:
+    steps, counts = np.frombuffer(zstandard.decompress(blob), dtype=np.int64).reshape(2, n)
+    return Tree.of(np.cumsum(steps), counts)
+
+
 def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model | None:
     """A model of the documents that aren't held out; None if none of them has a language and a text."""
     counts = training_sample(docs, per_language).mapInArrow(_count, "lang string, order int, code long, n long")
@@ -168,9 +217,10 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model | None:
         .orderBy(F.desc("total"), "order", "context")
         .limit(MAX_CONTEXTS)
     )
-    rows = counts.withColumn("context", context).join(kept.select("order", "context"), ["order", "context"])
-    found = [(r.lang, r.order, r.code, r.n) for r in rows.select("lang", "order", "code", "n").collect()]
-    return Model.of(found) if found else None
+    counts = counts.withColumn("context", context).join(kept.select("order", "context"), ["order", "context"])
+    packed = counts.select("lang", "order", "code", "n").groupBy("lang").applyInArrow(_packed, "lang string, n long, blob binary")
+    found = sorted((r.lang, r.n, r.blob) for r in packed.collect())
+    return Model([lang for lang, *_ in found], [_tree(n, blob) for _, n, blob in found]) if found else None
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -79,3 +79,13 @@ def test_edge_documents(edge_docs, edge_rows, no_docs, rows):
     assert got == sorted(want, key=repr)
     assert ppm.identify(edge_docs, None).where("lang_pred = 'und' and score = 0").count() == len(edge_rows)
     assert ppm.train(no_docs) is None and ppm.identify(no_docs, model()).count() == 0
+
+
+def test_every_language_is_learned_however_many(spark):
+    names = [f"{a}{b}" for a in "abcdefghijklmno" for b in "abcdefghijklmno"]
+    rows = [(100 * i + k, " ".join([f"{name}q{name}"] * 12), name) for i, name in enumerate(names) for k in range(5 if i < 200 else 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {r.lang for r in ppm.training_sample(docs).select("lang").distinct().collect()}
+    assert len(learned) > 200 and learned == {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    wrong = [(r.lang_pred, lang) for r, (_, _, lang) in zip(sorted(ppm.identify(docs, ppm.train(docs)).collect()), rows, strict=True) if r.lang_pred != lang]
+    assert not [x for x in wrong if x[1] in learned]
