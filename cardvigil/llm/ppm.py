@@ -10,8 +10,8 @@ which holds only what was seen in it; the contexts of many texts are listed once
 with its shorter one, and every tree gives the cost of all of them at once.
 
 The model is trained on a bounded sample: at most ``TRAIN_DOCS`` documents of every
-language there is, chosen by hash of the id, whole texts, counted on the cluster; the
-``MAX_CONTEXTS`` contexts most frequent over all languages are kept.
+language there is, chosen by hash of the id, whole texts, counted on the cluster. A tree
+keeps every context of its language's sample, however rare.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is
 every text if there is nothing to learn from. Ties go to the first language by name.
@@ -34,9 +34,6 @@ from cardvigil.llm.words import pieces, texts
 
 ORDER = 4
 TRAIN_DOCS = 300
-MAX_CONTEXTS = 12_000
-#: A context seen less often in the sample is not kept.
-MIN_COUNT = 8
 #: Bytes that are coded at once.
 BLOCK = 1 << 20
 _HASHES = 1 << 30
@@ -209,16 +206,7 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model | None:
     """A model of the documents that aren't held out; None if none of them has a language and a text."""
     counts = training_sample(docs, per_language).mapInArrow(_count, "lang string, order int, code long, n long")
     counts = counts.groupBy("lang", "order", "code").agg(F.sum("n").alias("n"))
-    context = F.shiftright("code", 8)
-    kept = (
-        counts.groupBy("order", context.alias("context"))
-        .agg(F.sum("n").alias("total"))
-        .where((F.col("total") >= MIN_COUNT) | (F.col("order") == 0))
-        .orderBy(F.desc("total"), "order", "context")
-        .limit(MAX_CONTEXTS)
-    )
-    counts = counts.withColumn("context", context).join(kept.select("order", "context"), ["order", "context"])
-    packed = counts.select("lang", "order", "code", "n").groupBy("lang").applyInArrow(_packed, "lang string, n long, blob binary")
+    packed = counts.groupBy("lang").applyInArrow(_packed, "lang string, n long, blob binary")
     found = sorted((r.lang, r.n, r.blob) for r in packed.collect())
     return Model([lang for lang, *_ in found], [_tree(n, blob) for _, n, blob in found]) if found else None
 

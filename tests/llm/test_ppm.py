@@ -89,3 +89,14 @@ def test_every_language_is_learned_however_many(spark):
     assert len(learned) > 200 and learned == {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
     wrong = [(r.lang_pred, lang) for r, (_, _, lang) in zip(sorted(ppm.identify(docs, ppm.train(docs)).collect()), rows, strict=True) if r.lang_pred != lang]
     assert not [x for x in wrong if x[1] in learned]
+
+
+def test_trees_hold_all_that_their_language_has(spark):
+    # Next to a language with many long texts one with a single short text.
+    words = " ".join(f"{a}{b}{c}" for a in "abcdefghijklmno" for b in "aeiou" for c in "pqrstuvwxyz")
+    docs = spark.createDataFrame([*((i, words, "big") for i in range(40)), (1000, "zebu yak", "small")], "doc_id long, text string, lang string")
+    assert not docs.where((docs.doc_id == 1000) & ppm.held_out(docs.doc_id)).count()
+    model = ppm.train(docs)
+    seen = {(k, b"zebu yak"[i - k : i + 1]) for i in range(8) for k in range(min(i, ppm.ORDER) + 1)}
+    tree = model.trees[model.langs.index("small")]
+    assert tree.grams.tolist() == sorted(k << 40 | int.from_bytes(gram, "big") for k, gram in seen)
