@@ -7,7 +7,8 @@ piece of text. Keys are counted first, over everything, in a fixed number of bin
 with little are put together, up to the size of a bucket; a bin with more than a bucket
 holds is spread by the windows' own hashes. So a passage that a third of all documents
 holds fills no bucket by its different surroundings, and equal runs of text in one batch
-travel once: the others are covered by it, which is known at once.
+travel once: the others are covered by it, which is known at once, or lie in its own
+document and take its verdict, as spans that join where windows overlap.
 
 Buckets arrive in a function of the operator, which tells covered windows; they come
 back as spans of units, added up for each document.
@@ -181,8 +182,11 @@ def _unpacked(blob: bytes, n: int, columns: int) -> tuple[list[np.ndarray], byte
     return [np.cumsum(np.ascontiguousarray(x.T).view("<i8").ravel()) for x in planes], raw[columns * size :]
 
 
-def _repeated(content: np.ndarray, docs: np.ndarray, place: np.ndarray, same_document: bool) -> np.ndarray:
-    """Runs whose text another run of a smaller document has, or with ``same_document`` an earlier one."""
+def _repeated(content: np.ndarray, docs: np.ndarray, place: np.ndarray, same_document: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs whose text another run of a smaller document has, or with ``same_document`` an earlier one.
+
+    Also the other runs whose text an earlier run of their document has, and that run; in order of text and place.
+    """
     by = np.argsort(content)
     same = content[by][1:] == content[by][:-1]
     twin = np.zeros(len(by), dtype=bool)
@@ -196,11 +200,25 @@ def _repeated(content: np.ndarray, docs: np.ndarray, place: np.ndarray, same_doc
     later = docs[order] > docs[first]
     if same_document:
         later |= place[order] > place[first]
-    return order[later]
+    more = ~later & ~head
+    return order[later], order[more], first[more]
+
+
+def _united(of: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans in order of what they are of and begin, joined where the next begins inside or right after the one before."""
+    if not len(of):
+        return of, begin, end
+    new = np.ones(len(of), dtype=bool)
+    new[1:] = (of[1:] != of[:-1]) | (begin[1:] > end[:-1])
+    edges = np.flatnonzero(new)
+    return of[edges], begin[edges], np.maximum.reduceat(end, edges)
 
 
 def _sent(kind: Kind, to: Plan, same_document: bool):
-    """Rows (bucket, n, covered, blob): runs of windows with their texts, and spans known to be covered."""
+    """Rows of runs of windows with their texts, or of spans known to be covered.
+
+    ``copies`` are ``n_copies`` spans of windows equal to a single window among the row's runs, in its document.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(joined(batches, "text", PIECE), "text", PIECE + PIECE // 2):
@@ -214,32 +232,44 @@ def _sent(kind: Kind, to: Plan, same_document: bool):
             docs, place = ids[row], starts - units.first[row]
             begin, end = units.bytes_of(starts, starts + lengths + kind.window - 1)
             content = span_hashes(units.data, begin, end)
-            dropped = _repeated(content, docs, place, same_document)
+            dropped, again, of = _repeated(content, docs, place, same_document)
+            alone = (lengths[again] == 1) & (not same_document)
+            again, of = again[alone], of[alone]
             kept = np.ones(len(content), dtype=bool)
             kept[dropped] = False
+            kept[again] = False
             kept = np.flatnonzero(kept)
             kept = kept[np.argsort(bucket[kept], kind="stable")]
             rows = []
             if len(dropped):
-                spans = (docs[dropped], place[dropped], place[dropped] + lengths[dropped] + kind.window - 1)
-                rows.append((int(bucket[dropped[0]]), len(dropped), True, _packed(spans, b"")))
+                to_bucket = int(bucket[dropped[0]])
+                dropped = dropped[np.lexsort((place[dropped], docs[dropped]))]
+                spans = _united(docs[dropped], place[dropped], place[dropped] + lengths[dropped] + kind.window - 1)
+                rows.append((to_bucket, len(spans[0]), True, _packed(spans, b""), 0, b""))
+            at = np.zeros(len(content), dtype=np.int64)
+            at[kept] = np.arange(len(kept))
+            copies = _united(at[of], place[again], place[again] + kind.window)
+            by = np.argsort(copies[0], kind="stable")
+            copies = [c[by] for c in copies]
             edges = np.flatnonzero(np.diff(bucket[kept], prepend=-1, append=-1))
             view = units.data.tobytes()
             for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 part = kept[low:high]
                 text = b"".join(map(view.__getitem__, map(slice, begin[part].tolist(), end[part].tolist())))
                 columns = (docs[part], place[part], lengths[part], end[part] - begin[part])
-                rows.append((int(bucket[part[0]]), high - low, False, _packed(columns, text)))
+                first, last = np.searchsorted(copies[0], [low, high]).tolist()
+                more = (copies[0][first:last] - low, copies[1][first:last], copies[2][first:last])
+                rows.append((int(bucket[part[0]]), high - low, False, _packed(columns, text), last - first, _packed(more, b"") if last > first else b""))
             for low in range(0, len(rows), 256):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind_) for c, kind_ in zip(zip(*rows[low : low + 256], strict=True), _KINDS, strict=True)],
-                    ["bucket", "n", "covered", "blob"],
+                    ["bucket", "n", "covered", "blob", "n_copies", "copies"],
                 )
 
     return run
 
 
-_KINDS = (pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+_KINDS = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.binary())
 
 
 @dataclass(frozen=True)
@@ -260,9 +290,14 @@ Judge = Callable[[Runs], np.ndarray]
 
 def _judged(kind: Kind, judge: Judge):
     def run(group: pa.Table) -> pa.Table:
-        known, runs, texts_ = [], [], []
-        for n, covered, blob in zip(*(group.column(c).to_pylist() for c in ("n", "covered", "blob")), strict=True):
+        known, runs, texts_, like, n_runs = [], [], [], [], 0
+        rows = (group.column(c).to_pylist() for c in ("n", "covered", "blob", "n_copies", "copies"))
+        for n, covered, blob, n_copies, copies in zip(*rows, strict=True):
             columns, text = _unpacked(blob, n, 3 if covered else 4)
+            if n_copies:
+                (of, *span), _ = _unpacked(copies, n_copies, 3)
+                like.append((of + n_runs, *span))
+            n_runs += 0 if covered else n
             (known if covered else runs).append(columns)
             texts_.append(text)
         spans = [tuple(np.concatenate(x) for x in zip(*known, strict=True))] if known else []
@@ -271,6 +306,10 @@ def _judged(kind: Kind, judge: Judge):
             text = np.frombuffer(b"".join(texts_), dtype=np.uint8)
             flags = judge(Runs(docs, place, lengths, text, np.concatenate([[0], np.cumsum(size)])))
             spans.append(_covered_spans(flags, docs, place, lengths, kind.window))
+            if like:
+                of, begin, end = (np.concatenate(x) for x in zip(*like, strict=True))
+                on = flags[(np.cumsum(lengths) - lengths)[of]]
+                spans.append((docs[of[on]], begin[on], end[on]))
         return _by_document(spans)
 
     return run
@@ -325,7 +364,7 @@ def covered(docs: DataFrame, kind: Kind, judge: Judge, same_document: bool, limi
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     to = plan(read, kind, limit)
-    sent = read.mapInArrow(_sent(kind, to, same_document), "bucket long, n long, covered boolean, blob binary")
+    sent = read.mapInArrow(_sent(kind, to, same_document), "bucket long, n long, covered boolean, blob binary, n_copies long, copies binary")
     found = sent.groupBy("bucket").applyInArrow(_judged(kind, judge), "doc_id long, spans binary")
     return found.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
 

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cardvigil.llm import segments, substring_dedup, suffix_dedup
@@ -113,6 +114,32 @@ def test_long_texts_in_several_steps(make_docs, monkeypatch):
     assert all_keys() == whole
 
 
+def padded():
+    return [
+        (4, "own" + "-" * 3000 + "0.00, 0.0, " * 40 + "end"),
+        (2, "-" * 2000 + " a b" * 200),
+        (9, "x" + " a b" * 300 + "0.00, 0.0, " * 60 + SENTENCE + "-" * 60 + SENTENCE),
+        (4, "-" * 70 + "y" * 200),
+        (7, "y" * 900),
+    ]
+
+
+def test_equal_windows_of_a_document_are_sent_once():
+    given = padded()
+    to = segments.Plan(np.zeros(segments.BINS, dtype=np.int64), np.full(segments.BINS, 3))
+    columns = [pa.array([d for d, _ in given], pa.int64()), pa.array([t for _, t in given])]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "text"])
+    sent = pa.Table.from_batches(segments._sent(suffix_dedup.BYTES, to, False)(iter([batch]))).to_pylist()
+    different = {t.encode()[i : i + 50] for _, t in given for i in range(len(t) - 49)}
+    assert sum(r["n"] for r in sent if not r["covered"]) == len(different)
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_padding_takes_the_verdict_of_its_first_window(make_docs, limit):
+    for given in (padded()[:3], padded()[2::-1]):
+        assert got_bytes(suffix_dedup.remove_repeats(make_docs(given), limit)) == brute_bytes(given)
+
+
 def test_no_documents(no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
     assert substring_dedup.remove_passages(no_docs).count() == 0
