@@ -1,10 +1,12 @@
 """Benchmark decontamination with suffix arrays of the training texts.
 
 Documents are searched in shards of a few MB of whole texts. A shard's words, as
-64-bit hashes, get a suffix array; every suffix of every benchmark text is searched in
-it by bisection, all at once. That gives the longest verbatim match of each suffix and,
-for suffixes as long as a window, the run of the array that starts with the window:
-all places where it occurs. A document is judged where it is read: nothing is shuffled.
+64-bit hashes, get a suffix array; suffixes of the benchmark texts are searched in it by
+bisection, all at once. :func:`contamination` stops at the window: it sorts no deeper,
+and for each suffix that holds a window it finds the run of the array that starts with
+the window: all places where it occurs. A document is judged where it is read: nothing
+is shuffled. :func:`longest_matches` searches every suffix to its end and gives each
+item's longest verbatim match; one row for each item and task goes to the result.
 
 The benchmark is the query set. It goes to the shards in blocks of bounded size, one
 pass over the documents for each block; later passes add to what earlier ones found.
@@ -134,6 +136,30 @@ def _occurrences(tokens: np.ndarray, queries: Queries) -> tuple[np.ndarray, np.n
     return order[slot], query
 
 
+def _best(tokens: np.ndarray, queries: Queries, priority: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each item with a match: its number, the longest match's words, where it starts in the item, the least priority of its places."""
+    none = np.zeros(0, dtype=np.int64)
+    if not len(tokens) or not len(queries.starts):
+        return none, none, none, none
+    base = np.searchsorted(queries.item, queries.item)
+    order = suffix_array(tokens, int(np.bincount(queries.item).max()) + 1)
+    length, _ = longest(tokens, order, queries)
+    most = np.zeros(len(queries.items), dtype=np.int64)
+    np.maximum.at(most, queries.item, length)
+    chosen = np.flatnonzero((length > 0) & (length == most[queries.item]))
+    if not len(chosen):
+        return none, none, none, none
+    asked = Queries(queries.tokens, queries.starts[chosen], length[chosen], queries.items, queries.item[chosen])
+    low, high = bisect(tokens, order, asked, after=False), bisect(tokens, order, asked, after=True)
+    # Suffixes that begin alike share a run of the array; each run is read once.
+    runs, run = np.unique(np.stack([low, high], axis=1), axis=0, return_inverse=True)
+    least = np.minimum.reduceat(np.append(priority[order], np.iinfo(np.int64).max), runs.ravel())[::2][run.ravel()]
+    start = queries.starts[chosen] - queries.starts[base[chosen]]
+    by = np.lexsort((start, least, asked.item))
+    first = by[np.diff(asked.item[by], prepend=-1) != 0]
+    return asked.item[first], asked.depths[first], start[first], least[first]
+
+
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 _FOUND = T.StructType(
     [
@@ -179,6 +205,47 @@ def _search(columns: list[str], queries: Queries, shard: int):
     return run
 
 
+def _longest(queries: Queries, shard: int):
+    """Rows (item_id, match) of each item's longest match in a task's documents."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple] = {}
+        for batch in pieces(batches, "text", shard):
+            tokens, first = _spread(*texts(batch.column("text")))
+            ids = batch.column("doc_id").to_pylist()
+            ordered = sorted(set(ids), key=lambda x: (x is not None, x))
+            number = {x: i for i, x in enumerate(ordered)}
+            ranks = np.array([number[x] for x in ids], dtype=np.int64)
+            words_ = np.diff(first)
+            priority = (np.repeat(ranks, words_) << 32) + np.arange(len(tokens)) - np.repeat(first[:-1], words_)
+            for i, n, start, least in zip(*(x.tolist() for x in _best(tokens, queries, priority)), strict=True):
+                doc = ordered[least >> 32]
+                new = (-n, (doc is not None, doc), least & 0xFFFFFFFF, start)
+                best[i] = min(best.get(i, new), new)
+        names = ["" if queries.items[i] is None else str(queries.items[i]) for i in best]
+        rows = [{"less": n, "doc_id": doc, "doc_start": place, "item_start": start} for n, (_, doc), place, start in best.values()]
+        match = pa.struct([("less", pa.int64()), ("doc_id", pa.int64()), ("doc_start", pa.int64()), ("item_start", pa.int64())])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(rows, match)], ["item_id", "match"])
+
+    return run
+
+
+def longest_matches(docs: DataFrame, items: DataFrame, shard: int = SHARD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(item_id, n_words, doc_id, doc_start, item_start): of each item its longest verbatim match in any document, in words.
+
+    Of several as long, the one with the least doc_id (null first), then place in the document,
+    then in the item. An item that shares no word has no row; one without an id has an empty id.
+    """
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "item_id string, match struct<less:long,doc_id:long,doc_start:long,item_start:long>"
+    found = None
+    for rows in blocks(items, block_bytes):
+        part = read.mapInArrow(_longest(Queries.of(rows, 1), shard), schema)
+        found = part if found is None else found.unionByName(part)
+    best = found.groupBy("item_id").agg(F.min("match").alias("match"))
+    return best.select("item_id", (-F.col("match.less")).alias("n_words"), "match.doc_id", "match.doc_start", "match.item_start")
+
+
 def blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str | None]]]:
     """The benchmark's rows in lists of about ``limit`` bytes."""
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

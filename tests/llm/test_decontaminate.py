@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -67,3 +68,30 @@ def test_longest_matches(text, query):
         want = max(k for k in range(len(query) - s + 1) if k == 0 or any(text[i : i + k] == query[s : s + k] for i in range(len(text) - k + 1)))
         assert n == want
         assert not n or text[p : p + n] == query[s : s + n]
+
+
+def test_longest_match_of_each_item(make_docs, spark):
+    rng = random.Random(4)
+    given = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(30)))) for i in (5, 3, 9, 3, None, 7, -2, 8)] + [(4, None)]
+    asked = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(1, 25)))) for i in range(12)]
+    asked += [(20, given[2][1] + " zz"), (21, "nowhere found"), (22, None), (None, "a b zz c a")]
+    want = []
+    for item, text in asked:
+        words = (text or "").split()
+        best = None
+        for doc, other in given:
+            theirs = (other or "").split()
+            for i in range(len(words)):
+                for j in range(len(theirs)):
+                    n = 0
+                    while i + n < len(words) and j + n < len(theirs) and words[i + n] == theirs[j + n]:
+                        n += 1
+                    new = (-n, (doc is not None, doc), j, i)
+                    if n and (best is None or new < best):
+                        best = new
+        if best:
+            want.append(("" if item is None else str(item), -best[0], best[1][1], *best[2:]))
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    for shard, block in ((1 << 20, 1 << 20), (40, 60)):
+        got = D.longest_matches(make_docs(given), items, shard, block)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
