@@ -120,9 +120,84 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED_SEARCH = rf"""
+WITH doc_term AS (
+  SELECT doc_id, term, count(*) AS tf
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{TERM}')) AS term FROM documents)
+  GROUP BY doc_id, term
+),
+sized AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM doc_term GROUP BY doc_id),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sized),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM doc_term GROUP BY term), corpus
+),
+normed AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM sized, corpus),
+asked AS (
+  SELECT DISTINCT item_id, term
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{TERM}')) AS term FROM benchmark)
+),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN doc_term USING (term) JOIN normed USING (doc_id) GROUP BY item_id, doc_id
+)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
+
+FILTER_AUDIT = rf"""
+WITH split AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '{SPACE}+'), lambda w: w <> '') AS words
+  FROM documents
+),
+tested AS (
+  SELECT doc_id, part,
+    (len(words) < 100)::INTEGER
+    + 2 * (100 * len(list_distinct(words)) < 80 * len(words))::INTEGER
+    + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text))::INTEGER
+    + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER
+    + 16 * (doc_id > min(doc_id) OVER (PARTITION BY text))::INTEGER AS pattern
+  FROM split
+),
+counted AS (
+  SELECT part, pattern, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+  FROM tested LEFT JOIN labels USING (doc_id) GROUP BY part, pattern
+),
+bit AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(name, b)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM bit a, bit b, bit c, bit d, bit e WHERE (a.b | b.b | c.b | d.b | e.b) = 31
+),
+stepped AS (
+  SELECT filter_order, i AS step, bits[i] AS own, list_sum(bits[1:i - 1])::INTEGER AS earlier
+  FROM orders, range(1, 6) AS r(i)
+),
+told AS (
+  SELECT part, filter_order, step, own,
+    sum(n) FILTER ((pattern & (coalesce(earlier, 0) | own)) = 0) AS kept,
+    sum(n) FILTER ((pattern & coalesce(earlier, 0)) = 0 AND (pattern & own) > 0) AS removed,
+    sum(n) FILTER ((pattern & coalesce(earlier, 0)) > 0 AND (pattern & own) > 0) AS redundant,
+    sum(n) FILTER (pattern = own) AS unique_fails,
+    sum(good) FILTER ((pattern & coalesce(earlier, 0)) = 0 AND (pattern & own) > 0) AS good_lost,
+    sum(toxic) FILTER ((pattern & coalesce(earlier, 0)) = 0 AND (pattern & own) > 0) AS toxic_lost
+  FROM counted, stepped GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  sum(coalesce(removed, 0)) OVER (PARTITION BY part, own)::BIGINT AS shapley
+FROM told
+"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op3_chat_formatting": CHAT_FORMATTING,
     "op5_quality_rules": QUALITY_RULES,
     "op6_decontamination": DECONTAMINATION,
+    "op12_ranked_search": RANKED_SEARCH,
+    "op13_filter_audit": FILTER_AUDIT,
 }

@@ -11,11 +11,14 @@ from cardvigil.llm import (
     bpe,
     chat,
     decontaminate,
+    filter_audit,
     line_dedup,
     near_dedup,
     pages,
     ppm,
+    quality_classifier,
     quality_rules,
+    ranked_search,
     substring_dedup,
     suffix_dedup,
 )
@@ -83,6 +86,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", hex_sha256(kept.kept_text).alias("kept_sha256"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return quality_classifier.classify(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels")).drop("filter")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -94,4 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_filter_audit": op13_filter_audit,
 }
