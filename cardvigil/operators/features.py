@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardvigil.config import RiskConfig
 from cardvigil.functions import risk
 from cardvigil.functions.exact import mean_money, money, sample_stddev_money
-from cardvigil.operators.rolling import SPANS, TRAILING, per_second, with_parts, with_trailing
+from cardvigil.operators.rolling import PARTS, SPANS, TRAILING, per_second, with_parts, with_trailing
 from cardvigil.schema import FEATURE_COLUMNS
 
 LOOKBACK_DAYS = SPANS["30d"] // 86400
@@ -66,20 +66,37 @@ def features_for_day(
     run_date: date,
     cfg: RiskConfig = RiskConfig(),
     date_column: str = "date",
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Features of one day's rows, with frames that reach back over the full 30 days.
 
-    Both filters are on the partition column, so 31 days are read, not the
-    table, and of 30 of them four columns only.
+    Filters are on the partition column, so 31 days are read, not the table, and of 30 of
+    them four columns only. ``totals`` has totals per card and day, kept with the raw table:
+    given these, raw rows are read of the day and of the 3 days in which a frame begins.
     """
     day = F.col(date_column)
     first, last = run_date - timedelta(days=LOOKBACK_DAYS), run_date - timedelta(days=1)
     today = raw.filter(day == F.lit(run_date))
-    earlier = raw.filter(day.between(F.lit(first), F.lit(last)))
-    past = per_second(_in_whole_days(with_parts(earlier), run_date))
+    if totals is None or not _days_are_utc(raw):
+        earlier = with_parts(raw.filter(day.between(F.lit(first), F.lit(last))))
+    else:
+        opened = [run_date - timedelta(days=n) for n in _frame_starts()]
+        whole = totals.filter(day.between(F.lit(first), F.lit(last)) & ~day.isin(opened))
+        columns = ["card_id", "_second", *PARTS]
+        earlier = with_parts(raw.filter(day.isin(opened))).select(*columns).unionByName(whole.select(*columns))
+    past = per_second(_in_whole_days(earlier, run_date))
     return engineer(today, cfg, history=past).select(*FEATURE_COLUMNS)
 
 
+def _frame_starts() -> list[int]:
+    """How many days back frames of whole days begin, somewhere within that day."""
+    return sorted(span // 86400 for span in SPANS.values() if span % 86400 == 0)
+
+
+def _days_are_utc(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC")
+
+
 def _in_whole_days(history: DataFrame, run_date: date) -> DataFrame:
     """Moves seconds of the past to where no frame of ``run_date`` can tell the difference.
 
@@ -88,10 +105,10 @@ def _in_whole_days(history: DataFrame, run_date: date) -> DataFrame:
     one, whatever the second, so all of it may be added up per card. That
     leaves 3 of 30 days in seconds. It takes days as UTC has them.
     """
-    if history.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
+    if not _days_are_utc(history):
         return history
     today = (run_date - date(1970, 1, 1)).days
-    starts = sorted(span // 86400 for span in SPANS.values() if span % 86400 == 0)
+    starts = _frame_starts()
     second = F.col("_second")
     moved = second
     for shorter, longer in zip(starts, starts[1:]):

@@ -86,6 +86,16 @@ def per_second(rows: DataFrame) -> DataFrame:
     )
 
 
+def day_totals(rows: DataFrame, date_column: str) -> DataFrame:
+    """Totals per card and day, at the day's first second, with the day."""
+    start = F.unix_timestamp(F.col(date_column).cast("timestamp"))
+    return (
+        per_second(with_parts(rows).withColumn("_second", start))
+        .withColumn(date_column, F.to_date(F.timestamp_seconds("_second")))
+        .select("card_id", "_second", *PARTS, date_column)
+    )
+
+
 def _trailing_totals(keys: str) -> list[str]:
     over = f"OVER (PARTITION BY {keys} ORDER BY _second RANGE BETWEEN UNBOUNDED PRECEDING AND"
     return [

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from cardvigil.operators import alerts as desk
 from cardvigil.operators import quality
 from cardvigil.operators.features import engineer, features, features_for_day, with_home_country
-from cardvigil.plans import analytics, daily, standin
+from cardvigil.plans import analytics, daily, standin, upkeep
 from cardvigil.plans.standin import (
     AS_OF,
     AS_OF_TIME,
@@ -23,23 +23,24 @@ from cardvigil.plans.standin import (
     RETENTION_AS_OF,
     SUMMARY_AS_OF,
 )
-from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
-from cardvigil.session import new_folder, pin_utc, state_partition_per_core
+from cardvigil.schema import ALERT_TABLE, DAY_TOTALS, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
+from cardvigil.session import new_folder, pin_utc, stream_state
 from cardvigil.sources import decode
-from cardvigil.sources.raw import read_json, read_raw, text_payloads
+from cardvigil.sources.raw import read_day_totals, read_json, read_raw
+from cardvigil.sources.batches import BATCH
 from cardvigil.sources.tables import (
     compact_alerts,
-    compact_days,
     conform_features,
     conform_raw,
     days_of,
     load_clustered,
     read_alerts,
+    store_resolutions,
     with_partition_date,
     within_retention,
     write_by_date,
 )
-from cardvigil.streaming import ingest, scoring, velocity
+from cardvigil.streaming import ingest, memory, scoring, velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,11 +131,16 @@ def features_per_second(spark, sf_dir):
 @query
 def features_hot_card(spark, sf_dir):
     """A third of all transactions moved to one card, which alone is heavy."""
+    return features(_one_hot_card(standin.transactions(spark, sf_dir)), replace(CONFIG, heavy_rows=200))
+
+
+#: Slots over which the stream's memory of a heavy card is spread.
+HOT_SLOTS = 4
+
+
+def _one_hot_card(raw: DataFrame) -> DataFrame:
     moved = F.substring("merchant_name", 2, 10).cast("int") < 33
-    hot = standin.transactions(spark, sf_dir).withColumn(
-        "card_id", F.when(moved, F.lit("hot")).otherwise(F.col("card_id"))
-    )
-    return features(hot, replace(CONFIG, heavy_rows=200))
+    return raw.withColumn("card_id", F.when(moved, F.lit("hot")).otherwise(F.col("card_id")))
 
 
 @query
@@ -531,17 +537,21 @@ def _deliveries(raw: DataFrame) -> list[DataFrame]:
     ]
 
 
-def _land_and_compact(spark, raw: DataFrame) -> str:
+def _payload_stream(spark, inbox: str) -> DataFrame:
+    return spark.readStream.schema("value string, arrival timestamp").parquet(inbox)
+
+
+def _land_and_compact(spark, raw: DataFrame, after_each: Callable[[str], object] = str, **queues: str) -> str:
     """The raw table after three parts have landed, each compacted as it came."""
     inbox, landed, checkpoint, table = (
         new_folder(spark, name) for name in ("inbox", "landed", "checkpoint", RAW_TABLE.name)
     )
     for part in _deliveries(raw):
         part.write.mode("append").parquet(inbox)
-        payloads = spark.readStream.schema("value string, arrival timestamp").parquet(inbox)
-        valid = ingest.valid_transactions(payloads, "arrival")
+        valid = ingest.valid_transactions(_payload_stream(spark, inbox))
         ingest.land(valid, landed, checkpoint, ONCE).awaitTermination()
-        compact_days(spark, landed, table, FIRST_DAY, AS_OF)
+        upkeep.compact_landed(spark, landed, table, **queues)
+        after_each(table)
     return table
 
 
@@ -553,9 +563,35 @@ def stream_ingest_dedup(spark, sf_dir):
 
 @query
 def late_rows_repaired(spark, sf_dir):
-    """The daily features after late rows have landed and their days were compacted again."""
-    table = _land_and_compact(spark, standin.transactions(spark, sf_dir))
-    return daily.run_features(spark, table, new_folder(spark, "features"), LAST_DAY, CONFIG)
+    """The daily features after late rows have landed, most of their history from totals per day."""
+    totals = new_folder(spark, DAY_TOTALS.name)
+    table = _land_and_compact(spark, standin.transactions(spark, sf_dir), totals=totals)
+    return daily.run_features(spark, table, new_folder(spark, "features"), LAST_DAY, CONFIG, totals)
+
+
+@query
+def late_rows_revised(spark, sf_dir):
+    """The feature table of all days, revised after each part for the cards and days it changes.
+
+    The first part fills the table; the last one brings rows of every day.
+    """
+    changes, features_table = new_folder(spark, "changes"), new_folder(spark, FEATURE_TABLE.name)
+    _land_and_compact(
+        spark,
+        standin.transactions(spark, sf_dir),
+        lambda table: upkeep.revise(spark, changes, table, features_table, AS_OF_TIME, CONFIG),
+        changes=changes,
+    )
+    return spark.read.parquet(features_table)
+
+
+@query
+def day_totals_kept(spark, sf_dir):
+    """Totals per card and day, kept up to date while rows come late."""
+    totals = new_folder(spark, DAY_TOTALS.name)
+    _land_and_compact(spark, standin.transactions(spark, sf_dir), totals=totals)
+    kept = read_day_totals(spark, totals)
+    return kept.select("card_id", "date", *(F.col(f"_{name}").alias(name) for name in ("ids", "amounts", "cents", "squares", "top")))
 
 
 @query
@@ -565,9 +601,7 @@ def stream_dead_letters(spark, sf_dir):
     payloads = _damaged_payloads(_transaction_stream(spark, sf_dir)).withColumn(
         "arrival", F.lit(AS_OF_TIME).cast("timestamp")
     )
-    ingest.land_rejected(
-        payloads, path, new_folder(spark, "checkpoint"), ONCE, "arrival"
-    ).awaitTermination()
+    ingest.land_rejected(payloads, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
     return spark.read.parquet(path).groupBy("reasons").agg(F.count("*").alias("letters"))
 
 
@@ -576,42 +610,95 @@ def stream_velocity_10min(spark, sf_dir):
     """All windows of the replay, those still open at its end included."""
     path = new_folder(spark, "velocity")
     windows = velocity.velocity_windows(_transaction_stream(spark, sf_dir))
-    with state_partition_per_core(spark):
+    with stream_state(spark):
         velocity.start_velocity(windows, path, new_folder(spark, "checkpoint"), ONCE).awaitTermination()
     return velocity.read_velocity(spark, path, windows.schema)
 
 
-def _scored_stream(spark, sf_dir) -> str:
+@query
+def stream_velocity_sealed(spark, sf_dir):
+    """Windows of one day, from the table into which the batches were moved, with what came since."""
+    inbox, path, checkpoint, table = (new_folder(spark, name) for name in ("inbox", "velocity", "checkpoint", "windows"))
+    for n, part in enumerate(_as_they_happen(standin.transactions(spark, sf_dir))):
+        part.write.mode("append").parquet(inbox)
+        windows = velocity.velocity_windows(ingest.valid_transactions(_payload_stream(spark, inbox)))
+        with stream_state(spark):
+            velocity.start_velocity(windows, path, checkpoint, ONCE).awaitTermination()
+        if n < 2:
+            velocity.seal(spark, path, table, windows.schema)
+    return velocity.read_velocity(spark, path, windows.schema, table, EDGES[2].date())
+
+
+def _as_they_happen(raw: DataFrame) -> list[DataFrame]:
+    """Payloads in three parts, each two seconds old when it arrives; one in part two is dated ahead."""
+    time = F.col("transaction_timestamp")
+    parts = []
+    for n, (start, end) in enumerate(zip(EDGES, EDGES[1:])):
+        part = raw.filter((time >= F.lit(start)) & (time < F.lit(end)))
+        arrival = time + F.expr("INTERVAL 2 SECONDS")
+        part = part.withColumn(ingest.ARRIVAL, arrival)
+        if n == 1:
+            ahead = {"transaction_id": F.concat(F.lit("ahead-"), "transaction_id"), "transaction_timestamp": F.lit(datetime(2099, 1, 1)).cast("timestamp")}
+            part = part.unionByName(part.filter(F.substring("merchant_name", 2, 10).cast("int") == 8).withColumns(ahead))
+        parts.append(decode.encode_payload(part))
+    return parts
+
+
+def _scored_stream(spark, raw: DataFrame, cfg=CONFIG, heavy: DataFrame | None = None) -> str:
     """The folder of alerts after all events have arrived in three parts."""
     inbox, scratch, found, checkpoint = (
         new_folder(spark, name) for name in ("inbox", "staging", "alerts", "checkpoint")
     )
-    raw = standin.transactions(spark, sf_dir)
-    time = F.col("transaction_timestamp")
-    for start, end in zip(EDGES, EDGES[1:]):
-        part = raw.filter((time >= F.lit(start)) & (time < F.lit(end)))
-        decode.encode_payload(part).write.mode("append").text(inbox)
-        incoming = ingest.without_redelivered(
-            ingest.valid_transactions(text_payloads(spark, inbox))
-        )
-        with state_partition_per_core(spark):
-            scoring.start_scoring(
-                incoming, scratch, found, checkpoint, time, CONFIG, ONCE
-            ).awaitTermination()
+    for part in _as_they_happen(raw):
+        part.write.mode("append").parquet(inbox)
+        valid = ingest.in_time(ingest.valid_transactions(_payload_stream(spark, inbox)))
+        scoring.start_scoring(
+            ingest.without_redelivered(valid), scratch, found, checkpoint, F.col("transaction_timestamp"), cfg, ONCE, heavy
+        ).awaitTermination()
     return found
 
 
 @query
 def stream_score_alerts(spark, sf_dir):
-    """All events arriving in three parts; each run of the stream scores what is new."""
-    return read_alerts(spark, _scored_stream(spark, sf_dir)).drop(scoring.BATCH)
+    """All events arriving in three parts; each run of the stream scores what is new.
+
+    Some events of part two are dated 2099: they are rejected and change nothing.
+    """
+    return read_alerts(spark, _scored_stream(spark, standin.transactions(spark, sf_dir))).drop(BATCH)
+
+
+@query
+def stream_score_hot_card(spark, sf_dir):
+    """The same where a third of all transactions are one card's, whose memory is spread over slots."""
+    raw = _one_hot_card(standin.transactions(spark, sf_dir))
+    cfg = replace(CONFIG, heavy_rows=200)
+    heavy = memory.heavy_cards(raw, HOT_SLOTS, cfg)
+    return read_alerts(spark, _scored_stream(spark, raw, cfg, heavy)).drop(BATCH)
+
+
+@query
+def stream_too_late(spark, sf_dir):
+    """Events that arrive later than the scoring stream takes them, by day: left to the daily run."""
+    inbox, late, checkpoint = (new_folder(spark, name) for name in ("inbox", "late", "checkpoint"))
+    for part in _deliveries(standin.transactions(spark, sf_dir)):
+        part.write.mode("append").parquet(inbox)
+        valid = ingest.too_late(ingest.valid_transactions(_payload_stream(spark, inbox)))
+        ingest.land(valid, late, checkpoint, ONCE).awaitTermination()
+    unique = read_raw(spark, late).select("transaction_id", "date").distinct()
+    return unique.groupBy("date").agg(F.count("*").alias("late_rows"))
 
 
 @query
 def stream_alerts_compacted(spark, sf_dir):
-    """The stream's alerts and those of the daily run, merged into the alert table."""
+    """The stream's alerts merged into an alert table that has days of alerts already, some resolved.
+
+    Neither the merge nor a daily run that finds the same alerts again opens one or changes it.
+    """
+    table = new_folder(spark, ALERT_TABLE.name)
+    earlier = _alerts(spark, sf_dir).filter(F.col("transaction_timestamp") < F.lit(EDGES[1]))
+    load_clustered(earlier, table, ALERT_TABLE)
+    store_resolutions(spark, standin.resolutions(read_alerts(spark, table)), table)
+    compact_alerts(spark, _scored_stream(spark, standin.transactions(spark, sf_dir)), table)
     raw, loaded, run_date, _ = _refreshed(spark, sf_dir)
-    nightly, table = new_folder(spark, "nightly"), new_folder(spark, ALERT_TABLE.name)
-    daily.score_day(spark, raw, loaded, nightly, run_date, AS_OF_TIME + timedelta(days=400), CONFIG)
-    compact_alerts(spark, [_scored_stream(spark, sf_dir), nightly], table)
+    daily.score_day(spark, raw, loaded, table, run_date, AS_OF_TIME + timedelta(days=400), CONFIG)
     return read_alerts(spark, table)

@@ -16,10 +16,11 @@ from cardvigil.operators.alerts import build_alerts
 from cardvigil.operators.features import LOOKBACK_DAYS, features, features_for_day
 from cardvigil.schema import ALERT_SCHEMA, ALERT_TABLE, CORRUPT_FIELD, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
 from cardvigil.session import pin_utc, staging
-from cardvigil.sources.raw import read_json, read_raw_day
+from cardvigil.sources.raw import read_day_totals, read_json, read_raw_day
 from cardvigil.sources.tables import (
     conform_features,
     load_clustered,
+    merge_alerts,
     read_alerts,
     write_by_date,
     write_day,
@@ -57,14 +58,15 @@ def _checked(raw: DataFrame, made: DataFrame) -> DataFrame:
 
 @contextmanager
 def _checked_day(
-    spark: SparkSession, raw_path: str, run_date: date, cfg: RiskConfig
+    spark: SparkSession, raw_path: str, run_date: date, cfg: RiskConfig, totals_path: str | None = None
 ) -> Iterator[DataFrame]:
     """One day's features, staged and checked; raises ``QualityError`` before anything is published."""
     pin_utc(spark)
     raw_day = read_raw_day(spark, raw_path, run_date)
+    totals = read_day_totals(spark, totals_path) if totals_path else None
     with staging(spark, FEATURE_TABLE.name) as made:
         raw = read_raw_day(spark, raw_path, run_date, LOOKBACK_DAYS)
-        write_day(features_for_day(raw, run_date, cfg), made, FEATURE_TABLE)
+        write_day(features_for_day(raw, run_date, cfg, totals=totals), made, FEATURE_TABLE)
         yield _checked(raw_day, spark.read.parquet(made))
 
 
@@ -74,11 +76,16 @@ def run_features(
     output_path: str,
     run_date: date,
     cfg: RiskConfig = RiskConfig(),
+    totals_path: str | None = None,
 ) -> DataFrame:
-    """One day's features from the raw table, checked and then written as that day's partition."""
+    """One day's features from the raw table, checked and then written as that day's partition.
+
+    ``totals_path``: the totals per card and day that :func:`cardvigil.plans.upkeep.compact_landed`
+    keeps with that raw table.
+    """
     pin_utc(spark)
     quality.assert_raw_present(read_raw_day(spark, raw_path, run_date), run_date)
-    with _checked_day(spark, raw_path, run_date, cfg) as day:
+    with _checked_day(spark, raw_path, run_date, cfg, totals_path) as day:
         write_day(day, output_path, FEATURE_TABLE)
     return _day(spark.read.parquet(output_path), run_date)
 
@@ -91,11 +98,12 @@ def refresh_day(
     run_date: date,
     loaded_at: datetime,
     cfg: RiskConfig = RiskConfig(),
+    totals_path: str | None = None,
 ) -> DataFrame:
     """The whole chain for one day; raises ``QualityError`` before anything is replaced."""
     pin_utc(spark)
     quality.assert_raw_present(read_raw_day(spark, raw_path, run_date), run_date)
-    with _checked_day(spark, raw_path, run_date, cfg) as day:
+    with _checked_day(spark, raw_path, run_date, cfg, totals_path) as day:
         quality.assert_fraud_rate(day, FEATURE_TABLE.date_column, run_date, cfg)
         write_day(day, output_path, FEATURE_TABLE)
         load_clustered(conform_features(day, loaded_at), table_path, FEATURE_TABLE)
@@ -111,7 +119,10 @@ def score_day(
     created_at: datetime,
     cfg: RiskConfig = RiskConfig(),
 ) -> DataFrame:
-    """Alerts of one loaded feature day, checked and then written to the alert table."""
+    """Alerts of one loaded feature day, checked and then merged into the alert table.
+
+    An alert that is stored already stays as it is, with its resolution, also in a repeated run.
+    """
     pin_utc(spark)
     day = _day(spark.read.parquet(features_path), run_date)
     raw = read_raw_day(spark, raw_path, run_date)
@@ -119,7 +130,7 @@ def score_day(
         build_alerts(day, F.lit(created_at).cast("timestamp"), cfg, raw).write.parquet(made)
         alerts = spark.read.schema(ALERT_SCHEMA).parquet(made)
         quality.assert_not_null(alerts, ALERT_TABLE)
-        load_clustered(alerts, alerts_path, ALERT_TABLE)
+        merge_alerts(spark, alerts, alerts_path)
     return _day(read_alerts(spark, alerts_path), run_date, ALERT_TABLE.date_column)
 
 

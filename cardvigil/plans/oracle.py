@@ -349,6 +349,15 @@ ORACLES: dict[str, str] = {
     "late_rows_repaired": _feat(
         f"SELECT {FEATURE_LIST}, day AS _feature_date FROM feat WHERE day = '2024-01-30'"
     ),
+    "late_rows_revised": _feat(
+        f"""SELECT {FEATURE_LIST}, day AS _feature_date, TIMESTAMP '2024-01-31 00:00:00' AS _loaded_at FROM feat"""
+    ),
+    "day_totals_kept": _txn(
+        """SELECT card_id, CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS date, count(transaction_id) AS ids,
+             count(amount) AS amounts, CAST(coalesce(sum(c), 0) AS BIGINT) AS cents,
+             coalesce(sum(CAST(c AS HUGEINT) * c), 0)::DOUBLE AS squares, max(c) AS top
+           FROM txn GROUP BY 1, 2"""
+    ),
     "stream_dead_letters": _txn(
         """SELECT CASE WHEN k < 3 THEN 'unreadable_payload'
                        WHEN k = 3 THEN 'missing_transaction_id,missing_card_id'
@@ -367,6 +376,30 @@ ORACLES: dict[str, str] = {
                  FROM txn, (VALUES (0), (1)) steps(step))
            GROUP BY window_start, card_id"""
     ),
+    "stream_velocity_sealed": _txn(
+        """SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, card_id,
+             count(transaction_id) AS txn_count_10min,
+             round(count(transaction_id) / 10.0::DOUBLE, 2) AS txn_per_minute
+           FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, transaction_timestamp)
+                             - step * INTERVAL 5 MINUTE AS window_start
+                 FROM txn, (VALUES (0), (1)) steps(step))
+           WHERE CAST(window_start AS DATE) = DATE '2024-01-21'
+           GROUP BY window_start, card_id"""
+    ),
     "stream_score_alerts": ALL_ALERTS,
-    "stream_alerts_compacted": ALL_ALERTS,
+    "stream_score_hot_card": ALL_ALERTS.replace(TXN, HOT),
+    "stream_too_late": _txn(
+        """SELECT CAST(CAST(transaction_timestamp AS DATE) AS VARCHAR) AS date, count(*) AS late_rows
+           FROM (SELECT *, CASE WHEN k = 7 OR transaction_timestamp >= TIMESTAMP '2024-01-21' THEN TIMESTAMP '2025-01-01'
+                                WHEN transaction_timestamp < TIMESTAMP '2024-01-11' THEN TIMESTAMP '2024-01-11'
+                                ELSE TIMESTAMP '2024-01-21' END AS arrival FROM txn)
+           WHERE transaction_timestamp < arrival - INTERVAL 1 DAY GROUP BY 1"""
+    ),
+    "stream_alerts_compacted": _alerts(
+        f"""SELECT {ALERT_LIST}, day AS _alert_date FROM (
+              SELECT * REPLACE (CASE WHEN transaction_timestamp < TIMESTAMP '2024-01-11' THEN is_resolved ELSE false END AS is_resolved,
+                                CASE WHEN transaction_timestamp < TIMESTAMP '2024-01-11' THEN resolved_by END AS resolved_by,
+                                CASE WHEN transaction_timestamp < TIMESTAMP '2024-01-11' THEN resolved_at END AS resolved_at)
+              FROM resolved)"""
+    ),
 }

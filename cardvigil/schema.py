@@ -130,6 +130,25 @@ FEATURE_TABLE = TableContract(
     cluster_by=("card_id",),
     not_null=("transaction_id", "card_id"),
 )
+#: Totals per card and day, at the day's first second.
+DAY_TOTALS_SCHEMA = T.StructType(
+    [
+        T.StructField("card_id", T.StringType()),
+        T.StructField("_second", T.LongType()),
+        T.StructField("_ids", T.LongType()),
+        T.StructField("_amounts", T.LongType()),
+        T.StructField("_cents", T.LongType()),
+        T.StructField("_squares", T.DecimalType(38, 0)),
+        T.StructField("_top", T.LongType()),
+    ]
+)
+DAY_TOTALS = TableContract(
+    name="day_totals",
+    date_column="date",
+    time_column="_second",
+    cluster_by=("card_id",),
+    not_null=("card_id",),
+)
 ALERT_TABLE = TableContract(
     name="fraud_alerts",
     date_column="_alert_date",

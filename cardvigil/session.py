@@ -17,19 +17,25 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def state_partition_per_core(spark: SparkSession) -> Iterator[None]:
+def stream_state(spark: SparkSession) -> Iterator[None]:
     """Streams started inside keep their state in as many partitions as there are cores.
 
     A stream keeps the number it starts with for good, and unlike a batch it is
-    not coalesced: each partition is a state store to commit in every micro-batch.
+    not coalesced: each partition is a state store to commit in every micro-batch. What the
+    watermark has passed is cleared by the next batch with data, not by one of its own.
     """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    wanted = {
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -53,6 +59,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The names of what a folder holds; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in files.listStatus(folder)] if files.exists(folder) else []
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder this run has made, on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

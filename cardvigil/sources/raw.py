@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardvigil.schema import CORRUPT, RAW_SCHEMA, WIRE_SCHEMA
+from cardvigil.schema import CORRUPT, DAY_TOTALS, DAY_TOTALS_SCHEMA, RAW_SCHEMA, WIRE_SCHEMA
 from cardvigil.sources.decode import decode_payload, from_wire
 
 
@@ -40,6 +40,12 @@ def read_raw(spark: SparkSession, path: str, date_column: str = "date") -> DataF
     return spark.read.schema(schema).parquet(path)
 
 
+def read_day_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Totals per card and day, by day."""
+    day = T.StructField(DAY_TOTALS.date_column, T.DateType())
+    return spark.read.schema(T.StructType([*DAY_TOTALS_SCHEMA.fields, day])).parquet(path)
+
+
 def read_raw_day(
     spark: SparkSession, path: str, run_date: date, lookback_days: int = 0, date_column: str = "date"
 ) -> DataFrame:
@@ -53,17 +59,21 @@ def read_raw_day(
 def kafka_payloads(
     spark: SparkSession, servers: str, topic: str, options: dict[str, str] | None = None
 ) -> DataFrame:
-    """A stream of JSON payloads in ``value``. Needs the Kafka connector on the classpath."""
+    """A stream of JSON payloads in ``value`` and the time the broker took them in, ``arrival``.
+
+    Needs the Kafka connector on the classpath.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .options(**(options or {}))
         .load()
-        .select("value")
+        .select("value", F.col("timestamp").alias("arrival"))
     )
 
 
 def text_payloads(spark: SparkSession, path: str, options: dict[str, str] | None = None) -> DataFrame:
-    """The same stream from files with one JSON record per line."""
-    return spark.readStream.format("text").options(**(options or {})).load(path)
+    """The same stream from files with one JSON record per line, which arrive when their file is written."""
+    lines = spark.readStream.format("text").options(**(options or {})).load(path)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("arrival"))

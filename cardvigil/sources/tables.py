@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardvigil.config import RiskConfig
+from cardvigil.operators.alerts import resolve
 from cardvigil.schema import (
     ALERT_SCHEMA,
     ALERT_TABLE,
@@ -18,8 +19,9 @@ from cardvigil.schema import (
     RAW_TABLE,
     TableContract,
 )
-from cardvigil.session import staging
-from cardvigil.sources.raw import read_raw
+from cardvigil.session import listed, staging
+from cardvigil.sources import batches
+from cardvigil.sources.batches import days_listed
 
 
 def with_partition_date(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -32,8 +34,12 @@ def write_by_date(df: DataFrame, path: str, contract: TableContract) -> None:
     The rebalance lets AQE cut a big day into several files and merge small
     ones, whatever the days' sizes. Only days present in ``df`` are replaced.
     """
-    dated = with_partition_date(df, contract)
-    _write(dated.hint("rebalance", F.col(contract.date_column)), path, contract)
+    write_dated(with_partition_date(df, contract), path, contract)
+
+
+def write_dated(df: DataFrame, path: str, contract: TableContract) -> None:
+    """The same for rows that have their day already."""
+    _write(df.hint("rebalance", F.col(contract.date_column)), path, contract)
 
 
 def write_day(df: DataFrame, path: str, contract: TableContract) -> None:
@@ -77,48 +83,70 @@ def conform_features(features: DataFrame, loaded_at: datetime) -> DataFrame:
 
 def days_of(spark: SparkSession, path: str, date_column: str) -> list[date]:
     """The days a table has partitions of, oldest first, from its folder listing; no file is opened."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = (entry.getPath().getName() for entry in entries)
-    known = [name.partition("=")[2] for name in names if name.startswith(f"{date_column}=")]
-    return sorted(date.fromisoformat(day) for day in known if day[:1].isdigit())
+    return days_listed(spark, path, date_column)
+
 
+def on_days(df: DataFrame, days: list[date], date_column: str) -> DataFrame:
+    """Rows of these days; a partition filter on a stored table."""
+    return df.filter(F.col(date_column).isin(days)) if days else df.limit(0)
 
-def one_per_transaction(raw: DataFrame, date_column: str = RAW_TABLE.date_column) -> DataFrame:
-    """One row per day and transaction id; of copies that differ, the least by column order.
 
-    Partial aggregation drops most copies before the shuffle, however often one id came.
+def merge_alerts(spark: SparkSession, new: DataFrame, table: str) -> list[date]:
+    """Merges alerts into the alert table by day and ``alert_id``; returns the days touched.
+
+    What is stored takes part: of copies of an alert a resolved one wins, then the earliest
+    created, so no stored alert goes and none is opened again. Only days that ``new`` has
+    rows of are read and replaced.
     """
-    keys = [date_column, "transaction_id"]
-    rest = [c for c in raw.columns if c not in keys]
-    unique = raw.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return unique.select("transaction_id", "_row.*", date_column).select(*raw.columns)
+    day = ALERT_TABLE.date_column
+    with staging(spark, ALERT_TABLE.name) as given, staging(spark, ALERT_TABLE.name) as merged:
+        rows = with_partition_date(new.select(*ALERT_SCHEMA.names), ALERT_TABLE)
+        rows.write.partitionBy(day).parquet(given)
+        days = days_of(spark, given, day)
+        everything = read_alerts(spark, given)
+        if known := sorted(set(days) & set(days_of(spark, table, day))):
+            everything = everything.unionByName(on_days(read_alerts(spark, table), known, day))
+        rest = [c for c in ALERT_SCHEMA.names if c not in ("alert_id", "_created_at")]
+        first = F.min_by(F.struct(*rest, "_created_at"), F.struct(~F.col("is_resolved"), "_created_at", *rest))
+        unique = everything.groupBy(day, "alert_id").agg(first.alias("_row"))
+        unique.select("alert_id", "_row.*").select(*ALERT_SCHEMA.names).write.parquet(merged)
+        # A table that has never had an alert comes into being without any.
+        if days or not listed(spark, table):
+            load_clustered(spark.read.schema(ALERT_SCHEMA).parquet(merged), table, ALERT_TABLE)
+    return days
 
 
-def compact_days(spark: SparkSession, landed: str, table: str, first: date, last: date) -> None:
-    """Replaces the raw table's days from ``first`` to ``last`` by what has landed for them, once each."""
-    days = read_raw(spark, landed).filter(
-        F.col(RAW_TABLE.date_column).between(F.lit(first), F.lit(last))
-    )
-    write_by_date(one_per_transaction(days), table, RAW_TABLE)
+def compact_alerts(spark: SparkSession, found: str, table: str) -> list[date]:
+    """Merges what a scoring stream has found (:mod:`cardvigil.sources.batches`) into the alert table.
+
+    Takes the complete batches that are there and removes them afterwards; returns the days touched.
+    """
+    taken = batches.finished(spark, found)
+    if not taken:
+        return []
+    rows = batches.read_batches(spark, found, taken, ALERT_SCHEMA, ALERT_TABLE.date_column)
+    days = merge_alerts(spark, rows, table)
+    batches.forget(spark, found, taken)
+    return days
 
 
-def compact_alerts(spark: SparkSession, found: list[str], table: str) -> None:
-    """Merges alert folders, of streams or daily runs, into the alert table by ``alert_id``.
+def store_resolutions(spark: SparkSession, resolutions: DataFrame, table: str) -> list[date]:
+    """Applies resolution events to the alert table; returns the days replaced.
 
-    The earliest creation wins among copies of an alert, a resolved copy before open ones. Days
-    that no folder has stay as they are.
+    Of the whole table only ids and days are read, to find the days that hold a resolved
+    transaction; only these days are read in full and replaced.
     """
-    with staging(spark, ALERT_TABLE.name) as merged:
-        parts = [read_alerts(spark, path).select(*ALERT_SCHEMA.names) for path in found]
-        everything = parts[0]
-        for part in parts[1:]:
-            everything = everything.unionByName(part)
-        rest = [c for c in ALERT_SCHEMA.names if c not in ("alert_id", "_created_at")]
-        first = F.min_by(F.struct(*rest, "_created_at"), F.struct(~F.col("is_resolved"), "_created_at", *rest))
-        unique = everything.groupBy("alert_id").agg(first.alias("_row"))
-        unique.select("alert_id", "_row.*").select(*ALERT_SCHEMA.names).write.parquet(merged)
-        load_clustered(spark.read.schema(ALERT_SCHEMA).parquet(merged), table, ALERT_TABLE)
+    day = ALERT_TABLE.date_column
+    stored = read_alerts(spark, table)
+    closed = resolutions.select(F.col("transaction_id").alias("_id")).distinct()
+    hit = stored.select("transaction_id", day).join(closed, F.col("transaction_id") == F.col("_id"), "left_semi")
+    # One row for each day at most.
+    days = sorted(r[0] for r in hit.select(day).distinct().collect())
+    if days:
+        with staging(spark, ALERT_TABLE.name) as made:
+            resolve(on_days(stored, days, day), resolutions).write.parquet(made)
+            load_clustered(spark.read.schema(ALERT_SCHEMA).parquet(made), table, ALERT_TABLE)
+    return days
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

@@ -17,7 +17,6 @@ from cardvigil.session import new_folder, shared_folder
 from cardvigil.sources import decode
 from cardvigil.sources.raw import kafka_payloads, read_json, read_raw, read_raw_day
 from cardvigil.sources.tables import (
-    compact_days,
     conform_features,
     conform_raw,
     days_of,
@@ -135,7 +134,7 @@ def test_kafka_source_is_offered_when_the_connector_is_there(spark):
         stream = kafka_payloads(spark, "broker:9092", "transactions")
     except Exception as missing:  # the connector is not part of a plain Spark
         pytest.skip(str(missing)[:60])
-    assert stream.isStreaming and stream.columns == ["value"]
+    assert stream.isStreaming and stream.columns == ["value", "arrival"]
 
 
 def test_a_time_far_past_arrival_is_rejected(spark):
@@ -144,7 +143,10 @@ def test_a_time_far_past_arrival_is_rejected(spark):
     payloads = spark.createDataFrame(values, "name string, value string").withColumn("arrival", F.lit("2025-03-01 10:00:00").cast("timestamp"))
     routed = decode.with_route(decode.decode_payload(payloads), "arrival").collect()
     assert {r["name"]: r["reasons"] for r in routed} == {"on time": [], "an hour ahead": [], "later": ["future_timestamp"]}
-    assert "arrival" not in decode.valid_rows(decode.decode_payload(payloads), "arrival").columns
+    valid = decode.valid_rows(decode.decode_payload(payloads), "arrival")
+    assert "arrival" in valid.columns and valid.count() == 2
+    unknown = payloads.withColumn("arrival", F.lit(None).cast("timestamp"))
+    assert {r["reasons"][0] for r in decode.with_route(decode.decode_payload(unknown), "arrival").collect()} == {"missing_arrival"}
 
 
 @pytest.fixture
@@ -201,16 +203,6 @@ def test_files_are_clustered_by_card(spark, folder):
     assert max(r["n"] for r in sizes) < 0.6 * 4000
 
 
-def test_compaction_keeps_one_row_per_id_and_other_days(spark, folder):
-    raw = standin.transactions(spark, "/root/testdata/sf0.001")
-    write_by_date(raw.unionByName(raw).unionByName(raw.limit(50)), folder("landed"), RAW_TABLE)
-    compact_days(spark, folder("landed"), folder("table"), standin.FIRST_DAY, date(2024, 1, 10))
-    compact_days(spark, folder("landed"), folder("table"), date(2024, 1, 10), standin.AS_OF)
-    got = read_raw(spark, folder("table")).drop("date")
-    assert got.exceptAll(raw).count() == 0 and got.count() == raw.count()
-    assert days_of(spark, folder("table"), "date") == sorted(r[0] for r in read_raw(spark, folder("table")).select("date").distinct().collect())
-
-
 def test_rewriting_a_day_leaves_other_days_alone(spark, folder):
     path = folder("features")
     from cardvigil.operators.features import features

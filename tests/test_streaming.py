@@ -2,43 +2,67 @@
 
 from __future__ import annotations
 
+import glob
 import json
 import os
-from datetime import date
-from decimal import Decimal
+from datetime import date, datetime, timedelta
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cardvigil.operators.alerts import build_alerts
 from cardvigil.operators.features import engineer
-from cardvigil.operators.rolling import per_second, with_parts
-from cardvigil.plans import standin
+from cardvigil.operators.rolling import PARTS, per_second, with_parts
+from cardvigil.plans import standin, upkeep
 from cardvigil.schema import ALERT_COLUMNS, ALERT_TABLE, RAW_SCHEMA
-from cardvigil.sources import decode
-from cardvigil.sources.raw import read_raw, text_payloads
-from cardvigil.sources.tables import compact_alerts, compact_days, read_alerts, write_by_date
+from cardvigil.sources import batches, decode
+from cardvigil.sources.raw import read_raw
+from cardvigil.sources.tables import (
+    compact_alerts,
+    days_of,
+    merge_alerts,
+    read_alerts,
+    store_resolutions,
+    with_partition_date,
+    write_by_date,
+)
 from cardvigil.streaming import ingest, memory, scoring, velocity
+from tests.plans import plan_of
 
 ONCE = {"availableNow": True}
 
 
 class Inbox:
-    """A folder of payload files; each call to ``add`` is one more file."""
+    """A folder of payload files; each call to ``add`` is one more file, whose events arrive as they happen."""
 
     def __init__(self, path):
         self.path = path
         self.files = 0
         os.mkdir(path)
 
-    def add(self, *records):
-        lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
-        with open(f"{self.path}/{self.files:03}.json", "w") as f:
-            f.write("\n".join(lines))
+    def add(self, *records, arrival=None):
+        texts = [r if isinstance(r, str) else json.dumps(r) for r in records]
+        times = [r["transaction_timestamp"] for r in records if not isinstance(r, str) and r["transaction_timestamp"][:1].isdigit()]
+        at = datetime.fromisoformat(arrival or max(times, default="2025-03-01T10:00:00")) + timedelta(seconds=2)
+        rows = pa.table({"value": texts, "arrival": pa.array([at] * len(texts), pa.timestamp("us", "UTC"))})
+        pq.write_table(rows, f"{self.path}/{self.files:03}.parquet")
         self.files += 1
 
 
+def arriving(spark, path):
+    return spark.readStream.schema("value string, arrival timestamp").parquet(path)
+
+
+def deliver(raw, path):
+    """Payloads of these transactions, each two seconds old when it arrives."""
+    arrival = F.col("transaction_timestamp") + F.expr("INTERVAL 2 SECONDS")
+    decode.encode_payload(raw.withColumn("arrival", arrival)).write.mode("append").parquet(path)
+
+
 def txn(i, time, card="C", amount=1.0, **more):
     return {"transaction_id": i, "card_id": card, "amount": amount, "transaction_timestamp": time, **more}
 
@@ -48,14 +72,12 @@ def inbox(folder):
     return Inbox(folder("inbox"))
 
 
-ALL_DAYS = (date(2025, 1, 1), date(2025, 12, 31))
-
-
 def run_landing(spark, inbox, folder):
     """Ids in the raw table after landing what is new and compacting every day."""
-    valid = ingest.valid_transactions(text_payloads(spark, inbox.path))
+    valid = ingest.valid_transactions(arriving(spark, inbox.path))
     ingest.land(valid, folder("landed"), folder("checkpoint"), ONCE).awaitTermination()
-    compact_days(spark, folder("landed"), folder("raw"), *ALL_DAYS)
+    upkeep.compact_landed(spark, folder("landed"), folder("raw"))
+    assert batches.finished(spark, folder("landed")) == []
     return sorted(r[0] for r in read_raw(spark, folder("raw")).select("transaction_id").collect())
 
 
@@ -89,7 +111,7 @@ def test_dead_letters(spark, inbox, folder):
         txn("c", "2025-03-01T10:00:00", amount=-5),
         "{cut off",
     )
-    payloads = text_payloads(spark, inbox.path)
+    payloads = arriving(spark, inbox.path)
     ingest.land_rejected(payloads, folder("dead"), folder("checkpoint-dead"), ONCE).awaitTermination()
     letters = spark.read.parquet(folder("dead")).select("transaction_id", "_corrupt_record", "reasons").collect()
     got = {(r[0] or r[1], *r[2]) for r in letters}
@@ -102,8 +124,8 @@ def test_velocity_windows_are_complete(spark, sf_dir, folder):
     raw = standin.transactions(spark, sf_dir)
     cut = F.lit("2024-01-16").cast("timestamp")
     for part in (F.col("transaction_timestamp") < cut, F.col("transaction_timestamp") >= cut):
-        decode.encode_payload(raw.filter(part)).write.mode("append").text(folder("inbox"))
-        stream = velocity.velocity_windows(ingest.valid_transactions(text_payloads(spark, folder("inbox"))))
+        deliver(raw.filter(part), folder("inbox"))
+        stream = velocity.velocity_windows(ingest.valid_transactions(arriving(spark, folder("inbox"))))
         velocity.start_velocity(stream, folder("windows"), folder("checkpoint"), ONCE).awaitTermination()
     want = (
         raw.groupBy(F.window("transaction_timestamp", "10 minutes", "5 minutes").start.alias("window_start"), "card_id")
@@ -114,49 +136,129 @@ def test_velocity_windows_are_complete(spark, sf_dir, folder):
     assert want.exceptAll(got).count() == 0 and got.count() == want.count()
 
 
-def test_alerts_of_streams_and_daily_runs_merge(spark, sf_dir, folder):
-    raw = standin.transactions(spark, sf_dir)
-    built = build_alerts(engineer(raw, standin.CONFIG), F.col("transaction_timestamp"), standin.CONFIG)
-    again = build_alerts(engineer(raw, standin.CONFIG), F.lit("2030-01-01").cast("timestamp"), standin.CONFIG)
-    write_by_date(built.filter("card_id < '5'"), folder("stream"), ALERT_TABLE)
-    write_by_date(again, folder("nightly"), ALERT_TABLE)
-    compact_alerts(spark, [folder("stream"), folder("nightly")], folder("table"))
-    got = read_alerts(spark, folder("table")).select(*ALERT_COLUMNS)
-    assert got.count() == built.count()
-    assert got.filter("card_id < '5'").exceptAll(built).count() == 0
-    assert got.filter("card_id >= '5'").exceptAll(again).count() == 0
-
-
-def score_inbox(spark, inbox_path, folder):
-    incoming = ingest.without_redelivered(ingest.valid_transactions(text_payloads(spark, inbox_path)))
-    scoring.start_scoring(
-        incoming,
+def test_velocity_batches_move_to_a_table(spark, inbox, folder):
+    """Twelve batches leave files by day, not by batch; a day reads its own folder."""
+    for n in range(12):
+        inbox.add(*[txn(f"{n}-{i}", f"2025-03-{1 + n // 4:02}T10:{5 * (n % 4):02}:0{i}") for i in range(3)])
+        stream = velocity.velocity_windows(ingest.valid_transactions(arriving(spark, inbox.path)))
+        velocity.start_velocity(stream, folder("windows"), folder("checkpoint"), ONCE).awaitTermination()
+        velocity.seal(spark, folder("windows"), folder("table"), stream.schema)
+    assert batches.finished(spark, folder("windows")) == []
+    files = glob.glob(f"{folder('table')}/window_date=*/*.parquet")
+    assert len(files) <= 6
+    day = velocity.read_velocity(spark, folder("windows"), stream.schema, folder("table"), date(2025, 3, 2))
+    assert sorted(r["txn_count_10min"] for r in day.collect()) == [3, 3, 6, 6, 6]
+    assert all("window_date=2025-03-02" in name for name in day.inputFiles()) or "2025-03-02" in plan_of(day)
+    everything = velocity.read_velocity(spark, folder("windows"), stream.schema, folder("table"))
+    assert everything.groupBy().sum("txn_count_10min").first()[0] == 12 * 3 * 2
+
+
+def stored_alerts(spark, sf_dir, folder):
+    """An alert table of all alerts, some resolved, and the alerts."""
+    built = build_alerts(engineer(standin.transactions(spark, sf_dir), standin.CONFIG), F.col("transaction_timestamp"), standin.CONFIG)
+    write_by_date(built, folder("table"), ALERT_TABLE)
+    days = store_resolutions(spark, standin.resolutions(read_alerts(spark, folder("table"))), folder("table"))
+    assert days and set(days) <= set(days_of(spark, folder("table"), ALERT_TABLE.date_column))
+    return built
+
+
+def test_stored_alerts_outlive_a_merge(spark, sf_dir, folder):
+    built = stored_alerts(spark, sf_dir, folder)
+    before = read_alerts(spark, folder("table")).orderBy("alert_id").collect()
+    assert 0 < sum(r["is_resolved"] for r in before) < len(before) == built.count()
+    again = build_alerts(engineer(standin.transactions(spark, sf_dir), standin.CONFIG), F.lit("2030-01-01").cast("timestamp"), standin.CONFIG)
+    merge_alerts(spark, again.limit(20), folder("table"))
+    assert read_alerts(spark, folder("table")).orderBy("alert_id").collect() == before
+
+
+def test_a_merge_touches_only_its_days(spark, sf_dir, folder):
+    built = stored_alerts(spark, sf_dir, folder)
+    files = lambda: {f: os.path.getmtime(f) for f in glob.glob(f"{folder('table')}/*/*.parquet")}
+    before = files()
+    new = built.filter("transaction_timestamp < '2024-01-03'").withColumn("alert_id", F.concat(F.lit("x"), "alert_id"))
+    days = merge_alerts(spark, new, folder("table"))
+    assert days and max(days) < date(2024, 1, 3)
+    kept = {f for f, t in files().items() if before.get(f) == t}
+    touched = tuple(f"={day}" for day in days)
+    assert kept == {f for f in before if not f.split("/")[-2].endswith(touched)}
+    assert read_alerts(spark, folder("table")).count() == built.count() + new.count()
+    assert merge_alerts(spark, new.limit(0), folder("table")) == []
+
+
+def test_alerts_of_a_stream_are_moved_to_the_table(spark, sf_dir, folder):
+    built = stored_alerts(spark, sf_dir, folder)
+    resolved = read_alerts(spark, folder("table")).filter("is_resolved").count()
+    dated = with_partition_date(built, ALERT_TABLE)
+    batches.write_batch(dated.filter("card_id < '5'"), folder("found"), 0, ALERT_TABLE.date_column)
+    batches.write_batch(dated.withColumn("alert_id", F.concat(F.lit("x"), "alert_id")), folder("found"), 1, ALERT_TABLE.date_column)
+    os.remove(f"{folder('found')}/batch=1/_SUCCESS")  # still being written
+    compact_alerts(spark, folder("found"), folder("table"))
+    table = read_alerts(spark, folder("table"))
+    assert (table.count(), table.filter("is_resolved").count()) == (built.count(), resolved)
+    assert sorted(name for name in os.listdir(folder("found")) if name[0] != ".") == ["batch=1"]
+
+
+def score_inbox(spark, inbox_path, folder, cfg=standin.CONFIG, heavy=None):
+    valid = ingest.in_time(ingest.valid_transactions(arriving(spark, inbox_path)))
+    stream = scoring.start_scoring(
+        ingest.without_redelivered(valid),
         folder("staging"),
         folder("alerts"),
         folder("checkpoint"),
         F.col("transaction_timestamp"),
-        standin.CONFIG,
+        cfg,
         ONCE,
-    ).awaitTermination()
+        heavy,
+    )
+    stream.awaitTermination()
+    return stream
 
 
-def test_scoring_in_parts_equals_batch(spark, sf_dir, folder):
+@pytest.mark.parametrize("slots", [0, 3])
+def test_scoring_in_parts_equals_batch(spark, sf_dir, folder, slots):
+    """Also where half of the cards have slots, some of them only from the second part on."""
     raw = standin.transactions(spark, sf_dir)
-    cut = F.lit("2024-01-16").cast("timestamp")
-    for part in (F.col("transaction_timestamp") < cut, F.col("transaction_timestamp") >= cut):
-        decode.encode_payload(raw.filter(part)).write.mode("append").text(folder("inbox"))
-        score_inbox(spark, folder("inbox"), folder)
+    parts = (raw.filter("transaction_timestamp < '2024-01-16'"), raw.filter("transaction_timestamp >= '2024-01-16'"))
+    for n, part in enumerate(parts):
+        deliver(part, folder("inbox"))
+        named = raw.filter(F.col("card_id") % (3 - n) == 0).select("card_id", F.lit(slots).alias("slots")).distinct()
+        stream = score_inbox(spark, folder("inbox"), folder, heavy=named if slots else None)
+        assert ingest.dropped_rows(stream) == 0
     want = build_alerts(engineer(raw, standin.CONFIG), F.col("transaction_timestamp"), standin.CONFIG)
     got = spark.read.parquet(folder("alerts")).select(*ALERT_COLUMNS)
     assert want.count() > 10
     assert want.exceptAll(got).count() == 0 and got.count() == want.count()
 
 
+def test_an_event_dated_ahead_changes_nothing(spark, inbox, folder):
+    """Three parts, of which the second brings an event of 2099: the third is scored like the others."""
+    risky = {"amount": 200.0, "merchant_country": "X"}
+    inbox.add(txn("a1", "2024-01-05T10:00:00", **risky))
+    score_inbox(spark, inbox.path, folder)
+    inbox.add(txn("ahead", "2099-01-01T10:00:00", **risky), txn("a2", "2024-01-06T10:00:00", **risky), arrival="2024-01-06T10:00:00")
+    score_inbox(spark, inbox.path, folder)
+    inbox.add(txn("a3", "2024-01-07T10:00:00", **risky), txn("a4", "2024-01-07T10:05:00", **risky))
+    stream = score_inbox(spark, inbox.path, folder)
+    assert ingest.dropped_rows(stream) == 0
+    got = {r["transaction_id"]: r["fraud_flags"] for r in spark.read.parquet(folder("alerts")).collect()}
+    assert sorted(got) == ["a1", "a2", "a3", "a4"]
+
+
+def test_events_are_too_late_by_their_own_times(spark, inbox, folder):
+    inbox.add(txn("new", "2024-01-10T10:00:00"), txn("a day", "2024-01-09T10:00:02"), txn("later", "2024-01-09T10:00:01"))
+    valid = ingest.valid_transactions(arriving(spark, inbox.path))
+    for route, name in ((ingest.in_time, "in"), (ingest.too_late, "out")):
+        ingest.land(route(valid), folder(name), folder(f"checkpoint-{name}"), ONCE).awaitTermination()
+    ids = lambda name: sorted(r[0] for r in spark.read.parquet(folder(name)).select("transaction_id").collect())
+    assert (ids("in"), ids("out")) == (["a day", "new"], ["later"])
+
+
 def as_batch(raw, history):
     """What the memory hands to a micro-batch: payloads with totals, and history without payload."""
-    rows = with_parts(raw).withColumn("payload", decode.as_payload()).select(*memory.COLUMNS)
+    columns = ["card_id", "payload", "_second", *PARTS]
+    rows = with_parts(raw).withColumn("payload", decode.as_payload()).select(*columns)
     past = per_second(with_parts(history)).withColumn("payload", F.lit(None).cast("string"))
-    return rows.unionByName(past.select(*memory.COLUMNS))
+    return rows.unionByName(past.select(*columns))
 
 
 def test_a_repeated_batch_changes_nothing(spark, sf_dir, folder):
@@ -187,6 +289,7 @@ class State:
     hasTimedOut = False
     exists = False
     timeout = None
+    watermark = 0
 
     def update(self, value):
         self.get, self.exists = value, True
@@ -194,61 +297,113 @@ class State:
     def setTimeoutTimestamp(self, ms):
         self.timeout = ms
 
+    def getCurrentWatermarkMs(self):
+        return self.watermark * 1000
+
     def remove(self):
         self.exists = False
 
 
-def chunk(*rows):
+def numbers(second, cents):
+    squares = (cents or 0) ** 2
+    limbs = [squares & 0x7FFFFFFF, squares >> 31 & 0x7FFFFFFF, squares >> 62]
+    return np.array([second, 1, int(cents is not None), cents or 0, memory.NO_TOP if cents is None else cents, *limbs], dtype=np.int64)
+
+
+def chunk(*rows, payload="{}"):
     """Rows of (second, cents or None)."""
-    return pd.DataFrame(
-        [
-            ("C", "{}", sec, 1, int(c is not None), c or 0, Decimal((c or 0) ** 2), c)
-            for sec, c in rows
-        ],
-        columns=memory.COLUMNS,
-    )
+    return pd.DataFrame({"card_id": "C", "payload": payload, "numbers": [numbers(*r) for r in rows]})
 
 
 def history(frames):
-    past = pd.concat([f for f in frames if f["payload"].isna().all()])
-    return [tuple(r) for r in past[["_second", "_ids", "_amounts", "_cents", "_squares", "_top"]].values]
+    """(second, ids, amounts, cents, top, squares) of the rows without a payload."""
+    past = [n for f in frames for n, p in zip(f["numbers"], f["payload"]) if p is None]
+    return [(*map(int, n[:5]), int(n[5]) + (int(n[6]) << 31) + (int(n[7]) << 62)) for n in past]
+
 
+START = 1_700_006_400  # the first second of a day
 
-def test_memory_adds_up_per_second_and_keeps_30_days():
-    state, start = State(), 1_700_000_000
-    out = list(memory.remember(("C",), iter([chunk((start, 500), (start, None)), chunk((start, 300))]), state))
+
+def test_memory_adds_up_per_second():
+    state = State()
+    out = list(memory.remember(("C", 0), iter([chunk((START, 500), (START, None)), chunk((START, 300))]), state))
     assert [len(f) for f in out] == [2, 1], "new rows pass through; there is no history yet"
-    assert state.timeout == (start + memory.HORIZON) * 1000
+    assert state.timeout == (START + memory.DAY + memory.HORIZON) * 1000
+    out = list(memory.remember(("C", 0), iter([chunk((START, None))]), state))
+    assert history(out) == [(START, 3, 2, 800, 500, 340000)]
+    out = list(memory.remember(("C", 0), iter([chunk((START + 9, None))]), state))
+    assert history(out) == [(START, 4, 2, 800, 500, 340000)]
 
-    later = start + memory.HORIZON
-    out = list(memory.remember(("C",), iter([chunk((later, None))]), state))
-    assert history(out) == [(start, 3, 2, 800, Decimal(340000), 500)]
-    out = list(memory.remember(("C",), iter([chunk((later + 1, 7))]), state))
-    assert sorted(r[0] for r in history(out)) == [start, later]
-    assert history(out)[-1][-1] is None or history(out)[0][-1] is None
-    out = list(memory.remember(("C",), iter([chunk((later + 2, 7))]), state))
-    assert sorted(r[0] for r in history(out)) == [later, later + 1], "the first second has expired"
 
-    state.hasTimedOut = True
-    assert list(memory.remember(("C",), iter([]), state)) == [] and not state.exists
+def test_memory_forgets_a_day_when_its_time_is_up():
+    state = State()
+    list(memory.remember(("C", 0), iter([chunk((START, 1), (START + memory.DAY, 2))]), state))
+    state.hasTimedOut, state.watermark = True, START + memory.DAY + memory.HORIZON
+    assert list(memory.remember(("C", 0), iter([]), state)) == []
+    assert len(memory.Days(state.get).totals) == 1 and state.timeout == (START + 2 * memory.DAY + memory.HORIZON) * 1000
+    state.watermark += memory.DAY
+    assert list(memory.remember(("C", 0), iter([]), state)) == [] and not state.exists
 
 
 def test_memory_is_exact_beyond_64_bits():
     state, big = State(), 9 * 10**17
-    list(memory.remember(("C",), iter([chunk((1000, big), (1000, big))]), state))
-    ((_, _, _, total, squares, top),) = history(list(memory.remember(("C",), iter([chunk((1001, 1))]), state)))
-    assert (total, squares, top) == (2 * big, Decimal(2 * big * big), big)
+    list(memory.remember(("C", 0), iter([chunk((START, big), (START, big), (START + 5, big), (START + 6, None))]), state))
+    out = list(memory.remember(("C", 0), iter([chunk((START + 600, 1))]), state))
+    assert history(out) == [(START, 4, 3, 3 * big, big, 3 * big * big)]
 
 
 def test_memory_of_a_busy_card_is_bounded_by_time():
     state = State()
-    rows = chunk(*[(1000 + n % 60, n % 50) for n in range(20_000)])
-    list(memory.remember(("C",), iter([rows, rows, rows]), state))
-    out = list(memory.remember(("C",), iter([chunk((2000, 1))]), state))
-    assert len(history(out)) == 60
+    rows = chunk(*[(START + n % 60, n % 50) for n in range(20_000)])
+    list(memory.remember(("C", 0), iter([rows, rows, rows]), state))
+    assert len(memory._rows(memory.Days(state.get).seconds[START // memory.DAY])) == 60
+    out = list(memory.remember(("C", 0), iter([chunk((START + 1000, 1))]), state))
     assert sum(r[1] for r in history(out)) == 60_000
 
 
+def test_a_row_that_only_asks_is_told_and_not_kept():
+    state = State()
+    list(memory.remember(("C", 1), iter([chunk((START, 5))]), state))
+    kept = state.get
+    out = list(memory.remember(("C", 1), iter([chunk((START + 1, 7), payload=None)]), state))
+    assert history(out) == [(START, 1, 1, 5, 5, 25)] and [f["payload"].notna().sum() for f in out] == [0]
+    assert state.get == kept
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_shortened_history_fills_every_frame_alike(seed):
+    """For all frames of all rows of a batch, totals and maxima are those of the whole history."""
+    random = np.random.default_rng(seed)
+    past = np.sort(random.integers(START - 40 * memory.DAY, START + memory.DAY, 4000))
+    width = int(random.choice([1, 50, 5000, 200_000]))
+    asked = START + random.integers(0, width, 8)
+    state = State()
+    for part in np.array_split(past, 5):
+        list(memory.remember(("C", 0), iter([chunk(*[(int(s), int(s) % 977) for s in part])]), state))
+    told = history(list(memory.remember(("C", 0), iter([chunk(*[(int(s), 1) for s in asked])]), state)))
+    if width <= 50:
+        assert len(told) < 60
+    for second in asked.tolist():
+        for span in memory.SPANS.values():
+            inside = [s for s in past.tolist() if second - span <= s <= second]
+            got = [r for r in told if second - span <= r[0] <= second]
+            assert sum(r[1] for r in got) == len(inside)
+            assert sum(r[3] for r in got) == sum(s % 977 for s in inside)
+            assert sum(r[5] for r in got) == sum((s % 977) ** 2 for s in inside)
+            assert max((r[4] for r in got), default=None) == max((s % 977 for s in inside), default=None)
+
+
+def test_rows_of_a_heavy_card_go_to_several_tasks(spark):
+    rows = spark.createDataFrame([(f"t{i}", "hot" if i % 2 else "cold") for i in range(200)], "transaction_id string, card_id string")
+    rows = rows.withColumns({"payload": F.lit("{}"), "arrival": F.lit(None).cast("timestamp"), "numbers": F.lit(None).cast("array<bigint>")})
+    heavy = spark.createDataFrame([("hot", 4)], "card_id string, slots int")
+    dealt = memory._dealt(rows, heavy).groupBy("card_id", "_slot").agg(F.count("payload").alias("own"), F.count("*").alias("rows")).collect()
+    found = {(r["card_id"], r["_slot"]): (r["own"], r["rows"]) for r in dealt}
+    assert found.pop(("cold", 0)) == (100, 100)
+    assert sorted(found) == [("hot", i) for i in range(4)]
+    assert all(0 < own < 60 and n == 100 for own, n in found.values()) and sum(own for own, _ in found.values()) == 100
+
+
 def test_rows_of_one_second_split_over_batches(spark, inbox, folder):
     """The second batch sees the first one's rows of the same second; a late row sees its past."""
     inbox.add(txn("a", "2024-01-05T10:00:00", amount=200.0, merchant_country="X"))

@@ -1,0 +1,174 @@
+"""Compaction, totals per day and revision while rows come late, also after steps cut short."""
+
+from __future__ import annotations
+
+import os
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardvigil.operators.features import features, features_for_day
+from cardvigil.operators.rolling import day_totals
+from cardvigil.plans import daily, standin, upkeep
+from cardvigil.schema import DAY_TOTALS, FEATURE_COLUMNS, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
+from cardvigil.sources import batches
+from cardvigil.sources.raw import read_day_totals, read_raw, read_raw_day
+from cardvigil.sources.tables import days_of, with_partition_date, write_by_date
+from tests.plans import plan_of
+
+LOADED = datetime(2024, 2, 1)
+
+
+def land(rows, path, number):
+    dated = with_partition_date(rows.select(*RAW_SCHEMA.names), RAW_TABLE)
+    batches.write_batch(dated, path, number, RAW_TABLE.date_column)
+
+
+@pytest.fixture
+def raw(spark, sf_dir):
+    return standin.transactions(spark, sf_dir)
+
+
+@pytest.fixture
+def tables(spark, folder):
+    names = ("landed", "raw", "totals", "changes", "features")
+    return {name: folder(name) for name in names}
+
+
+def compact(spark, tables):
+    return upkeep.compact_landed(spark, tables["landed"], tables["raw"], tables["totals"], tables["changes"])
+
+
+def revise(spark, tables):
+    return upkeep.revise(spark, tables["changes"], tables["raw"], tables["features"], LOADED, standin.CONFIG)
+
+
+def assert_complete(spark, raw, tables):
+    """Raw table, totals and features are those of all rows."""
+    assert read_raw(spark, tables["raw"]).drop("date").exceptAll(raw).isEmpty() and read_raw(spark, tables["raw"]).count() == raw.count()
+    want = day_totals(with_partition_date(raw, RAW_TABLE), "date")
+    got = read_day_totals(spark, tables["totals"]).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+    want = features(raw, standin.CONFIG)
+    got = spark.read.parquet(tables["features"]).select(*FEATURE_COLUMNS)
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
+def test_late_rows_reach_every_table(spark, raw, tables):
+    late = (F.col("card_id") == "3") & (F.dayofmonth("transaction_timestamp") % 5 == 0)
+    land(raw.filter(~late), tables["landed"], 0)
+    compact(spark, tables)
+    revise(spark, tables)
+    before = spark.read.parquet(tables["features"]).filter("card_id <> '3'").agg(F.max("_loaded_at")).first()[0]
+    land(raw.filter(late).unionByName(raw.filter(late)), tables["landed"], 1)
+    days = compact(spark, tables)
+    assert days == sorted(r[0] for r in raw.filter(late).select(F.to_date("transaction_timestamp")).distinct().collect())
+    revised = revise(spark, tables)
+    assert revised[0] == days[0] and revised[-1] == standin.LAST_DAY
+    assert_complete(spark, raw, tables)
+    assert before == LOADED
+    assert compact(spark, tables) == [] and revise(spark, tables) == []
+
+
+def test_a_row_200_days_late_needs_no_range(spark, raw, tables):
+    land(raw, tables["landed"], 0)
+    compact(spark, tables)
+    old = raw.limit(1).withColumns({"transaction_id": F.lit("old"), "transaction_timestamp": F.lit("2023-06-15 10:00:00").cast("timestamp")})
+    land(old, tables["landed"], 1)
+    assert compact(spark, tables) == [date(2023, 6, 15)]
+    assert days_of(spark, tables["raw"], "date")[0] == date(2023, 6, 15)
+    assert read_raw(spark, tables["raw"]).count() == raw.count() + 1
+
+
+def test_only_touched_days_are_replaced_and_only_complete_batches_taken(spark, raw, tables):
+    land(raw, tables["landed"], 0)
+    compact(spark, tables)
+    day = f"{tables['raw']}/date=2024-01-05"
+    before = {f: os.path.getmtime(f"{day}/{f}") for f in os.listdir(day)}
+    land(raw.filter("date(transaction_timestamp) = '2024-01-06'").withColumn("transaction_id", F.concat(F.lit("x"), "transaction_id")), tables["landed"], 1)
+    land(raw.withColumn("transaction_id", F.concat(F.lit("y"), "transaction_id")), tables["landed"], 2)
+    os.remove(f"{tables['landed']}/batch=2/_SUCCESS")
+    assert compact(spark, tables) == [date(2024, 1, 6)]
+    assert before == {f: os.path.getmtime(f"{day}/{f}") for f in os.listdir(day)}
+    assert batches.finished(spark, tables["landed"]) == [] and os.path.isdir(f"{tables['landed']}/batch=2")
+
+
+def test_a_compaction_cut_short_is_done_again(spark, raw, tables, monkeypatch):
+    """It fails after the changes are queued and the day is replaced, before the batches are removed."""
+    first, rest = raw.filter("date(transaction_timestamp) < '2024-01-10'"), raw.filter("date(transaction_timestamp) >= '2024-01-10'")
+    land(first, tables["landed"], 0)
+    compact(spark, tables)
+    revise(spark, tables)
+    land(rest, tables["landed"], 1)
+
+    def fail(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(batches, "forget", fail)
+        with pytest.raises(OSError):
+            compact(spark, tables)
+    compact(spark, tables)
+    revise(spark, tables)
+    assert_complete(spark, raw, tables)
+
+
+def test_what_a_change_affects(spark):
+    changed = spark.createDataFrame([("a", date(2024, 1, 1)), ("a", date(2024, 1, 2)), ("b", date(2024, 3, 1)), ("c", date(2024, 5, 1))], upkeep.CHANGES)
+    got = {(r[0], r[1]) for r in upkeep.affected(changed, date(2024, 3, 3)).collect()}
+    want = {("a", date(2024, 1, 1) + timedelta(days=n)) for n in range(32)} | {("b", date(2024, 3, n)) for n in (1, 2, 3)}
+    assert got == want
+
+
+def test_a_run_reads_totals_for_27_of_30_days(spark, raw, tables):
+    land(raw, tables["landed"], 0)
+    compact(spark, tables)
+    totals, run_date = read_day_totals(spark, tables["totals"]), date(2024, 1, 30)
+    stored = read_raw_day(spark, tables["raw"], run_date, 30)
+    quick = features_for_day(stored, run_date, standin.CONFIG, totals=totals)
+    want = features_for_day(stored, run_date, standin.CONFIG)
+    assert quick.exceptAll(want).isEmpty() and quick.count() == want.count() > 10
+    opened = [run_date - timedelta(days=n) for n in (0, 1, 7, 30)]
+    few = features_for_day(stored.filter(F.col("date").isin(opened)), run_date, standin.CONFIG, totals=totals)
+    assert few.exceptAll(want).isEmpty() and few.count() == want.count(), "raw rows of other days are not read"
+    scans = [line for line in plan_of(quick).splitlines() if "transaction_timestamp" in line and "FileScan" in line]
+    assert scans and all("IN (2024-01-29" in line or "= 2024-01-30" in line for line in scans)
+    assert daily.run_features(spark, tables["raw"], tables["features"], run_date, standin.CONFIG, tables["totals"]).count() == want.count()
+
+
+def test_totals_of_a_late_row_are_kept_up(spark, raw, tables):
+    run_date = date(2024, 1, 30)
+    late = raw.filter("date(transaction_timestamp) BETWEEN '2024-01-10' AND '2024-01-15' AND card_id < '5'")
+    land(raw.exceptAll(late), tables["landed"], 0)
+    compact(spark, tables)
+    land(late, tables["landed"], 1)
+    compact(spark, tables)
+    stored = read_raw_day(spark, tables["raw"], run_date, 30)
+    got = features_for_day(stored, run_date, standin.CONFIG, totals=read_day_totals(spark, tables["totals"]))
+    want = features(raw, standin.CONFIG).filter(F.to_date("transaction_timestamp") == F.lit(run_date))
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
+def test_nothing_landed(spark, tables):
+    assert compact(spark, tables) == [] and revise(spark, tables) == []
+    assert DAY_TOTALS.date_column == RAW_TABLE.date_column and FEATURE_TABLE.date_column == "_feature_date"
+
+
+def test_a_second_daily_scoring_keeps_resolutions(spark, raw, folder):
+    from dataclasses import replace
+
+    from cardvigil.sources.tables import read_alerts, store_resolutions
+
+    cfg = replace(standin.CONFIG, min_fraud_rate=0.0, max_fraud_rate=1.0)
+    write_by_date(raw, folder("raw"), RAW_TABLE)
+    day = date(2024, 1, 30)
+    daily.refresh_day(spark, folder("raw"), folder("features"), folder("table"), day, LOADED, cfg)
+    daily.score_day(spark, folder("raw"), folder("table"), folder("alerts"), day, LOADED, cfg)
+    alerts = read_alerts(spark, folder("alerts"))
+    closed = alerts.select("transaction_id", F.lit("ann").alias("resolved_by"), F.lit(LOADED).cast("timestamp").alias("resolved_at"))
+    store_resolutions(spark, closed, folder("alerts"))
+    before = read_alerts(spark, folder("alerts")).orderBy("alert_id").collect()
+    daily.score_day(spark, folder("raw"), folder("table"), folder("alerts"), day, datetime(2024, 2, 9), cfg)
+    after = read_alerts(spark, folder("alerts")).orderBy("alert_id").collect()
+    assert before == after and all(r["is_resolved"] for r in after)
