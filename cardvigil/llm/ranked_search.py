@@ -43,8 +43,8 @@ from cardvigil.llm.words import LETTERS_LOWER, give_back, pieces, texts, words
 
 TOP = 50
 #: Cells of a sketch for each different term, at least; a power of two of them, so at most twice as many.
-CELLS, LEAST_CELLS = 12, 64
-PROBES = 4
+CELLS, LEAST_CELLS = 16, 64
+PROBES = 6
 #: The greatest number of occurrences that a cell tells exactly; it stands for all above.
 MOST = 255
 #: Documents of the highest bounds that are scored for each query before there is a threshold.
