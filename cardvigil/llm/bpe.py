@@ -3,7 +3,9 @@
 Long texts are cut before encoding where the split pattern must cut anyway: between a
 character that is no white space and a following blank. No match of the pattern holds
 white space after another character, so the parts' ids are the whole text's ids, and
-memory follows the part. Decoding joins the tokens' raw bytes, so texts that end
+memory follows the part. Very long runs of white space, on which the library's pattern gives
+up, are cut out as the pattern would match them: all of a run is one match but its last
+character, which goes with the text behind it; at the end of a text, all of it. Decoding joins the tokens' raw bytes, so texts that end
 inside a character or split one over tokens come back byte by byte.
 
 Defined results: a null text is empty and has no ids; repeated rows and null ids are
@@ -16,6 +18,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -31,6 +34,12 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: Characters after which a long text is cut at the next safe place.
 PART = 1 << 16
 _SAFE = re.compile(r"(?<=\S)(?=[ \t\n])")
+#: Characters of white space in a row from which they are cut out; the library reads ten times as many.
+RUN = 1 << 16
+#: The characters that are white space in the split pattern.
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Matches a text as one piece.
+_WHOLE = "(?s:.+)"
 
 
 @cache
@@ -50,9 +59,36 @@ def parts(text: str, size: int = PART) -> Iterator[str]:
     yield text[at:]
 
 
-def ids_of(encoding: tiktoken.Encoding, text: str) -> bytes:
+@cache
+def _long_runs(run: int) -> re.Pattern:
+    return re.compile(f"(?<![{_WHITE}])[{_WHITE}]{{{run},}}")
+
+
+@dataclass(frozen=True)
+class Codec:
+    """An encoding by a split pattern, and the same ranks for a piece that is not split."""
+
+    split: tiktoken.Encoding
+    whole: tiktoken.Encoding
+
+    @classmethod
+    def of(cls, path: str, pattern: str) -> Codec:
+        return cls(codec(path, pattern), codec(path, _WHOLE))
+
+    def ids(self, text: str, run: int = RUN) -> Iterator[list[int]]:
+        """The text's ids, part by part; white space from ``run`` characters on is cut out."""
+        at = 0
+        for found in _long_runs(run).finditer(text) if len(text) >= run else ():
+            end = found.end() - (found.end() < len(text))
+            yield from map(self.split.encode_ordinary, parts(text[at : found.start()]))
+            yield self.whole.encode_ordinary(text[found.start() : end])
+            at = end
+        yield from map(self.split.encode_ordinary, parts(text[at:]))
+
+
+def ids_of(encoding: Codec, text: str) -> bytes:
     """The text's ids as little-endian unsigned 32-bit integers."""
-    return b"".join(np.asarray(encoding.encode_ordinary(part), dtype="<u4").tobytes() for part in parts(text))
+    return b"".join(np.asarray(ids, dtype="<u4").tobytes() for ids in encoding.ids(text))
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -61,7 +97,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     kept = [c for c in docs.columns if c not in ("text", "n_tokens", "ids")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = codec(path, pattern)
+        encoding = Codec.of(path, pattern)
         for batch in pieces(batches, "text"):
             ids = [ids_of(encoding, text or "") for text in batch.column("text").to_pylist()]
             columns = [batch.column(c) for c in kept]
