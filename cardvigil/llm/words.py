@@ -19,6 +19,8 @@ import pyarrow as pa
 PIECE = 4 << 20
 #: Bytes that are hashed at once.
 BLOCK = 1 << 20
+#: Bytes of a span up to which its hash is a polynomial.
+SHORT = 64
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -123,15 +125,22 @@ class _Powers:
         return cls.up, cls.down
 
 
+def _digest(span: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(span.tobytes(), digest_size=8).digest(), "little")
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``data[start:end]``; the spans are in order and don't overlap."""
+    """64-bit hashes of ``data[start:end]``; starts and ends are in order.
+
+    Polynomials modulo 2**64 of long spans can be made to collide whatever the base is, so
+    spans of more than ``SHORT`` bytes get a cryptographic hash.
+    """
     up, down = _Powers.get()
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
     while at < len(starts):
         low = int(starts[at])
         if ends[at] - low > BLOCK:
-            out[at] = int.from_bytes(hashlib.blake2b(data[low : int(ends[at])].tobytes(), digest_size=8).digest(), "little")
             at += 1
             continue
         to = int(np.searchsorted(ends, low + BLOCK, "right"))
@@ -142,6 +151,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         a, b = starts[at:to] - low, ends[at:to] - low
         out[at:to] = mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
         at = to
+    for i in np.flatnonzero(ends - starts > SHORT).tolist():
+        out[i] = _digest(data[int(starts[i]) : int(ends[i])])
     return out
 
 

@@ -39,6 +39,15 @@ def test_equal_words_have_equal_hashes_wherever_they_stand():
     assert len(set(hashes.values())) == len(hashes) == 4
 
 
+@pytest.mark.parametrize("letters", [32, 64, 128, 256, 512, 1024, 2048, 4096])
+def test_words_made_to_collide_do_not(letters):
+    """The Thue-Morse word and its complement are equal modulo 2**64 in every base, if long enough."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(letters))
+    other = word.translate(str.maketrans("ab", "ba"))
+    found = W.words(*W.texts(pa.array([f"{word} {other} {word}"])), W.SPACED).hashes().tolist()
+    assert found[0] == found[2] != found[1]
+
+
 def test_pieces_keep_every_row():
     batch = pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "", "b" * 50, "c"], "n": list(range(5))})
     for limit in (1, 11, 1000):
