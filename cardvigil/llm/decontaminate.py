@@ -2,14 +2,17 @@
 
 Documents are searched in shards of a few MB of whole texts. A shard's words, as
 64-bit hashes, get a suffix array; suffixes of the benchmark texts are searched in it by
-bisection, all at once. :func:`contamination` stops at the window: it sorts no deeper,
-and for each suffix that holds a window it finds the run of the array that starts with
-the window: all places where it occurs. A document is judged where it is read: nothing
-is shuffled. :func:`longest_matches` searches every suffix to its end and gives each
-item's longest verbatim match; one row for each item and task goes to the result.
+bisection, all at once. Equal windows of the benchmark are one class and searched once: the
+run of the array that starts with a window holds all places where it occurs, so a shard has
+no more hits than places. Items are attached to classes, by number, and named at the end. Every
+place that is hit is then followed to the end of its match, in the suffix array of the
+benchmark, which gives a document's longest verbatim match. A document is judged where it is
+read: nothing is shuffled. :func:`longest_matches` searches every suffix to its end and gives
+each item's longest verbatim match; one row for each item and task goes to the result.
 
 The benchmark is the query set. It goes to the shards in blocks of bounded size, one
-pass over the documents for each block; later passes add to what earlier ones found.
+pass over the documents for each block; later passes add to what earlier ones found. What a
+block has found is written before the next is collected, so the driver holds one at a time.
 
 Defined results: words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after A-Z are
 lower-cased; null texts have none. A benchmark text of fewer words than a window is one
@@ -20,6 +23,7 @@ columns pass through; columns with the names of results are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -31,7 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardvigil.llm.suffixes import suffix_array
-from cardvigil.llm.words import LETTERS_LOWER, pieces, texts, words
+from cardvigil.llm.tables import staged
+from cardvigil.llm.words import LETTERS_LOWER, pieces, texts, windows, words
 
 WINDOW = 13
 #: Bytes of text in a shard, or one document.
@@ -56,7 +61,7 @@ def _spread(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 @dataclass(frozen=True)
 class Queries:
-    """Benchmark words with ends between texts; of each suffix its start, its depth to search and its item."""
+    """Benchmark words with ends between texts; of each suffix its start, its depth to search and its item's number."""
 
     tokens: np.ndarray
     starts: np.ndarray
@@ -64,6 +69,10 @@ class Queries:
     items: list[int | None]
     item: np.ndarray
 
+    @property
+    def names(self) -> list[str]:
+        return ["" if x is None else str(x) for x in self.items]
+
     @classmethod
     def of(cls, rows: list[tuple[int | None, str | None]], window: int) -> Queries:
         data, offsets = texts(pa.array([text for _, text in rows], pa.string()))
@@ -80,6 +89,31 @@ class Queries:
         return cls(np.append(tokens, _END), join(starts), join(depths), [x for x, _ in rows], join(item))
 
 
+@dataclass(frozen=True)
+class Windows:
+    """The different windows of a block of the benchmark, and its words in order of suffixes."""
+
+    #: One suffix for each window; its item says nothing.
+    queries: Queries
+    #: The items of window ``i``, by number, are ``items[first[i]:first[i + 1]]``.
+    first: np.ndarray
+    items: np.ndarray
+    order: np.ndarray
+
+    @classmethod
+    def of(cls, found: Queries) -> Windows:
+        keys = np.zeros(len(found.starts), dtype=np.uint64)
+        for depth in np.unique(found.depths).tolist():
+            mine = found.depths == depth
+            keys[mine] = windows(found.tokens, depth)[found.starts[mine]] + np.uint64(depth)
+        _, one, kind = np.unique(keys, return_index=True, return_inverse=True)
+        pairs = np.unique(kind * max(1, len(found.items)) + found.item)
+        kind, item = np.divmod(pairs, max(1, len(found.items)))
+        single = Queries(found.tokens, found.starts[one], found.depths[one], found.items, found.item[one])
+        deepest = int(np.bincount(found.item).max()) + int(found.depths.max()) if len(found.item) else 1
+        return cls(single, np.searchsorted(kind, np.arange(len(one) + 1)), item.astype(np.int32), suffix_array(found.tokens, deepest))
+
+
 def bisect(tokens: np.ndarray, order: np.ndarray, queries: Queries, after: bool) -> np.ndarray:
     """For each query the number of suffixes below it; with ``after``, those that start with it count too."""
     low = np.zeros(len(queries.starts), dtype=np.int64)
@@ -165,46 +199,110 @@ _FOUND = T.StructType(
     [
         T.StructField("_bench_words", T.LongType()),
         T.StructField("_bench_spans", _SPANS),
-        T.StructField("_bench_items", T.ArrayType(T.StringType())),
+        T.StructField("_bench_items", T.ArrayType(T.IntegerType())),
+        T.StructField("_bench_longest", T.StructType([T.StructField("words", T.LongType()), T.StructField("start", T.LongType())])),
     ]
 )
 
 
-def _search(columns: list[str], queries: Queries, shard: int):
-    """Adds to each row its words and the spans and items found in it, after those found before."""
+def _lists(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
+    """Rows of as many of the values, in order, as counted."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), values)
+
+
+def _spans(places: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> pa.ListArray:
+    """Of each text the stretches of words that are hit."""
+    covered = np.zeros(int(first[-1]) + 1, dtype=np.int64)
+    np.add.at(covered, places, 1)
+    np.add.at(covered, places + sizes, -1)
+    edge = np.flatnonzero(np.diff(np.cumsum(covered) > 0, prepend=False, append=False))
+    starts, ends = edge[::2], edge[1::2]
+    of = np.searchsorted(first, starts, "right") - 1
+    fields = [pa.array((x - first[of]).astype(np.int32)) for x in (starts, ends)]
+    return _lists(pa.StructArray.from_arrays(fields, ["start", "end"]), np.bincount(of, minlength=len(first) - 1))
+
+
+def _items(found: Windows, doc: np.ndarray, window: np.ndarray, docs: int, base: int) -> pa.ListArray:
+    """Of each document the numbers of the items whose windows it holds, each once; one document at a time."""
+    met = np.unique(doc * max(1, len(found.queries.starts)) + window)
+    doc, window = np.divmod(met, max(1, len(found.queries.starts)))
+    parts, counts = [], np.zeros(docs, dtype=np.int64)
+    which, begin = np.unique(doc, return_index=True)
+    for i, a, b in zip(which, begin, np.append(begin, len(doc))[1:], strict=True):
+        held = [found.items[found.first[w] : found.first[w + 1]] for w in window[a:b].tolist()]
+        parts.append(np.unique(np.concatenate(held)) + np.int32(base))
+        counts[i] = len(parts[-1])
+    return _lists(pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32), pa.int32()), counts)
+
+
+def _followed(found: Windows, tokens: np.ndarray, places: np.ndarray, first: np.ndarray) -> list[dict]:
+    """Of each document its longest match with the benchmark that holds a window, and the first place of it."""
+    out = [{"words": 0, "start": 0} for _ in range(len(first) - 1)]
+    places = np.unique(places)
+    if len(places):
+        nothing = np.zeros(len(places), dtype=np.int64)
+        length, _ = longest(found.queries.tokens, found.order, Queries(tokens, places, nothing, [], nothing))
+        doc = np.searchsorted(first, places, "right") - 1
+        best = np.lexsort((places, -length, doc))
+        best = best[np.diff(doc[best], prepend=-1) != 0]
+        for d, n, at in zip(doc[best].tolist(), length[best].tolist(), (places[best] - first[doc[best]]).tolist(), strict=True):
+            out[d] = {"words": n, "start": at}
+    return out
+
+
+def _search(columns: list[str], found: Windows, base: int, shard: int):
+    """Adds to each row its words and the spans, items and match found in it, after those found before."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", shard):
             tokens, first = _spread(*texts(batch.column("text")))
-            place, query = _occurrences(tokens, queries)
+            place, window = _occurrences(tokens, found.queries)
             doc = np.searchsorted(first, place, "right") - 1
-            covered = np.zeros(len(tokens) + 1, dtype=np.int64)
-            np.add.at(covered, place, 1)
-            np.add.at(covered, place + queries.depths[query], -1)
-            inside = np.cumsum(covered) > 0
-            edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-            starts, ends = edge[::2], edge[1::2]
-            of = np.searchsorted(first, starts, "right") - 1
-            spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            for d, a, b in zip(of.tolist(), (starts - first[of]).tolist(), (ends - first[of]).tolist(), strict=True):
-                spans[d].append({"start": a, "end": b})
-            items: list[list[str]] = [[] for _ in range(batch.num_rows)]
-            for d, i in sorted({*zip(doc.tolist(), queries.item[query].tolist(), strict=True)}):
-                items[d].append("" if queries.items[i] is None else str(queries.items[i]))
-            if "_bench_spans" in columns:
-                spans = [x + y for x, y in zip(batch.column("_bench_spans").to_pylist(), spans, strict=True)]
-                items = [x + y for x, y in zip(batch.column("_bench_items").to_pylist(), items, strict=True)]
             own = {
                 "_bench_words": pa.array(np.diff(first) - 1, pa.int64()),
-                "_bench_spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                "_bench_items": pa.array(items, pa.list_(pa.string())),
+                "_bench_spans": _spans(place, found.queries.depths[window], first),
+                "_bench_items": _items(found, doc, window, batch.num_rows, base),
+                "_bench_longest": _followed(found, tokens, place, first),
             }
+            if base:
+                for name in ("_bench_spans", "_bench_items"):
+                    both = [x + y for x, y in zip(batch.column(name).to_pylist(), own[name].to_pylist(), strict=True)]
+                    own[name] = pa.array(both, own[name].type)
+                before = batch.column("_bench_longest").to_pylist()
+                own["_bench_longest"] = [max(x, y, key=lambda m: (m["words"], -m["start"])) for x, y in zip(before, own["_bench_longest"], strict=True)]
+            match = pa.struct([("words", pa.int64()), ("start", pa.int64())])
+            own["_bench_longest"] = pa.array(own["_bench_longest"], match)
             rest = [c for c in columns if c not in own]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *own.values()], [*rest, *own])
 
     return run
 
 
+def _named(columns: list[str], names: list[str]):
+    """The items' numbers as how many names they have and a digest of the names, sorted and joined."""
+    kinds, rank = np.unique(np.array(names, dtype=object), return_inverse=True) if names else (np.zeros(0, dtype=object), np.zeros(0, dtype=np.int64))
+    kinds = [name.encode() for name in kinds.tolist()]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, tuple[int, str]] = {b"": (0, hashlib.sha256(b"").hexdigest())}
+        for batch in batches:
+            items = batch.column("_bench_items")
+            ends = np.frombuffer(items.buffers()[1], dtype=np.int32)[items.offset : items.offset + len(items) + 1]
+            numbers = items.values.to_numpy()
+            found = []
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                ranks = np.unique(rank[numbers[a:b]])
+                if (key := hashlib.blake2b(ranks.tobytes(), digest_size=16).digest() if len(ranks) else b"") not in known:
+                    known[key] = len(ranks), hashlib.sha256(b",".join(kinds[r] for r in ranks.tolist())).hexdigest()
+                found.append(known[key])
+            if len(known) > 100_000:
+                known = {b"": known[b""]}
+            own = [pa.array([n for n, _ in found], pa.int64()), pa.array([digest for _, digest in found], pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *own], [*columns, "n_items", "items_sha256"])
+
+    return run
+
+
 def _longest(queries: Queries, shard: int):
     """Rows (item_id, match) of each item's longest match in a task's documents."""
 
@@ -239,20 +337,27 @@ def longest_matches(docs: DataFrame, items: DataFrame, shard: int = SHARD, block
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "item_id string, match struct<less:long,doc_id:long,doc_start:long,item_start:long>"
     found = None
-    for rows in blocks(items, block_bytes):
+    n = block_count(items, block_bytes)
+    for k in range(n):
+        rows = block(items, n, k)
         part = read.mapInArrow(_longest(Queries.of(rows, 1), shard), schema)
+        if n > 1:
+            part = staged(part, "longest")
         found = part if found is None else found.unionByName(part)
     best = found.groupBy("item_id").agg(F.min("match").alias("match"))
     return best.select("item_id", (-F.col("match.less")).alias("n_words"), "match.doc_id", "match.doc_start", "match.item_start")
 
 
-def blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str | None]]]:
-    """The benchmark's rows in lists of about ``limit`` bytes."""
+def block_count(items: DataFrame, limit: int = BLOCK_BYTES) -> int:
+    """Into how many blocks of about ``limit`` bytes the benchmark is dealt."""
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(total / limit))
-    dealt = items.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).alias("block"))
-    for k in range(n):
-        yield [(row.item_id, row.text) for row in dealt.where(F.col("block") == k).collect()]
+    return max(1, math.ceil(total / limit))
+
+
+def block(items: DataFrame, n: int, k: int) -> list[tuple[int | None, str | None]]:
+    """The benchmark's rows of block ``k``."""
+    dealt = items.select("item_id", "text").where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+    return [(row.item_id, row.text) for row in dealt.collect()]
 
 
 def _covered(spans: Column) -> Column:
@@ -269,32 +374,45 @@ def _covered(spans: Column) -> Column:
 
 
 RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+MATCH = ("spans", "longest_words", "longest_start")
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, shard: int = SHARD, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The documents with n_words, n_hit, n_items, items_sha256, contaminated and ``spans`` of hit words."""
-    found = docs
-    for rows in blocks(items, block_bytes):
-        queries = Queries.of(rows, window)
+    """The documents with the columns ``RESULTS`` and ``MATCH``.
+
+    ``spans`` are the stretches of hit words, and ``longest_words`` and ``longest_start`` the
+    longest verbatim match that holds a window, in words, and where it first begins; 0 without a hit.
+    """
+    kept = [c for c in docs.columns if c not in (*RESULTS, *MATCH, *_FOUND.names)]
+    found, names = docs.select(*kept), []
+    n = block_count(items, block_bytes)
+    for k in range(n):
+        queries = Queries.of(block(items, n, k), window)
         schema = T.StructType([f for f in found.schema if f.name not in _FOUND.names] + _FOUND.fields)
-        found = found.mapInArrow(_search(found.columns, queries, shard), schema)
-    kept = [c for c in docs.columns if c not in (*RESULTS, "spans")]
-    listed = F.array_sort(F.array_distinct("_bench_items"))
-    counted = found.select(
+        found = found.mapInArrow(_search(found.columns, Windows.of(queries), len(names), shard), schema)
+        # An empty first block would leave the next one without a base to tell that it is not the first.
+        names += queries.names or [""]
+        if k + 1 < n:
+            found = staged(found, "benchmark-hits")
+    columns = [*kept, "_bench_words", "_bench_spans", "_bench_longest"]
+    schema = T.StructType([*(found.schema[c] for c in columns), T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType())])
+    counted = found.mapInArrow(_named(columns, names), schema).select(
         *kept,
         F.col("_bench_words").alias("n_words"),
         _covered(F.col("_bench_spans")).alias("n_hit"),
-        F.size(listed).cast("long").alias("n_items"),
-        F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
+        "n_items",
+        "items_sha256",
         F.col("_bench_spans").alias("spans"),
+        F.col("_bench_longest.words").alias("longest_words"),
+        F.col("_bench_longest.start").alias("longest_start"),
     )
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that aren't contaminated, unchanged."""
-    own = {c: f"_doc_{c}" for c in docs.columns if c in (*RESULTS, "spans")}
+    own = {c: f"_doc_{c}" for c in docs.columns if c in (*RESULTS, *MATCH, *_FOUND.names)}
     judged = contamination(docs.withColumnsRenamed(own), items, window).where(~F.col("contaminated"))
     return judged.select(*(F.col(own.get(c, c)).alias(c) for c in docs.columns))

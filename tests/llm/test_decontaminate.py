@@ -1,11 +1,14 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cardvigil.llm import decontaminate as D
 from cardvigil.llm.suffixes import suffix_array
@@ -49,6 +52,54 @@ def test_edge_documents(spark, edge_docs, edge_rows, rows, block_bytes):
     assert rows(clean, "doc_id") == sorted(((d,) for d, *_, c in want if not c), key=repr)
 
 
+def longest_hit(text, items, size=13):
+    """The longest run of words that holds a window, and its first place."""
+    w, best = words(text), (0, 0)
+    for _, spelled in items:
+        x = words(spelled)
+        for p in range(len(x)):
+            for q in range(len(w)):
+                n = 0
+                while p + n < len(x) and q + n < len(w) and x[p + n] == w[q + n]:
+                    n += 1
+                if n and n >= min(size, len(x)) and (n > best[0] or n == best[0] and q < best[1]):
+                    best = n, q
+    return best
+
+
+@pytest.mark.parametrize("block_bytes", [D.BLOCK_BYTES, 120])
+def test_longest_match_of_each_document(spark, edge_docs, edge_rows, rows, block_bytes):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = rows(D.contamination(edge_docs, items, shard=400, block_bytes=block_bytes), "doc_id", "longest_words", "longest_start")
+    assert got == sorted(((d, *longest_hit(t, ITEMS)) for d, t in edge_rows), key=repr)
+    assert max(n for _, n, _ in got) > 13
+
+
+def test_a_common_preamble_makes_no_pairs():
+    """A window that all items and all documents hold is one class: as many hits as places."""
+    preamble = " ".join(f"w{i}" for i in range(14))
+    n = 2000
+    found = D.Windows.of(D.Queries.of([(i, f"{preamble} item{i}") for i in range(n)], 13))
+    assert len(found.queries.starts) == 2 + n
+    texts = [f"{preamble} document{i}" for i in range(n)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text": texts})
+    tracemalloc.start()
+    out = list(D._search(["doc_id", "text"], found, 0, 1 << 22)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    items = out[0].column("_bench_items")
+    assert len(items) == n and set(map(len, items.to_pylist()[:5])) == {n}
+    assert set(map(str, out[0].column("_bench_spans").to_pylist())) == {"[{'start': 0, 'end': 14}]"}
+
+
+def test_an_input_may_have_the_operators_own_columns(spark, edge_docs, rows):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    odd = edge_docs.withColumns({name: F.lit("x") for name in ("_bench_spans", "_bench_items", "_bench_words", "_bench_longest", "longest_words")})
+    assert rows(D.contamination(odd, items), "doc_id", *D.RESULTS) == rows(D.contamination(edge_docs, items), "doc_id", *D.RESULTS)
+    assert D.clean(odd, items).columns == odd.columns
+
+
 def test_no_documents_or_no_items(spark, edge_docs, no_docs):
     items = spark.createDataFrame([], "item_id long, text string")
     assert D.clean(edge_docs, items).count() == edge_docs.count()
