@@ -35,6 +35,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ from cardvigil.llm.words import LETTERS_LOWER, give_back, pieces, texts, words
 
 TOP = 50
 #: Cells of a sketch for each different term, at least; a power of two of them, so at most twice as many.
-CELLS, LEAST_CELLS = 16, 64
+CELLS, LEAST_CELLS = 24, 64
 PROBES = 6
 #: The greatest number of occurrences that a cell tells exactly; it stands for all above.
 MOST = 255
@@ -51,6 +52,8 @@ MOST = 255
 FIRST = 2 * TOP
 #: Terms and queries that are searched together, about, and (document, term) pairs looked at at once.
 BLOCK_TERMS, BLOCK_QUERIES, LOOKUPS = 200_000, 2_000, 1 << 22
+#: Bytes of sketches that are unpacked at once, or one.
+UNPACKED = 1 << 25
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _TERM = re.compile(rb"[0-9a-z\x80-\xFF]+")
@@ -100,7 +103,8 @@ def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = found.hashes()
         some = np.flatnonzero(np.diff(found.first))
         if len(some):
-            cells = [sketch(hashes[found.first[i] : found.first[i + 1]]).tobytes() for i in some]
+            pack = zstandard.ZstdCompressor(level=1).compress
+            cells = [pack(sketch(hashes[found.first[i] : found.first[i + 1]]).tobytes()) for i in some]
             kept = batch.select(["doc_id", "text_hash"]).take(pa.array(some))
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(np.diff(found.first)[some].astype(np.int64)), pa.array(cells, pa.binary())],
@@ -202,15 +206,17 @@ def _document_frequencies(block: Block):
 
 def _chunks(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Rows of the index with sketches of one size, ``limit`` rows at most, and their sketches."""
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        sketches = batch.column("sketch")
-        size = np.diff(np.frombuffer(sketches.buffers()[1], dtype=np.int32)[sketches.offset : sketches.offset + len(sketches) + 1])
+        packed = batch.column("sketch").to_pylist()
+        size = np.array([zstandard.frame_content_size(x) for x in packed], dtype=np.int64)
         for cells in np.unique(size).tolist():
             rows = np.flatnonzero(size == cells)
-            for at in range(0, len(rows), max(1, min(limit, (1 << 25) // cells))):
-                part = batch.take(pa.array(rows[at : at + max(1, min(limit, (1 << 25) // cells))]))
-                joined = b"".join(part.column("sketch").to_pylist())
-                yield part, np.frombuffer(joined, dtype=np.uint8).reshape(part.num_rows, cells)
+            step = max(1, min(limit, UNPACKED // cells))
+            for at in range(0, len(rows), step):
+                part = rows[at : at + step]
+                joined = b"".join(unpack(packed[i]) for i in part.tolist())
+                yield batch.take(pa.array(part)), np.frombuffer(joined, dtype=np.uint8).reshape(len(part), cells)
 
 
 def _limit(block: Block) -> int:
