@@ -33,6 +33,7 @@ from cardvigil.sources.tables import (
     conform_features,
     conform_raw,
     days_of,
+    drop_expired,
     load_clustered,
     read_alerts,
     store_resolutions,
@@ -160,10 +161,14 @@ def features_incremental(spark, sf_dir):
     return features_for_day(_raw_table(spark, sf_dir), LAST_DAY, CONFIG)
 
 
-def _stored_raw(spark, sf_dir) -> DataFrame:
+def _raw_folder(spark, sf_dir) -> str:
     path = new_folder(spark, RAW_TABLE.name)
     write_by_date(standin.transactions(spark, sf_dir), path, RAW_TABLE)
-    return read_raw(spark, path)
+    return path
+
+
+def _stored_raw(spark, sf_dir) -> DataFrame:
+    return read_raw(spark, _raw_folder(spark, sf_dir))
 
 
 def _features_folder(spark, sf_dir) -> str:
@@ -278,8 +283,14 @@ def dq_not_null_contract(spark, sf_dir):
 
 @query
 def raw_retention(spark, sf_dir):
-    """What two years of retention, the contract's default, leave of the stored table."""
-    return within_retention(_stored_raw(spark, sf_dir), RETENTION_AS_OF)
+    """What two years of retention, the contract's default, leave of the stored table.
+
+    The table is listed before expired days are dropped from it, and read afterwards.
+    """
+    path = _raw_folder(spark, sf_dir)
+    rows = read_raw(spark, path)
+    drop_expired(spark, path, RETENTION_AS_OF, grace=2)
+    return within_retention(rows, RETENTION_AS_OF)
 
 
 # ---- scores and alerts --------------------------------------------------

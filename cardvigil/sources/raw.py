@@ -9,22 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardvigil.schema import CORRUPT, DAY_TOTALS, DAY_TOTALS_SCHEMA, RAW_SCHEMA, WIRE_SCHEMA
+from cardvigil.sources.arrays import elements
 from cardvigil.sources.decode import decode_payload, from_wire
 
 
 def read_json(spark: SparkSession, path: str, one_array_per_file: bool = True) -> DataFrame:
     """Transactions from JSON files, typed by the fixed schema and without an inference pass.
 
-    A file holding one JSON array cannot be split and is read by one task, so
-    large inputs should be many such files or JSON lines
-    (``one_array_per_file=False``). Each element of an array is a payload of its
-    own: a broken one keeps its text in ``_corrupt_record`` and the others are read.
+    Each element of an array is a payload of its own: a broken one keeps its text in
+    ``_corrupt_record`` and the others are read. Arrays of flat records are read in parallel
+    also within a file, however large (:mod:`cardvigil.sources.arrays`).
     """
     if one_array_per_file:
-        files = spark.read.text(path, wholetext=True)
-        # What is no array is one payload: a single record, or text that can't be read.
-        elements = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
-        return decode_payload(files.select(F.explode(elements).alias("value")))
+        return decode_payload(elements(spark, path))
     wire = (
         spark.read.schema(WIRE_SCHEMA)
         .option("mode", "PERMISSIVE")

@@ -19,7 +19,7 @@ from cardvigil.schema import (
     RAW_TABLE,
     TableContract,
 )
-from cardvigil.session import listed, staging
+from cardvigil.session import listed, remove_folder, staging
 from cardvigil.sources import batches
 from cardvigil.sources.batches import days_listed
 
@@ -163,3 +163,27 @@ def within_retention(
 ) -> DataFrame:
     """Rows whose day has not expired; a partition filter on a stored table."""
     return df.filter(F.col(contract.date_column) >= F.lit(as_of - timedelta(days=days)))
+
+
+#: Days for which an expired partition stays, so that readers that asked before it expired can finish.
+GRACE_DAYS = 7
+
+
+def drop_expired(
+    spark: SparkSession,
+    path: str,
+    as_of: date,
+    days: int = RiskConfig.retention_days,
+    grace: int = GRACE_DAYS,
+    contract: TableContract = RAW_TABLE,
+) -> list[date]:
+    """Removes the day folders of a table that have expired for longer than ``grace`` days; returns the days.
+
+    Which ones is read from the folder listing; no file is opened. A reader that goes through
+    :func:`within_retention` asks for none of them, also with a listing made before.
+    """
+    last_kept = as_of - timedelta(days=days + grace)
+    gone = [day for day in days_of(spark, path, contract.date_column) if day < last_kept]
+    for day in gone:
+        remove_folder(spark, f"{path.rstrip('/')}/{contract.date_column}={day}")
+    return gone

@@ -20,6 +20,7 @@ from cardvigil.sources.tables import (
     conform_features,
     conform_raw,
     days_of,
+    drop_expired,
     load_clustered,
     within_retention,
     write_by_date,
@@ -248,3 +249,18 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == named
     assert new_folder(spark, "x").startswith(named) and new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_expired_days_are_dropped_from_the_listing(spark, sf_dir, folder):
+    """Those past the grace go; a reader with an older listing is not disturbed."""
+    write_by_date(standin.transactions(spark, sf_dir), folder("raw"), RAW_TABLE)
+    listed = read_raw(spark, folder("raw"))
+    as_of = date(2026, 1, 12)
+    want = within_retention(listed, as_of).count()
+    before = days_of(spark, folder("raw"), "date")
+    gone = drop_expired(spark, folder("raw"), as_of, grace=3)
+    assert gone == [day for day in before if day < date(2024, 1, 10)] and gone
+    assert days_of(spark, folder("raw"), "date") == [day for day in before if day >= date(2024, 1, 10)]
+    assert within_retention(listed, as_of).count() == want == read_raw(spark, folder("raw")).filter("date >= '2024-01-13'").count()
+    assert drop_expired(spark, folder("raw"), as_of, grace=3) == []
+    assert drop_expired(spark, folder("nowhere"), as_of) == []
