@@ -8,11 +8,11 @@ impact from above, and is nearly always exact: cells are many and mostly empty.
 
 Queries go to the index in blocks. Looked up for a batch of sketches at once, the terms give
 each document's upper bound for each query; weights and lengths enter as numbers. The
-documents with the highest bounds are scored exactly on their texts first, and the score at
-the last rank asked for is the threshold: every document whose bound does not fall below it is
-scored exactly too. So the ranking is exact, and only texts with a bound that high are read
-again. Top lists are cut within tasks, then within salted groups, then for each query, so that
-no group grows with the documents.
+different texts with the highest bounds are scored exactly first, and the score at the last
+rank that they and their copies fill is the threshold: every document whose bound does not
+fall below it is scored exactly too. So the ranking is exact, only texts with a bound that high
+are read again, and a large group of copies hides no other text. Top lists are cut within
+tasks, then within salted groups, then for each query, so that no group grows with the documents.
 
 Defined results: terms are `[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+` after A-Z are
 lower-cased; null texts have none. Every row of ``docs`` is a document of its own, rows that
@@ -44,11 +44,11 @@ from cardvigil.llm.words import LETTERS_LOWER, give_back, pieces, texts, words
 
 TOP = 50
 #: Cells of a sketch for each different term, at least; a power of two of them, so at most twice as many.
-CELLS, LEAST_CELLS = 24, 64
+CELLS, LEAST_CELLS = 16, 1024
 PROBES = 6
 #: The greatest number of occurrences that a cell tells exactly; it stands for all above.
 MOST = 255
-#: Documents of the highest bounds that are scored for each query before there is a threshold.
+#: Different texts of the highest bounds that are scored for each query before there is a threshold.
 FIRST = 2 * TOP
 #: Terms and queries that are searched together, about, and (document, term) pairs looked at at once.
 BLOCK_TERMS, BLOCK_QUERIES, LOOKUPS = 200_000, 2_000, 1 << 22
@@ -246,7 +246,7 @@ def _columns(part: pa.RecordBatch) -> dict[str, np.ndarray]:
 
 
 def _highest(shared, many: int):
-    """Of a task's documents those with the ``many`` highest bounds for each query."""
+    """Of a task's documents those with the ``many`` highest bounds for each query, one for each text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Block = shared.value
@@ -254,8 +254,11 @@ def _highest(shared, many: int):
         rows = {c: np.zeros((0, block.size), dtype=t) for c, t in (("doc_id", np.int64), ("null", bool), ("text_hash", np.int64))}
         for part, sketches in _chunks(batches, _limit(block)):
             own = _columns(part)
-            both = np.concatenate([best, block.bounds(sketches, own["n"])])
-            spread = {c: np.concatenate([rows[c], np.broadcast_to(own[c][:, None], (part.num_rows, block.size))]) for c in rows}
+            # A text that is held for any query has been compared for all of them.
+            _, new = np.unique(own["text_hash"], return_index=True)
+            new = new[~np.isin(own["text_hash"][new], rows["text_hash"])]
+            both = np.concatenate([best, block.bounds(sketches[new], own["n"][new])])
+            spread = {c: np.concatenate([rows[c], np.broadcast_to(own[c][new][:, None], (len(new), block.size))]) for c in rows}
             if len(both) > many:
                 top = np.argpartition(-both, many - 1, axis=0)[:many]
                 both = np.take_along_axis(both, top, axis=0)
@@ -294,6 +297,18 @@ def _top(found: DataFrame, order: list[Column], many: int, name: str) -> DataFra
     return within.withColumn(name, F.row_number().over(Window.partitionBy("query").orderBy(*order))).where(F.col(name) <= many).drop("salt")
 
 
+def _with_copies(sketches: DataFrame, scored: DataFrame, many: int) -> DataFrame:
+    """The scored texts' documents, for each text the ``many`` first by id."""
+    # At most as many texts as there are first candidates of a block's queries.
+    texts_ = F.broadcast(scored.select(F.col("text_hash").alias("_hash")).distinct())
+    copies = sketches.select("doc_id", "text_hash").join(texts_, F.col("text_hash") == F.col("_hash")).drop("_hash")
+    salted = copies.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(64)))
+    first = F.col("doc_id").asc_nulls_last()
+    for keys in (["text_hash", "salt"], ["text_hash"]):
+        salted = salted.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(first))).where(F.col("nth") <= many)
+    return salted.select("doc_id", "text_hash").join(scored.select("query", "text_hash", "score"), "text_hash")
+
+
 def _exact(docs: DataFrame, wanted: DataFrame, shared, few: bool = False) -> DataFrame:
     """(query, doc_id, text_hash, score) of the wanted pairs whose score is above 0, taken from the texts.
 
@@ -357,8 +372,10 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, first: int = FIR
         counted = docs.select("text").mapInArrow(_document_frequencies(block), "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
         shared = spark.sparkContext.broadcast(block.weighted({r.term: r.df for r in counted.collect()}, corpus.docs, corpus.terms))
         bounds = [F.col("bound").desc(), F.col("doc_id").asc_nulls_last(), F.col("text_hash")]
-        highest = staged(_top(sketches.mapInArrow(_highest(shared, first), _FOUND), bounds, first, "nth"), "highest")
-        scored = _top(_exact(docs, highest, shared, few=True), _ranking(), top, "rank")
+        found = sketches.mapInArrow(_highest(shared, first), _FOUND).dropDuplicates(["query", "text_hash"])
+        highest = staged(_top(found, bounds, first, "nth"), "highest")
+        known = staged(_exact(docs, highest, shared, few=True).dropDuplicates(["query", "text_hash"]), "scored")
+        scored = _top(_with_copies(sketches, known, top), _ranking(), top, "rank")
         scores, last = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
         for row in scored.where(F.col("rank") == top).collect():
             scores[row["query"]], last[row["query"]] = row.score, _BEHIND if row.doc_id is None else row.doc_id

@@ -91,6 +91,16 @@ def test_many_copies_and_ties(make_docs, ask, rows):
     assert got == brute(given, asked)
 
 
+def test_copies_that_only_seem_to_match_hide_nothing(make_docs, ask, rows, monkeypatch):
+    """With far too few cells most bounds are wrong: many copies of texts without a match come first."""
+    monkeypatch.setattr(R, "CELLS", 1)
+    monkeypatch.setattr(R, "LEAST_CELLS", 2)
+    given = [(i, " ".join(f"x{i % 3}{k}" for k in range(9)) + " x" * 90) for i in range(400)] + [(1000 + i, f"rare word number{i}") for i in range(70)]
+    asked = [(1, "rare"), (2, "rare word number5 number6"), (3, "absent")]
+    got = rows(R.search(make_docs(given), ask(asked), 50, 2), "item_id", "rank", "doc_id", "score")
+    assert got == brute(given, asked)
+
+
 def test_no_documents_or_no_queries(no_docs, edge_docs, make_docs, ask):
     assert R.search(no_docs, ask(QUERIES)).collect() == []
     assert R.search(make_docs([(1, None), (2, " ! ")]), ask(QUERIES)).collect() == []
