@@ -85,6 +85,23 @@ def test_verdicts_do_not_depend_on_order_or_sample(spark, sf_dir, edge_docs, row
     assert not any(judged[x.doc_id].kept for x in labels if x.quality == 0)
 
 
+def test_accepted_documents_are_those_the_cascade_keeps(spark, sf_dir, edge_docs, rows):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = edge_docs.withColumnsRenamed({"key": "_quality_text", "bucket": "_quality_failed", "node": "_Quality_words"})
+    for frame in (docs, edge_docs, odd):
+        got = quality_rules.accepted(frame, rows=50)
+        assert got.dtypes == frame.dtypes
+        assert rows(got, "doc_id", "text") == rows(quality_rules.cascade(frame).where("kept"), "doc_id", "text")
+
+
+def test_a_cheap_rule_costs_less_than_a_dear_one(spark, sf_dir):
+    """Comparing two counts is nothing beside a pattern over the whole text."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rules = (quality_rules.Rule("nothing", lambda m: m["n_words"] < 0), quality_rules.RULES[-1])
+    cheap, dear = (e.seconds for e in quality_rules.estimate(docs, rules))
+    assert cheap < dear
+
+
 def test_rules_are_asked_by_rejections_per_second():
     by = [quality_rules.Estimate(r, s, p) for r, s, p in zip(quality_rules.RULES, (1, 2, 0.5), (0.5, 0.1, 0.4))]
     assert [e.rule.name for e in sorted(by, key=lambda e: -e.worth)] == ["word_length", "symbols", "repeated_lines"]
@@ -92,9 +109,10 @@ def test_rules_are_asked_by_rejections_per_second():
 
 def test_empty_table(no_docs):
     assert quality_rules.cascade(no_docs).count() == 0
+    assert quality_rules.accepted(no_docs).count() == 0
 
 
 def test_native_operators_use_no_python(edge_docs):
-    for frame in (line_dedup.drop_shared_lines(edge_docs), quality_rules.cascade(edge_docs)):
+    for frame in (line_dedup.drop_shared_lines(edge_docs), quality_rules.cascade(edge_docs), quality_rules.accepted(edge_docs)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
