@@ -16,7 +16,7 @@ from cardvigil.llm.tables import staged, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
-    return quality_rules.cascade(docs).where("kept").select(*docs.columns)
+    return quality_rules.accepted(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
