@@ -8,8 +8,9 @@ Keys travel as 128 bits of hash, never as text. Hashes are range-partitioned and
 sorted within a partition by document and position, and a window streams over them:
 of a key, the first occurrences in the last three documents go on. The range also
 covers a slice of the documents, so that a line found in a third of all documents is
-spread over thousands of ranges; the slices of a key then meet as a few rows each.
-Decisions come back as keep bitmaps, 64 lines to a word, words that keep everything
+spread over thousands of ranges; the slices of a key then meet as a few rows each. What is
+known of a shared key goes back to the slices it occurs in, and its lines are found there,
+slice by slice. Decisions come back as keep bitmaps, 64 lines to a word, words that keep everything
 left out, and only at the end meet the texts.
 
 Defined results: a null or empty text is one empty line. Documents are counted by
@@ -57,40 +58,47 @@ def _hashed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     return keyed.where(F.length("key") >= min_chars).select(
         F.xxhash64("key").alias("h1"),
         F.xxhash64(F.lit("second"), "key").alias("h2"),
+        F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int").alias("slice"),
         "doc_id",
         "text_hash",
         "pos",
     )
 
 
-def shared_keys(hashed: DataFrame, min_docs: int, slices: int = SLICES) -> DataFrame:
-    """Keys of at least ``min_docs`` documents, with the largest document of each."""
-    ranged = hashed.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices))).repartitionByRange(
-        "h1", "h2", "slice"
-    )
+def first_occurrences(hashed: DataFrame, min_docs: int) -> DataFrame:
+    """(h1, h2, slice, doc_id): of each key and slice the first occurrences in the last ``min_docs`` documents."""
+    ranged = hashed.repartitionByRange("h1", "h2", "slice")
     stream = Window.partitionBy("h1", "h2", "slice").orderBy(F.col("doc_id").desc_nulls_last(), "pos")
     firsts = (
         ranged.select(
             "h1",
             "h2",
+            "slice",
             "doc_id",
             F.dense_rank().over(stream).alias("nth"),
             F.lag(F.struct("doc_id")).over(stream).alias("before"),
         )
         .where((F.col("nth") <= min_docs) & ~F.struct("doc_id").eqNullSafe(F.col("before")))
     )
-    return (
+    return firsts.select("h1", "h2", "slice", "doc_id")
+
+
+def shared_keys(firsts: DataFrame, min_docs: int) -> DataFrame:
+    """Keys of at least ``min_docs`` documents, with the largest document of each, once for each slice they occur in."""
+    shared = (
         firsts.groupBy("h1", "h2")
         .agg(F.max("doc_id").alias("last"), F.count("*").alias("n_docs"))
         .where(F.col("n_docs") >= min_docs)
     )
+    # A key has as many rows here as slices, however many lines it has.
+    return firsts.select("h1", "h2", "slice").distinct().join(shared.drop("n_docs"), ["h1", "h2"])
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, text_hash, keep): words of 64 lines that lose some, ordered, as (word, bits)."""
     hashed = staged(_hashed_lines(docs, min_chars), "lines")
-    shared = shared_keys(hashed, min_docs)
-    dropped = hashed.join(shared, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
+    shared = shared_keys(staged(first_occurrences(hashed, min_docs), "first-lines"), min_docs)
+    dropped = hashed.join(shared, ["h1", "h2", "slice"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
     words = dropped.groupBy("doc_id", "text_hash", F.expr("pos div 64").cast("int").alias("word")).agg(
         F.bitwise_not(F.bit_or(F.expr("shiftleft(1L, pos % 64)"))).alias("bits")
     )

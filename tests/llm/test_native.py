@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from cardvigil.llm import line_dedup, quality_rules
 
 UPPER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -51,8 +53,13 @@ def test_a_hot_key_is_spread_over_ranges(spark, make_docs, rows):
     given = [(i, f"{'the same line in all of them'}\n{i}") for i in range(300)]
     assert rows(line_dedup.drop_shared_lines(make_docs(given)), "doc_id", "n_lines", "n_dropped", "text") == brute_lines(given)
     hashed = line_dedup._hashed_lines(make_docs(given), 20)
-    plan = line_dedup.shared_keys(hashed, 3)._jdf.queryExecution().toString()
+    firsts = line_dedup.first_occurrences(hashed, 3)
+    plan = firsts._jdf.queryExecution().toString()
     assert "rangepartitioning(h1" in plan and "slice" in plan
+    shared = line_dedup.shared_keys(firsts, 3)
+    slices = {r.slice for r in hashed.collect()}
+    assert {r.slice for r in shared.collect()} == slices and len(slices) > 200
+    assert hashed.join(shared, ["h1", "h2", "slice"]).groupBy("h1", "h2", "slice").count().agg(F.max("count")).first()[0] < 10
 
 
 def brute_measures(text):
