@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 SPACE = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 LINE_DEDUP = f"""
@@ -26,6 +27,70 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+NEAR_DEDUP = rf"""
+WITH RECURSIVE doc AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD}') AS w FROM documents
+),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS p FROM doc WHERE len(w) > 0)
+),
+sized AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+edge AS MATERIALIZED (
+  SELECT a, b FROM common c JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+),
+reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM doc UNION SELECT edge.b, reach.root FROM reach JOIN edge ON edge.a = reach.doc_id
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM reach LEFT JOIN sized USING (doc_id) GROUP BY doc_id
+"""
+
+SUFFIX_DEDUP = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+-- Cut in two steps, as finding a place in a long string takes as long as the place is far.
+part AS (
+  SELECT doc_id, c, substr(h, (2 * c + 1)::BIGINT, 1098) AS h
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2, 500)) AS c FROM doc)
+),
+win AS (
+  SELECT doc_id, c + p AS p, substr(h, (2 * p + 1)::BIGINT, 100) AS s
+  FROM (SELECT doc_id, c, h, unnest(range(0, least(500, len(h) // 2 - 49))) AS p FROM part WHERE len(h) >= 100)
+),
+judged AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) < doc_id AS again FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS k FROM judged WHERE again),
+span AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before < k - 1) AS n_spans
+  FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM gone) GROUP BY doc_id
+),
+byte AS (SELECT doc_id, c + k AS k, substr(h, (2 * k + 1)::BIGINT, 2) AS x FROM (SELECT doc_id, c, h, unnest(range(0, least(500, len(h) // 2))) AS k FROM part)),
+kept AS (
+  SELECT b.doc_id, string_agg(b.x, '' ORDER BY b.k) AS h
+  FROM byte b ANTI JOIN gone g ON b.doc_id = g.doc_id AND b.k = g.k GROUP BY b.doc_id
+)
+SELECT d.doc_id, (len(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
+FROM doc d LEFT JOIN span USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+SUBSTRING_DEDUP = rf"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM doc WHERE len(w) >= 20)
+),
+judged AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 AS again FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS k FROM judged WHERE again),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM doc),
+kept AS (
+  SELECT v.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY v.k) AS text
+  FROM word v ANTI JOIN gone g ON v.doc_id = g.doc_id AND v.k = g.k GROUP BY v.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM doc d LEFT JOIN kept USING (doc_id)
+"""
+
 QUALITY_RULES = rf"""
 WITH doc AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -195,9 +260,12 @@ FROM told
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
+    "op2_minhash_near_dedup": NEAR_DEDUP,
     "op3_chat_formatting": CHAT_FORMATTING,
     "op5_quality_rules": QUALITY_RULES,
     "op6_decontamination": DECONTAMINATION,
+    "op9_suffix_dedup": SUFFIX_DEDUP,
+    "op10_substring_dedup": SUBSTRING_DEDUP,
     "op12_ranked_search": RANKED_SEARCH,
     "op13_filter_audit": FILTER_AUDIT,
 }
