@@ -16,14 +16,15 @@ from cardvigil.operators.alerts import build_alerts
 from cardvigil.operators.features import LOOKBACK_DAYS, features, features_for_day
 from cardvigil.schema import ALERT_SCHEMA, ALERT_TABLE, CORRUPT_FIELD, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
 from cardvigil.session import pin_utc, staging
+from cardvigil.sources.publish import beside, publish_days
 from cardvigil.sources.raw import read_day_totals, read_json, read_raw_day
 from cardvigil.sources.tables import (
     conform_features,
     load_clustered,
     merge_alerts,
     read_alerts,
-    write_by_date,
-    write_day,
+    with_partition_date,
+    write_aside,
 )
 
 
@@ -34,15 +35,17 @@ def run_features_on_json(
     pin_utc(spark)
     # JSON is parsed once into Parquet, of which the feature plan then reads the columns
     # it needs. Features are computed once, checked as staged, and only then published.
-    with staging(spark, RAW_TABLE.name) as parsed, staging(spark, FEATURE_TABLE.name) as made:
+    day = FEATURE_TABLE.date_column
+    with staging(spark, RAW_TABLE.name) as parsed, beside(spark, output_path) as made:
         read_json(spark, input_path).write.parquet(parsed)
         decoded = spark.read.schema(T.StructType([*RAW_SCHEMA.fields, CORRUPT_FIELD])).parquet(parsed)
         raw = decoded.select(*RAW_SCHEMA.names)
         quality.assert_transactions(raw)
         quality.assert_all_valid(decoded)
-        write_by_date(features(raw, cfg), made, FEATURE_TABLE)
-        checked = _checked(raw, spark.read.parquet(made))
-        write_by_date(checked, output_path, FEATURE_TABLE)
+        rows = with_partition_date(features(raw, cfg), FEATURE_TABLE)
+        write_aside(rows.hint("rebalance", F.col(day)), made, FEATURE_TABLE)
+        _checked(raw, spark.read.parquet(made))
+        publish_days(spark, made, output_path, day)
     return spark.read.parquet(output_path)
 
 
@@ -58,16 +61,21 @@ def _checked(raw: DataFrame, made: DataFrame) -> DataFrame:
 
 @contextmanager
 def _checked_day(
-    spark: SparkSession, raw_path: str, run_date: date, cfg: RiskConfig, totals_path: str | None = None
+    spark: SparkSession, raw_path: str, output_path: str, run_date: date, cfg: RiskConfig, totals_path: str | None = None
 ) -> Iterator[DataFrame]:
-    """One day's features, staged and checked; raises ``QualityError`` before anything is published."""
+    """One day's features, written beside the output and checked, and published when the caller is done.
+
+    Raises ``QualityError`` before anything is published.
+    """
     pin_utc(spark)
     raw_day = read_raw_day(spark, raw_path, run_date)
     totals = read_day_totals(spark, totals_path) if totals_path else None
-    with staging(spark, FEATURE_TABLE.name) as made:
+    with beside(spark, output_path) as made:
         raw = read_raw_day(spark, raw_path, run_date, LOOKBACK_DAYS)
-        write_day(features_for_day(raw, run_date, cfg, totals=totals), made, FEATURE_TABLE)
+        rows = features_for_day(raw, run_date, cfg, totals=totals)
+        write_aside(with_partition_date(rows, FEATURE_TABLE), made, FEATURE_TABLE)
         yield _checked(raw_day, spark.read.parquet(made))
+        publish_days(spark, made, output_path, FEATURE_TABLE.date_column)
 
 
 def run_features(
@@ -85,8 +93,8 @@ def run_features(
     """
     pin_utc(spark)
     quality.assert_raw_present(read_raw_day(spark, raw_path, run_date), run_date)
-    with _checked_day(spark, raw_path, run_date, cfg, totals_path) as day:
-        write_day(day, output_path, FEATURE_TABLE)
+    with _checked_day(spark, raw_path, output_path, run_date, cfg, totals_path):
+        pass
     return _day(spark.read.parquet(output_path), run_date)
 
 
@@ -103,9 +111,8 @@ def refresh_day(
     """The whole chain for one day; raises ``QualityError`` before anything is replaced."""
     pin_utc(spark)
     quality.assert_raw_present(read_raw_day(spark, raw_path, run_date), run_date)
-    with _checked_day(spark, raw_path, run_date, cfg, totals_path) as day:
+    with _checked_day(spark, raw_path, output_path, run_date, cfg, totals_path) as day:
         quality.assert_fraud_rate(day, FEATURE_TABLE.date_column, run_date, cfg)
-        write_day(day, output_path, FEATURE_TABLE)
         load_clustered(conform_features(day, loaded_at), table_path, FEATURE_TABLE)
     return _day(spark.read.parquet(table_path), run_date)
 

@@ -66,6 +66,18 @@ def listed(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in files.listStatus(folder)] if files.exists(folder) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a folder on its file system; raises ``OSError`` if that was not done."""
+    folder, place = (spark._jvm.org.apache.hadoop.fs.Path(name) for name in (path, to))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).rename(folder, place):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder this run has made, on whatever file system it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

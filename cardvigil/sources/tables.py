@@ -22,6 +22,7 @@ from cardvigil.schema import (
 from cardvigil.session import listed, remove_folder, staging
 from cardvigil.sources import batches
 from cardvigil.sources.batches import days_listed
+from cardvigil.sources.publish import beside, publish_days
 
 
 def with_partition_date(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -42,11 +43,6 @@ def write_dated(df: DataFrame, path: str, contract: TableContract) -> None:
     _write(df.hint("rebalance", F.col(contract.date_column)), path, contract)
 
 
-def write_day(df: DataFrame, path: str, contract: TableContract) -> None:
-    """Job output of one day. Its tasks all write to the same folder, so nothing is moved first."""
-    _write(with_partition_date(df, contract), path, contract)
-
-
 def load_clustered(df: DataFrame, path: str, contract: TableContract) -> None:
     """Table load: partitioned by day and ordered by the contract's cluster columns.
 
@@ -62,10 +58,18 @@ def load_clustered(df: DataFrame, path: str, contract: TableContract) -> None:
 
 
 def _write(df: DataFrame, path: str, contract: TableContract) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replaces the days that ``df`` has rows of; others stay, and all of them until the last file is written."""
+    with beside(df.sparkSession, path) as made:
+        write_aside(df, made, contract)
+        publish_days(df.sparkSession, made, path, contract.date_column)
+
+
+def write_aside(df: DataFrame, made: str, contract: TableContract) -> None:
+    """Rows that have their day, below a new folder, to be published as they are."""
+    writer = df.write
     for column in contract.find_by:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-    writer.partitionBy(contract.date_column).parquet(path)
+    writer.partitionBy(contract.date_column).parquet(made)
 
 
 def conform_raw(raw: DataFrame, loaded_at: datetime) -> DataFrame:

@@ -12,7 +12,8 @@ from cardvigil.operators.features import features, features_for_day
 from cardvigil.operators.rolling import day_totals
 from cardvigil.plans import daily, standin, upkeep
 from cardvigil.schema import DAY_TOTALS, FEATURE_COLUMNS, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
-from cardvigil.sources import batches
+from cardvigil.session import move_folder
+from cardvigil.sources import batches, publish
 from cardvigil.sources.raw import read_day_totals, read_raw, read_raw_day
 from cardvigil.sources.tables import days_of, with_partition_date, write_by_date
 from tests.plans import plan_of
@@ -172,3 +173,42 @@ def test_a_second_daily_scoring_keeps_resolutions(spark, raw, folder):
     daily.score_day(spark, folder("raw"), folder("table"), folder("alerts"), day, datetime(2024, 2, 9), cfg)
     after = read_alerts(spark, folder("alerts")).orderBy("alert_id").collect()
     assert before == after and all(r["is_resolved"] for r in after)
+
+
+def test_a_write_cut_short_leaves_the_old_day(spark, raw, folder, monkeypatch):
+    """Killed while files are written, and between the two renames of a switch."""
+    write_by_date(raw, folder("raw"), RAW_TABLE)
+    want = read_raw(spark, folder("raw")).count()
+    damaged = raw.withColumn("amount", F.expr("CASE WHEN transaction_id = '5' THEN raise_error('gone') ELSE amount END").cast("decimal(18,2)"))
+    with pytest.raises(Exception, match="gone"):
+        write_by_date(damaged, folder("raw"), RAW_TABLE)
+    assert read_raw(spark, folder("raw")).count() == want
+    assert all(name.startswith("date=") for name in os.listdir(folder("raw")) if name[0] not in "._")
+
+    moves = []
+
+    def move(spark_, path, to):
+        moves.append(path)
+        if len(moves) == 6:
+            raise OSError("killed")
+        move_folder(spark_, path, to)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish, "move_folder", move)
+        with pytest.raises(OSError, match="killed"):
+            write_by_date(raw.filter("transaction_id <> '5'"), folder("raw"), RAW_TABLE)
+    assert len(days_of(spark, folder("raw"), "date")) == 29, "one day is on its way"
+    assert len(publish.recover(spark, folder("raw"), "date")) == 1
+    assert len(days_of(spark, folder("raw"), "date")) == 30
+    write_by_date(raw, folder("raw"), RAW_TABLE)
+    assert read_raw(spark, folder("raw")).drop("date").exceptAll(raw).isEmpty() and read_raw(spark, folder("raw")).count() == want
+    assert all(name.startswith("date=") for name in os.listdir(folder("raw")) if name[0] != ".")
+
+
+def test_readers_do_not_see_what_is_being_written(spark, raw, folder):
+    write_by_date(raw, folder("raw"), RAW_TABLE)
+    want = read_raw(spark, folder("raw")).count()
+    with publish.beside(spark, folder("raw")) as made:
+        with_partition_date(raw, RAW_TABLE).write.partitionBy("date").parquet(made)
+        assert read_raw(spark, folder("raw")).count() == want
+        assert spark.read.parquet(folder("raw")).count() == want
