@@ -19,7 +19,7 @@ import pyarrow as pa
 PIECE = 4 << 20
 #: Bytes that are hashed at once.
 BLOCK = 1 << 20
-#: Bytes of a span up to which its hash is a polynomial.
+#: Bytes of a word up to which its hash is a polynomial.
 SHORT = 64
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -129,11 +129,11 @@ def _digest(span: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(span.tobytes(), digest_size=8).digest(), "little")
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, short: int | None = None) -> np.ndarray:
     """64-bit hashes of ``data[start:end]``; starts and ends are in order.
 
-    Polynomials modulo 2**64 of long spans can be made to collide whatever the base is, so
-    spans of more than ``SHORT`` bytes get a cryptographic hash.
+    Polynomials modulo 2**64 of long spans can be made to collide whatever the base is. Spans
+    of more than ``short`` bytes get a cryptographic hash; that is for spans that don't overlap.
     """
     up, down = _Powers.get()
     out = np.empty(len(starts), dtype=np.uint64)
@@ -141,6 +141,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     while at < len(starts):
         low = int(starts[at])
         if ends[at] - low > BLOCK:
+            out[at] = _digest(data[low : int(ends[at])])
             at += 1
             continue
         to = int(np.searchsorted(ends, low + BLOCK, "right"))
@@ -151,7 +152,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         a, b = starts[at:to] - low, ends[at:to] - low
         out[at:to] = mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
         at = to
-    for i in np.flatnonzero(ends - starts > SHORT).tolist():
+    for i in np.flatnonzero(ends - starts > short).tolist() if short is not None else ():
         out[i] = _digest(data[int(starts[i]) : int(ends[i])])
     return out
 
@@ -166,7 +167,7 @@ class Words:
     read: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        return span_hashes(self.read, self.starts, self.ends)
+        return span_hashes(self.read, self.starts, self.ends, SHORT)
 
 
 def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Words:
