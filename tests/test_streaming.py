@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import json
 import os
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import numpy as np
@@ -370,6 +371,39 @@ def test_a_row_that_only_asks_is_told_and_not_kept():
     assert state.get == kept
 
 
+def test_cards_of_a_group_are_remembered_as_each_alone():
+    random = np.random.default_rng(4)
+    together, alone = State(), {name: State() for name in "ABC"}
+    for part in range(4):
+        rows = [("ABC"[random.integers(0, 2 + part // 2)], int(START + part * 3 * memory.DAY + random.integers(0, 4 * memory.DAY)), n) for n in range(40)]
+        named = [chunk(row[1:]).assign(card_id=row[0]) for row in rows]
+        together.watermark = START + part * 12 * memory.DAY
+        got = list(memory.remember_group((0, 0), iter([pd.concat(named[:25]), pd.concat(named[25:])]), together))
+        for name in {row[0] for row in rows}:
+            alone[name].watermark = together.watermark
+            want = list(memory.remember((name, 0), iter([pd.concat(f for f in named if f["card_id"][0] == name)]), alone[name]))
+            assert history([f[f["card_id"] == name] for f in got]) == history(want)
+    cards, totals, seconds = together.get
+    kept = dict(zip(cards, zip(totals, seconds)))
+    assert kept == {name: state.get for name, state in alone.items()}
+
+
+def test_a_group_that_is_always_touched_forgets():
+    state = State()
+    for n in range(50):
+        state.watermark = START + n * memory.DAY
+        rows = chunk((state.watermark, 1)).assign(card_id="old" if n < 3 else "busy")
+        list(memory.remember_group((0, 0), iter([rows]), state))
+    assert state.get[0] == ["busy"] and len(state.get[2][0]) < 35
+
+
+def test_the_calls_of_a_batch_are_bounded_by_groups_not_by_cards(spark, inbox, folder):
+    inbox.add(*[txn(f"t{n}", "2024-01-05T10:00:00", card_id=f"card{n}") for n in range(40)])
+    stream = score_inbox(spark, inbox.path, folder, cfg=replace(standin.CONFIG, memory_groups=3))
+    kept = [o["numRowsTotal"] for o in stream.lastProgress["stateOperators"] if o["operatorName"] == "applyInPandasWithState"]
+    assert len(kept) == 1 and 1 <= kept[0] <= 3
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_shortened_history_fills_every_frame_alike(seed):
     """For all frames of all rows of a batch, totals and maxima are those of the whole history."""
