@@ -117,7 +117,7 @@ def revise(
     if not queue or not known:
         return []
     day = FEATURE_TABLE.date_column
-    with staging(spark, "affected") as marked, staging(spark, FEATURE_TABLE.name) as made:
+    with staging(spark, "affected") as marked, staging(spark, "concerned") as concerned, staging(spark, FEATURE_TABLE.name) as made:
         affected(spark.read.schema(CHANGES).parquet(*queue), known[-1]).write.parquet(marked)
         pairs = spark.read.schema(CHANGES).parquet(marked)
         # One row for each day at most.
@@ -126,7 +126,9 @@ def revise(
             first = days[0] - timedelta(days=LOOKBACK_DAYS)
             cards = pairs.select(F.col("card_id").alias("_card")).distinct()
             within = read_raw(spark, raw).filter(F.col(_DAY).between(F.lit(first), F.lit(days[-1])))
-            rows = within.join(cards, F.col("card_id") == F.col("_card"), "left_semi").select(*RAW_SCHEMA.names)
+            # Stored, as the features read them several times: in search of heavy cards, and for the windows.
+            within.join(cards, F.col("card_id") == F.col("_card"), "left_semi").select(*RAW_SCHEMA.names).write.parquet(concerned)
+            rows = spark.read.schema(RAW_SCHEMA).parquet(concerned)
             on = [F.col("card_id") == F.col("_card"), F.col(day) == F.col("_day")]
             which = pairs.select(F.col("card_id").alias("_card"), F.col(_DAY).alias("_day"))
             made_rows = conform_features(with_partition_date(features(rows, cfg), FEATURE_TABLE), loaded_at)

@@ -212,3 +212,34 @@ def test_readers_do_not_see_what_is_being_written(spark, raw, folder):
         with_partition_date(raw, RAW_TABLE).write.partitionBy("date").parquet(made)
         assert read_raw(spark, folder("raw")).count() == want
         assert spark.read.parquet(folder("raw")).count() == want
+
+
+def test_a_revision_reads_the_rows_concerned_from_where_they_are_stored(spark, folder, monkeypatch):
+    """Features read their rows several times; choosing the rows by a join is done once."""
+    plans = []
+    taken = upkeep.features
+    monkeypatch.setattr(upkeep, "features", lambda rows, cfg: plans.append(plan_of(rows)) or taken(rows, cfg))
+    day = date(2024, 3, 1)
+    rows = [(f"t{n}", f"c{n % 3}", 10.0 + n, datetime(2024, 3, 1, 8, n)) for n in range(9)]
+    raw = spark.createDataFrame(rows, "transaction_id string, card_id string, amount double, transaction_timestamp timestamp")
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in RAW_SCHEMA if f.name not in raw.columns}
+    raw = raw.withColumn("amount", F.col("amount").cast("decimal(18,2)")).withColumns(missing).select(*RAW_SCHEMA.names)
+    write_by_date(raw, folder("raw"), RAW_TABLE)
+    spark.createDataFrame([("c1", day)], upkeep.CHANGES).write.parquet(f"{folder('changes')}/changed-1")
+    assert upkeep.revise(spark, folder("changes"), folder("raw"), folder("features"), datetime(2024, 4, 1)) == [day]
+    assert len(plans) == 1 and "Join" not in plans[0]
+    got = {r["transaction_id"]: r["txn_count_24h"] for r in spark.read.parquet(folder("features")).collect()}
+    assert got == {"t1": 1, "t4": 2, "t7": 3}
+
+
+def test_a_delivery_reads_the_events_once(spark, sf_dir):
+    """Copies are made of the payloads, not by reading again; the first part has those dated ahead besides."""
+    parts = catalog._deliveries(standin.transactions(spark, sf_dir))
+    reads = [plan_of(part).count("event_id#") and plan_of(part).count("FileScan parquet [event_id") for part in parts]
+    assert reads == [2, 1, 1]
+    sent = [part.select(F.get_json_object("value", "$.transaction_id").alias("id")) for part in parts]
+    times = sent[0].unionByName(sent[1]).unionByName(sent[2]).groupBy("id").count()
+    counts = {(r["ahead"], r["count"]): r["ids"] for r in times.groupBy(F.col("id").startswith("ahead-").alias("ahead"), "count").agg(F.count("*").alias("ids")).collect()}
+    events = standin.table(spark, sf_dir, "events")
+    ahead = events.filter(F.get_json_object("props", "$.k") == "8").count()
+    assert counts == {(False, 2): events.count(), (True, 1): ahead}
