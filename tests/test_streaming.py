@@ -454,3 +454,26 @@ def test_rows_of_one_second_split_over_batches(spark, inbox, folder):
         "b": ["is_foreign_merchant", "is_velocity_spike"],
         "late": ["is_foreign_merchant", "is_high_amount"],
     }
+
+
+def test_cards_of_a_group_are_opened_together(monkeypatch):
+    """The steps of a group's call do not grow with its cards."""
+    steps = []
+    added_up = memory.added_up
+    monkeypatch.setattr(memory, "added_up", lambda *args: steps.append(1) or added_up(*args))
+    taken = []
+    for cards in (2, 60):
+        state, steps[:] = State(), []
+        for part in range(2):
+            rows = pd.concat([chunk((START + part * memory.DAY, n), (START + 2 * memory.DAY, 1)).assign(card_id=str(n)) for n in range(cards)])
+            list(memory.remember_group((0, 0), iter([rows]), state))
+        assert len(state.get[0]) == cards
+        taken.append(len(steps))
+    assert taken[0] == taken[1]
+
+
+def test_big_cards_are_opened_by_themselves(monkeypatch):
+    monkeypatch.setattr(memory, "CHUNK_ROWS", 10)
+    packed = lambda rows: (b"", [b"." * memory.ROW_BYTES * rows])
+    assert list(memory._portions([None, packed(4), packed(6), packed(1), packed(50), packed(50), None])) == [(0, 3), (3, 4), (4, 5), (5, 7)]
+    assert list(memory._portions([])) == []
