@@ -264,3 +264,14 @@ def test_expired_days_are_dropped_from_the_listing(spark, sf_dir, folder):
     assert within_retention(listed, as_of).count() == want == read_raw(spark, folder("raw")).filter("date >= '2024-01-13'").count()
     assert drop_expired(spark, folder("raw"), as_of, grace=3) == []
     assert drop_expired(spark, folder("nowhere"), as_of) == []
+
+
+def test_valid_rows_are_found_without_naming_reasons(spark):
+    lines = ['{"transaction_id": "a", "card_id": "c", "transaction_timestamp": "2024-01-01T00:00:00"}', "{", '{"transaction_id": "b"}', None]
+    lines += [lines[0][:-1] + f', "amount": {amount}' + "}" for amount in ("-1", "1", "null")]
+    rows = spark.createDataFrame([(n, line, datetime(2024, 1, 2)) for n, line in enumerate(lines)], "n int, value string, arrival timestamp")
+    decoded = decode.decode_payload(rows)
+    valid = decode.valid_rows(decoded, "arrival")
+    named = decode.with_route(decoded, "arrival").filter("is_valid")
+    assert sorted(r["n"] for r in valid.collect()) == sorted(r["n"] for r in named.collect()) == [0, 5, 6]
+    assert "lambda" not in plan_of(valid) and "lambda" in plan_of(named)
