@@ -23,8 +23,8 @@ from cardvigil.plans.standin import (
     RETENTION_AS_OF,
     SUMMARY_AS_OF,
 )
-from cardvigil.schema import ALERT_TABLE, DAY_TOTALS, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
-from cardvigil.session import new_folder, pin_utc, stream_state
+from cardvigil.schema import ALERT_SCHEMA, ALERT_TABLE, DAY_TOTALS, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
+from cardvigil.session import new_folder, pin_utc, staging, stream_state
 from cardvigil.sources import decode
 from cardvigil.sources.raw import read_day_totals, read_json, read_raw
 from cardvigil.sources.batches import BATCH
@@ -319,6 +319,13 @@ def _alerts(spark, sf_dir) -> DataFrame:
     return desk.build_alerts(rows, F.col("transaction_timestamp"), CONFIG)
 
 
+def _load_alerts(spark, alerts: DataFrame, path: str) -> None:
+    """Stored first, as the load reads its rows twice and the features must be computed once."""
+    with staging(spark, ALERT_TABLE.name) as made:
+        alerts.write.parquet(made)
+        load_clustered(spark.read.schema(ALERT_SCHEMA).parquet(made), path, ALERT_TABLE)
+
+
 def _alerts_folder(spark, sf_dir) -> str:
     path = new_folder(spark, ALERT_TABLE.name)
     write_by_date(_alerts(spark, sf_dir), path, ALERT_TABLE)
@@ -340,7 +347,7 @@ def alerts_build(spark, sf_dir):
     path = new_folder(spark, ALERT_TABLE.name)
     rows, raw = _written_features(spark, sf_dir), standin.transactions(spark, sf_dir)
     built = desk.build_alerts(rows, F.col("transaction_timestamp"), CONFIG, raw)
-    load_clustered(built, path, ALERT_TABLE)
+    _load_alerts(spark, built, path)
     return read_alerts(spark, path)
 
 
@@ -720,7 +727,7 @@ def stream_alerts_compacted(spark, sf_dir):
     """
     table = new_folder(spark, ALERT_TABLE.name)
     earlier = _alerts(spark, sf_dir).filter(F.col("transaction_timestamp") < F.lit(EDGES[1]))
-    load_clustered(earlier, table, ALERT_TABLE)
+    _load_alerts(spark, earlier, table)
     store_resolutions(spark, standin.resolutions(read_alerts(spark, table)), table)
     compact_alerts(spark, _scored_stream(spark, standin.transactions(spark, sf_dir)), table)
     raw, loaded, run_date, _ = _refreshed(spark, sf_dir)

@@ -14,9 +14,10 @@ from cardvigil.functions.risk import severity
 from cardvigil.operators import alerts as desk
 from cardvigil.operators import quality
 from cardvigil.operators.features import features
-from cardvigil.plans import analytics
+from cardvigil.plans import analytics, catalog
 from cardvigil.schema import ALERT_COLUMNS, ALERT_TABLE, FLAG_COLUMNS, RAW_TABLE
 from tests.data import INPUT, golden_input, utc
+from tests.plans import plan_of
 
 
 # ---- quality ------------------------------------------------------------
@@ -335,3 +336,20 @@ def test_resolution_rate(spark, alerts):
     got = {(r["alert_date"], r["alert_severity"]): tuple(r)[2:] for r in analytics.alert_resolution_rate(done).collect()}
     assert got[(date(2025, 3, 1), "LOW")] == (2, 1, 50.0)
     assert got[(date(2025, 3, 1), "HIGH")] == (1, 0, 0.0)
+
+
+class Seen(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["alerts_build", "stream_alerts_compacted"])
+def test_features_are_computed_once_for_the_alert_table(spark, sf_dir, monkeypatch, name):
+    """The load reads its rows twice, so it gets them stored."""
+
+    def load(rows, path, contract):
+        raise Seen(plan_of(rows))
+
+    monkeypatch.setattr(catalog, "load_clustered", load)
+    with pytest.raises(Seen) as seen:
+        catalog.QUERIES[name](spark, sf_dir)
+    assert "Window" not in str(seen.value) and "Scan" in str(seen.value)
