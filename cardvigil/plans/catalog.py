@@ -555,8 +555,12 @@ def _deliveries(raw: DataFrame) -> list[DataFrame]:
     sent = raw.withColumn("part", part.otherwise(F.lit(2)))
 
     def arriving(n: int, edge: datetime) -> DataFrame:
+        own = F.col("part") == n
+        if n < len(EDGES) - 2:
+            # Part of `own`, and asked first: rows of other times need not tell their merchant.
+            own = (time < F.lit(edge)) & own
         # Each payload is made once and then sent twice.
-        once = decode.encode_payload(_dealt(sent.filter(F.col("part") == n))).select("value")
+        once = decode.encode_payload(_dealt(sent.filter(own))).select("value")
         payloads = once.select("value", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).select("value")
         if n == 0:
             payloads = payloads.unionByName(decode.encode_payload(ahead))

@@ -19,7 +19,7 @@ from cardvigil.operators.alerts import (
 )
 from cardvigil.operators.features import engineer, features, features_for_day
 from cardvigil.operators.rolling import IS_NEW, _roll_light, with_parts
-from cardvigil.plans import analytics, standin
+from cardvigil.plans import analytics, catalog, standin
 from cardvigil.schema import ALERT_TABLE, FEATURE_TABLE, RAW_TABLE
 from cardvigil.sources.raw import read_raw
 from cardvigil.sources.tables import days_of, read_alerts, write_by_date
@@ -199,3 +199,10 @@ def test_summary_reads_two_days(stored_alerts):
     pruned = summarise(stored_alerts, standin.AS_OF_TIME, ALERT_TABLE.date_column)
     assert pruned.collect() == plain.collect()
     assert "PartitionFilters: [isnotnull(_alert_date" in plan_of(pruned)
+
+
+def test_deliveries_ask_for_the_time_before_the_merchant(spark, sf_dir):
+    for n, part in enumerate(catalog._deliveries(standin.transactions(spark, sf_dir))[:2]):
+        edge = catalog.EDGES[n + 1].strftime("%Y-%m-%d")
+        asked = [line for line in plan_of(part).splitlines() if "Filter" in line and edge in line]
+        assert asked and all(line.index(edge) < line.index("get_json_object") for line in asked if "get_json_object" in line)
