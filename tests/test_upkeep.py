@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardvigil.operators.features import features, features_for_day
 from cardvigil.operators.rolling import day_totals
-from cardvigil.plans import daily, standin, upkeep
+from cardvigil.plans import catalog, daily, standin, upkeep
 from cardvigil.schema import DAY_TOTALS, FEATURE_COLUMNS, FEATURE_TABLE, RAW_SCHEMA, RAW_TABLE
 from cardvigil.session import move_folder
 from cardvigil.sources import batches, publish
