@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cardvigil.operators.alerts import build_alerts
 from cardvigil.operators.features import engineer
 from cardvigil.operators.rolling import PARTS, per_second, with_parts
-from cardvigil.plans import standin, upkeep
+from cardvigil.plans import catalog, standin, upkeep
 from cardvigil.schema import ALERT_COLUMNS, ALERT_TABLE, RAW_SCHEMA
 from cardvigil.sources import batches, decode
 from cardvigil.sources.raw import read_raw
@@ -477,3 +477,73 @@ def test_big_cards_are_opened_by_themselves(monkeypatch):
     packed = lambda rows: (b"", [b"." * memory.ROW_BYTES * rows])
     assert list(memory._portions([None, packed(4), packed(6), packed(1), packed(50), packed(50), None])) == [(0, 3), (3, 4), (4, 5), (5, 7)]
     assert list(memory._portions([])) == []
+
+
+def test_long_days_of_a_card_are_kept_compressed():
+    """What a batch is told of them is as it was, and days opened together are few."""
+    state, days = State(), 4
+    seconds = [START + day * memory.DAY + 20 * n for day in range(days) for n in range(1500)]
+    for part in (seconds[::2], seconds[1::2]):
+        list(memory.remember(("C", 0), iter([chunk(*[(s, s % 977) for s in part])]), state))
+    assert all(memory._length(day) == 1500 * memory.ROW_BYTES > 4 * len(day) for day in state.get[1])
+    assert [row[0] for day in state.get[1] for row in memory._rows(day).tolist()] == seconds
+    asked = [(s + 1, 1) for s in seconds]
+    told = history(list(memory.remember(("C", 0), iter([chunk(*asked)]), state)))
+    assert [(row[0], row[3]) for row in told] == [(s, s % 977) for s in seconds]
+
+
+def test_a_big_card_is_opened_and_added_to_in_portions(monkeypatch):
+    state = State()
+    rows = lambda more: chunk(*[(START + day * memory.DAY + 600 * n + more, n) for day in range(20) for n in range(30)])
+    whole = State()
+    for more in (0, 1):
+        list(memory.remember(("C", 0), iter([rows(more)]), whole))
+    monkeypatch.setattr(memory, "CHUNK_ROWS", 100)
+    opened, shortened, merged, added_up = [], memory.shortened, [], memory.added_up
+    list(memory.remember(("C", 0), iter([rows(0)]), state))
+    monkeypatch.setattr(memory, "shortened", lambda card, past, *a: opened.append(len(past)) or shortened(card, past, *a))
+    monkeypatch.setattr(memory, "added_up", lambda many, *a: merged.append(len(many)) or added_up(many, *a))
+    told = history(list(memory.remember(("C", 0), iter([rows(1)]), state)))
+    assert sum(opened) == len(told) == 600 and max(opened) <= 100
+    # Only the new rows alone are met at once; with the stored ones it is a few days at a time.
+    assert sorted(merged)[-3] <= 2 * (100 + 30) and state.get == whole.get
+
+
+def test_numbers_of_any_amount_are_exact(spark):
+    cents = [0, 1, -5, 2**31 - 1, 1 - 2**31, 2**31, -(2**31), 10**17 + 7, None]
+    rows = spark.createDataFrame([(f"t{n}", "C", None if c is None else f"{c / 100:.2f}" if abs(c) < 2**40 else "1000000000000000.07") for n, c in enumerate(cents)], "transaction_id string, card_id string, text string")
+    rows = rows.select(*[F.col(f.name) if f.name in ("transaction_id", "card_id") else F.col("text").cast(f.dataType).alias(f.name) if f.name == "amount" else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+    told = memory._numbered(rows.withColumn("arrival", F.lit(None).cast("timestamp"))).select("numbers").collect()
+    got = [(r[0][4], r[0][5] + (r[0][6] << 31) + (r[0][7] << 62)) for r in told]
+    assert got == [(memory.NO_TOP if c is None else c, (c or 0) ** 2) for c in cents]
+
+
+def test_copies_read_together_need_no_state(spark, inbox, folder):
+    """Of an event delivered very often its task meets one copy; later copies are still dropped."""
+    events = [txn(f"t{n}", "2024-01-05T10:00:00", amount=200.0, merchant_country="X") for n in range(3)]
+    inbox.add(*events * 40)
+    stream = score_inbox(spark, inbox.path, folder)
+    ids = [o for o in stream.lastProgress["stateOperators"] if o["operatorName"] == "dedupeWithinWatermark"]
+    assert len(ids) == 1 and ids[0]["customMetrics"]["numDroppedDuplicateRows"] == 0
+    inbox.add(events[0], txn("new", "2024-01-05T10:01:00", amount=200.0, merchant_country="X"))
+    score_inbox(spark, inbox.path, folder)
+    got = [r["transaction_id"] for r in spark.read.parquet(folder("alerts")).collect()]
+    assert sorted(got) == ["new", "t0", "t1", "t2"]
+
+
+def test_state_of_a_large_replay_is_on_disk(spark, sf_dir, folder, monkeypatch):
+    """Its alerts are those of the batch, and the session is left as it was."""
+    streams, start, before = [], scoring.start_scoring, dict(spark.conf.getAll)
+
+    def kept(*args, **named):
+        streams.append(start(*args, **named))
+        return streams[-1]
+
+    monkeypatch.setattr(scoring, "start_scoring", kept)
+    got = catalog.QUERIES["stream_score_alerts"](spark, sf_dir)
+    operators = [o for s in streams for o in s.lastProgress["stateOperators"]]
+    assert operators and all(any("rocksdb" in m for m in o["customMetrics"]) for o in operators)
+    assert dict(spark.conf.getAll) == before
+    want = build_alerts(engineer(standin.transactions(spark, sf_dir), standin.CONFIG), F.col("transaction_timestamp"), standin.CONFIG)
+    ids = lambda rows: sorted(r[0] for r in rows.select("transaction_id").collect())
+    assert len(ids(want)) > 10 and ids(got) == ids(want)
